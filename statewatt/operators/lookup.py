@@ -27,19 +27,22 @@ def lookup_update(
     key: str,
     sets: Mapping[str, Column],
     defaults: Mapping[str, object] | None = None,
+    check_unique: bool = True,
 ) -> DataFrame:
     """Set columns from the lookup row with the same key.
 
     ``sets`` maps target column -> expression over lookup columns. Unmatched
     rows keep their value, or take ``defaults[target]``, which also replaces a
     NULL result on matched rows. The lookup key must be unique, so the row
-    count cannot change; the target's type is kept and a value that does not
-    fit it fails.
+    count cannot change; pass ``check_unique=False`` only for a lookup grouped
+    by that key. The target's type is kept and a value that does not fit it
+    fails.
     """
     defaults = defaults or {}
-    picked = require_unique(
-        lookup.filter(F.col(key).isNotNull()).select(key, *[e.alias(f"_set_{t}") for t, e in sets.items()]), key
-    ).withColumn("_hit", F.lit(True))
+    picked = lookup.filter(F.col(key).isNotNull()).select(key, *[e.alias(f"_set_{t}") for t, e in sets.items()])
+    if check_unique:
+        picked = require_unique(picked, key)
+    picked = picked.withColumn("_hit", F.lit(True))
     joined = df.join(picked, key, "left")
     types = {f.name: f.dataType for f in df.schema.fields}
     updated = {}
