@@ -8,6 +8,8 @@ are whole numbers: sums are exact in any order.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,120 +43,198 @@ def _whole(c: Column | str) -> Column:
     return F.floor(c).cast("double")
 
 
-class DerivedInputs(dict):
-    """Input name -> DataFrame over one scale folder."""
+class DerivedInputs(Mapping):
+    """Input name -> DataFrame over one scale folder, built when asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        super().__init__()
-        t = {n: table(spark, sf_dir, n) for n in ("nation", "customer", "supplier", "orders", "lineitem", "events")}
-        orders, items, customer, supplier, nation = (t[n] for n in ("orders", "lineitem", "customer", "supplier", "nation"))
-        fuel = _unless(
-            F.col("o_orderkey") % 97 == 0,
-            F.coalesce(value_map("o_orderpriority", FUELS), F.when(F.col("o_orderstatus") == "P", "hydro").otherwise("oil")),
-        )
-        self["out_eia923__monthly_generation_fuel_combined"] = orders.select(
-            F.col("o_custkey").alias("plant_id_eia"),
-            _shifted("o_orderdate", "month").alias("report_date"),
-            fuel.alias("fuel_type_code_pudl"),
-            _whole("o_totalprice").alias("net_generation_mwh"),
-        )
-        owned = orders.join(customer, orders.o_custkey == customer.c_custkey)
-        built = items.join(owned, items.l_orderkey == orders.o_orderkey)
-        place = (F.col("c_nationkey") + (F.col("l_linenumber") == 7).cast("int")) % 25
-        self["out_eia__monthly_generators"] = built.select(
+        self._table = lambda name: table(spark, sf_dir, name)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return _BUILDERS[name](self._table)
+
+    def __iter__(self):
+        return iter(_BUILDERS)
+
+    def __len__(self) -> int:
+        return len(_BUILDERS)
+
+
+def _fuel() -> Column:
+    listed = value_map("o_orderpriority", FUELS)
+    other = F.when(F.col("o_orderstatus") == "P", "hydro").otherwise("oil")
+    return _unless(F.col("o_orderkey") % 97 == 0, F.coalesce(listed, other)).alias("fuel_type_code_pudl")
+
+
+def _owned(t) -> DataFrame:
+    return t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+
+
+def _sold(t) -> DataFrame:
+    return t("lineitem").join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+
+
+def _generation(t) -> DataFrame:
+    return t("orders").select(
+        F.col("o_custkey").alias("plant_id_eia"),
+        _shifted("o_orderdate", "month").alias("report_date"),
+        _fuel(),
+        _whole("o_totalprice").alias("net_generation_mwh"),
+    )
+
+
+def _generators(t) -> DataFrame:
+    place = (F.col("c_nationkey") + (F.col("l_linenumber") == 7).cast("int")) % 25
+    area = F.concat(F.lit("BA"), (F.col("c_nationkey") * 5 + F.col("o_custkey") % 3) % 29)
+    return (
+        t("lineitem")
+        .join(_owned(t), F.col("l_orderkey") == F.col("o_orderkey"))
+        .select(
             F.col("o_custkey").alias("plant_id_eia"),
             _shifted("o_orderdate", "month").alias("report_date"),
             _unless(F.col("l_orderkey") % 101 == 0, _pick(STATES, place)).alias("state"),
-            fuel.alias("fuel_type_code_pudl"),
+            _fuel(),
             F.col("l_discount").alias("capacity_factor"),
-            _unless(F.col("o_custkey") % 20 == 13, F.concat(F.lit("BA"), (F.col("c_nationkey") * 5 + F.col("o_custkey") % 3) % 29)).alias(
-                "balancing_authority_code_eia"
-            ),
-        )
-        event, value = F.col("event_id"), F.col("value")
-        self["out_eia930__hourly_operations"] = t["events"].select(
-            _unless(F.col("user_id") % 20 == 17, F.concat(F.lit("BA"), F.col("user_id") % 20)).alias("balancing_authority_code_eia"),
-            (F.col("ts") - F.make_ym_interval(F.lit(0), (event % 80).cast("int"))).alias("datetime_utc"),
-            _unless(event % 53 == 0, value * 10).alias("net_generation_imputed_eia_mwh"),
-            _unless(event % 59 == 0, value * 8 + event % 11).alias("demand_imputed_pudl_mwh"),
-            (event % 13 * 5 - value).alias("interchange_adjusted_mwh"),
-        )
-        sold = items.join(supplier, items.l_suppkey == supplier.s_suppkey)
-        quantity, land = F.col("l_quantity"), F.col("s_nationkey")
-        burnt = value_map("l_returnflag", {"A": "gas", "N": "coal", "R": "oil"})
-        self["out_eia923__monthly_fuel_receipts_costs"] = sold.select(
-            _unless(F.col("l_orderkey") % 103 == 0, _pick(STATES, land)).alias("state"),
-            F.when((F.col("l_returnflag") == "N") & (land % 5 == 0), "wood").otherwise(burnt).alias("fuel_type_code_pudl"),
-            _shifted("l_shipdate", "month").alias("report_date"),
-            _whole("l_extendedprice").alias("total_fuel_cost"),
-            quantity.alias("fuel_consumed_mmbtu"),
-            _unless((F.col("l_linenumber") == 3) | ((land % 6 == 0) & (F.col("l_linenumber") < 6)), _whole("l_extendedprice") / quantity).alias(
-                "fuel_cost_per_mmbtu"
-            ),
-        )
-        state = _pick(STATES, F.col("c_nationkey")).alias("state")
-        order = F.col("o_orderkey")
-        self["raw_eia861__yearly_sales"] = owned.select(
-            state,
-            _shifted("o_orderdate", "year").alias("report_date"),
-            value_map("c_mktsegment", CLASSES, "commercial").alias("customer_class"),
-            F.when(F.col("o_orderpriority") == "5-LOW", "cooperative").otherwise("investor_owned").alias("entity_type"),
-            (order % 1000 + 1).cast("double").alias("customers"),
-            _whole("o_totalprice").alias("sales_mwh"),
-            (_whole("o_totalprice") * (order % 7 + 1)).alias("sales_revenue"),
-        )
-        self["raw_eia861__yearly_reliability"] = owned.select(
-            state,
-            _shifted("o_orderdate", "year").alias("report_date"),
-            F.when(F.col("o_orderstatus") == "F", "ieee_standard").otherwise("other_standard").alias("standard"),
-            _unless(order % 13 == 0, _whole(F.col("o_totalprice") / 1000)).alias("saidi_wo_major_event_days_minutes"),
-            (order % 500).cast("double").alias("customers"),
-        )
-        utility = [F.col("l_suppkey").alias("utility_id_eia"), _pick(STATES, land).alias("state"), _shifted("l_shipdate", "year").alias("report_date")]
-        self["raw_eia861__yearly_energy_efficiency"] = sold.filter(F.col("l_returnflag") == "A").select(
-            *utility,
-            quantity.alias("incremental_energy_savings_mwh"),
-            F.col("l_linenumber").cast("double").alias("incremental_peak_reduction_mw"),
-        )
-        self["raw_eia861__yearly_demand_response"] = sold.filter((F.col("l_returnflag") == "R") & (F.col("l_suppkey") % 9 != 0)).select(
-            *utility,
-            F.col("l_linenumber").cast("double").alias("actual_peak_demand_savings_mw"),
-            quantity.alias("energy_savings_mwh"),
-        )
-        self["raw_eia860__storage_generators"] = orders.select(
-            F.col("o_custkey").alias("plant_id_eia"),
-            _shifted("o_orderdate", "month").alias("report_date"),
-            _whole(F.col("o_totalprice") / 1000).alias("max_discharge_rate_mw"),
-            (order % 2 == 0).alias("served_arbitrage"),
-            (order % 3 == 0).alias("served_frequency_regulation"),
-            _unless(order % 4 == 0, order % 5 == 0).alias("served_system_peak_shaving"),
-            F.lit(None).cast("boolean").alias("served_backup_power"),
-            (F.col("o_orderstatus") == "F").alias("served_ramping_spinning_reserve"),
-        )
-        key = F.col("n_nationkey")
-        homes = customer.groupBy("c_nationkey").agg(F.count("c_custkey").alias("sites"), F.sum(_whole("c_acctbal")).alias("load"))
-        self["raw_dc_metrics"] = nation.join(homes, nation.n_nationkey == homes.c_nationkey, "left").select(
-            _pick(STATES, key).alias("state"),
-            F.coalesce("sites", F.lit(0)).alias("dc_facilities"),
-            _unless(key % 11 == 10, F.col("load") / 500000).alias("dc_twh_per_year"),
-            (key * 3).cast("double").alias("dc_inventory_mw"),
-            _unless(key % 7 == 0, key % 8 * 0.95).alias("dc_announced_investment_usd_b"),
-            (key * 22).cast("double").alias("dc_under_construction_mw"),
-            (key % 2).alias("dc_grid_constraint_flag"),
-            _unless(key % 3 == 0, (key % 5 == 1).cast("int")).alias("dc_fossil_delay_flag"),
-            (key % 4 == 3).cast("int").alias("dc_onsite_gen_flag"),
-            F.col("n_name").alias("major_hubs"),
-            F.concat("n_name", F.lit(" operators")).alias("major_operators"),
-        )
-        self["market_structure_ref"] = nation.select(
-            _pick(STATES, key).alias("state"),
-            _pick(OPERATORS, key % 7).alias("iso_rto"),
-            _pick(STRUCTURES, key % 3).alias("market_structure"),
-            _unless(key % 9 == 8, key * 2.5).alias("ci_choice_pct"),
-        )
-        self["raw_dsire_incentive_scores"] = nation.filter(key % 6 != 5).select(
-            _pick(STATES, key).alias("state"), (key % 5 + 0.5).cast("decimal(5,2)").alias("incentive_score")
+            _unless(F.col("o_custkey") % 20 == 13, area).alias("balancing_authority_code_eia"),
         )
+    )
+
+
+def _hourly(t) -> DataFrame:
+    event, value, user = F.col("event_id"), F.col("value"), F.col("user_id")
+    return t("events").select(
+        _unless(user % 20 == 17, F.concat(F.lit("BA"), user % 20)).alias("balancing_authority_code_eia"),
+        (F.col("ts") - F.make_ym_interval(F.lit(0), (event % 80).cast("int"))).alias("datetime_utc"),
+        _unless(event % 53 == 0, value * 10).alias("net_generation_imputed_eia_mwh"),
+        _unless(event % 59 == 0, value * 8 + event % 11).alias("demand_imputed_pudl_mwh"),
+        (event % 13 * 5 - value).alias("interchange_adjusted_mwh"),
+    )
+
+
+def _receipts(t) -> DataFrame:
+    land, line = F.col("s_nationkey"), F.col("l_linenumber")
+    burnt = value_map("l_returnflag", {"A": "gas", "N": "coal", "R": "oil"})
+    unpriced = (line == 3) | ((land % 6 == 0) & (line < 6))
+    return _sold(t).select(
+        _unless(F.col("l_orderkey") % 103 == 0, _pick(STATES, land)).alias("state"),
+        F.when((F.col("l_returnflag") == "N") & (land % 5 == 0), "wood").otherwise(burnt).alias("fuel_type_code_pudl"),
+        _shifted("l_shipdate", "month").alias("report_date"),
+        _whole("l_extendedprice").alias("total_fuel_cost"),
+        F.col("l_quantity").alias("fuel_consumed_mmbtu"),
+        _unless(unpriced, _whole("l_extendedprice") / F.col("l_quantity")).alias("fuel_cost_per_mmbtu"),
+    )
+
+
+def _sales(t) -> DataFrame:
+    order = F.col("o_orderkey")
+    return _owned(t).select(
+        _pick(STATES, F.col("c_nationkey")).alias("state"),
+        _shifted("o_orderdate", "year").alias("report_date"),
+        value_map("c_mktsegment", CLASSES, "commercial").alias("customer_class"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "cooperative").otherwise("investor_owned").alias("entity_type"),
+        (order % 1000 + 1).cast("double").alias("customers"),
+        _whole("o_totalprice").alias("sales_mwh"),
+        (_whole("o_totalprice") * (order % 7 + 1)).alias("sales_revenue"),
+    )
+
+
+def _reliability(t) -> DataFrame:
+    order = F.col("o_orderkey")
+    return _owned(t).select(
+        _pick(STATES, F.col("c_nationkey")).alias("state"),
+        _shifted("o_orderdate", "year").alias("report_date"),
+        F.when(F.col("o_orderstatus") == "F", "ieee_standard").otherwise("other_standard").alias("standard"),
+        _unless(order % 13 == 0, _whole(F.col("o_totalprice") / 1000)).alias("saidi_wo_major_event_days_minutes"),
+        (order % 500).cast("double").alias("customers"),
+    )
+
+
+def _utility_year() -> list[Column]:
+    return [
+        F.col("l_suppkey").alias("utility_id_eia"),
+        _pick(STATES, F.col("s_nationkey")).alias("state"),
+        _shifted("l_shipdate", "year").alias("report_date"),
+    ]
+
+
+def _efficiency(t) -> DataFrame:
+    return _sold(t).filter(F.col("l_returnflag") == "A").select(
+        *_utility_year(),
+        F.col("l_quantity").alias("incremental_energy_savings_mwh"),
+        F.col("l_linenumber").cast("double").alias("incremental_peak_reduction_mw"),
+    )
+
+
+def _response(t) -> DataFrame:
+    return _sold(t).filter((F.col("l_returnflag") == "R") & (F.col("l_suppkey") % 9 != 0)).select(
+        *_utility_year(),
+        F.col("l_linenumber").cast("double").alias("actual_peak_demand_savings_mw"),
+        F.col("l_quantity").alias("energy_savings_mwh"),
+    )
+
+
+def _storage(t) -> DataFrame:
+    order = F.col("o_orderkey")
+    return t("orders").select(
+        F.col("o_custkey").alias("plant_id_eia"),
+        _shifted("o_orderdate", "month").alias("report_date"),
+        _whole(F.col("o_totalprice") / 1000).alias("max_discharge_rate_mw"),
+        (order % 2 == 0).alias("served_arbitrage"),
+        (order % 3 == 0).alias("served_frequency_regulation"),
+        _unless(order % 4 == 0, order % 5 == 0).alias("served_system_peak_shaving"),
+        F.lit(None).cast("boolean").alias("served_backup_power"),
+        (F.col("o_orderstatus") == "F").alias("served_ramping_spinning_reserve"),
+    )
+
+
+def _data_centers(t) -> DataFrame:
+    key = F.col("n_nationkey")
+    homes = t("customer").groupBy("c_nationkey").agg(F.count("c_custkey").alias("sites"), F.sum(_whole("c_acctbal")).alias("load"))
+    return t("nation").join(homes, key == F.col("c_nationkey"), "left").select(
+        _pick(STATES, key).alias("state"),
+        F.coalesce("sites", F.lit(0)).alias("dc_facilities"),
+        _unless(key % 11 == 10, F.col("load") / 500000).alias("dc_twh_per_year"),
+        (key * 3).cast("double").alias("dc_inventory_mw"),
+        _unless(key % 7 == 0, key % 8 * 0.95).alias("dc_announced_investment_usd_b"),
+        (key * 22).cast("double").alias("dc_under_construction_mw"),
+        (key % 2).alias("dc_grid_constraint_flag"),
+        _unless(key % 3 == 0, (key % 5 == 1).cast("int")).alias("dc_fossil_delay_flag"),
+        (key % 4 == 3).cast("int").alias("dc_onsite_gen_flag"),
+        F.col("n_name").alias("major_hubs"),
+        F.concat("n_name", F.lit(" operators")).alias("major_operators"),
+    )
+
+
+def _structure(t) -> DataFrame:
+    key = F.col("n_nationkey")
+    return t("nation").select(
+        _pick(STATES, key).alias("state"),
+        _pick(OPERATORS, key % 7).alias("iso_rto"),
+        _pick(STRUCTURES, key % 3).alias("market_structure"),
+        _unless(key % 9 == 8, key * 2.5).alias("ci_choice_pct"),
+    )
+
+
+def _incentives(t) -> DataFrame:
+    key = F.col("n_nationkey")
+    return t("nation").filter(key % 6 != 5).select(
+        _pick(STATES, key).alias("state"), (key % 5 + 0.5).cast("decimal(5,2)").alias("incentive_score")
+    )
+
+
+_BUILDERS = {
+    "out_eia923__monthly_generation_fuel_combined": _generation,
+    "out_eia__monthly_generators": _generators,
+    "out_eia930__hourly_operations": _hourly,
+    "out_eia923__monthly_fuel_receipts_costs": _receipts,
+    "raw_eia861__yearly_sales": _sales,
+    "raw_eia861__yearly_reliability": _reliability,
+    "raw_eia861__yearly_energy_efficiency": _efficiency,
+    "raw_eia861__yearly_demand_response": _response,
+    "raw_eia860__storage_generators": _storage,
+    "raw_dc_metrics": _data_centers,
+    "market_structure_ref": _structure,
+    "raw_dsire_incentive_scores": _incentives,
+}
 
 
 def facility_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
