@@ -50,13 +50,11 @@ def ramp_metrics(
     ``date_trunc`` unit) whose rows fit one task.
     """
     order = [F.col(ts), *[F.col(t) for t in tie]]
-    when = F.struct(*order)
     w = Window.partitionBy(key, "_chunk").orderBy(*order)
     steps = df.select(key, ts, *tie, *dict.fromkeys(r.value for r in ramps)).withColumn("_chunk", F.date_trunc(chunk, F.col(ts)))
-    lags: dict[str, Column] = {}
-    for i, r in enumerate(ramps):
-        lags[f"_p{i}"] = F.lag(r.value).over(w)
-    steps = steps.withColumns(lags)
+    seen: dict[str, Column] = {f"_p{i}": F.lag(r.value).over(w) for i, r in enumerate(ramps)}
+    seen |= {"_first": F.row_number().over(w) == 1, "_last": F.lead(F.lit(True)).over(w).isNull()}
+    steps = steps.withColumns(seen)
 
     aggs: list[Column] = []
     for i, r in enumerate(ramps):
@@ -67,8 +65,8 @@ def ramp_metrics(
             (F.var_pop(d) * F.count(d)).alias(f"_v{i}"),
             F.max(d).alias(f"_x{i}"),
             F.count(prev).alias(f"_k{i}"),
-            F.min_by(r.value, when).alias(f"_f{i}"),
-            F.max_by(r.value, when).alias(f"_l{i}"),
+            F.max(F.when(F.col("_first"), F.col(r.value))).alias(f"_f{i}"),
+            F.max(F.when(F.col("_last"), F.col(r.value))).alias(f"_l{i}"),
         ]
     chunks = steps.groupBy(key, "_chunk").agg(*aggs)
 
