@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 _VERTICES = "array<array<double>>"  # one ring of [lon, lat] pairs
 
@@ -53,7 +53,7 @@ def read_geojson(spark: SparkSession, path: str, properties: StructType, layout:
     feature's place in its document; in lines it only orders the features.
     """
     if layout == "document":
-        schema = StructType().add("features", "array<string>")
+        schema = StructType().add("features", ArrayType(StringType()))
         docs = spark.read.schema(schema).option("multiLine", True).json(path)
         rows = docs.select(F.posexplode("features").alias("_pos", "_text"))
     elif layout == "lines":

@@ -29,11 +29,28 @@ def _conform(df: DataFrame, schema: StructType, source: str) -> DataFrame:
     return df.select(*cols)
 
 
-def load_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Parquet table with the declared columns, non-finite numbers as NULL."""
+_CASES = {"upper": F.upper, "lower": F.lower}
+
+
+def load_table(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    codes: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Parquet table with the declared columns, non-finite numbers as NULL.
+
+    Comparisons are case-sensitive, so ``codes`` (column -> 'upper' or 'lower')
+    trims and normalises code columns whose spelling varies. Leave it out for
+    clean data: a normalised column cannot be filtered in the scan.
+    """
     df = spark.read.parquet(path)
     if schema is not None:
         df = _conform(df, schema, path)
+    for col, case in (codes or {}).items():
+        if case not in _CASES:
+            raise ValueError(f"code case must be 'upper' or 'lower', not {case!r}")
+        df = df.withColumn(col, _CASES[case](F.btrim(col)))
     return clean_non_finite(df)
 
 
