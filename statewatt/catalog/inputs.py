@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statewatt.catalog.registry import table
+from statewatt.catalog.registry import hundredths, table
 from statewatt.functions import value_map
 
 STATES = (
@@ -100,12 +100,12 @@ def _generators(t) -> DataFrame:
 
 
 def _hourly(t) -> DataFrame:
-    event, value, user = F.col("event_id"), F.col("value"), F.col("user_id")
+    event, value, user = F.col("event_id"), hundredths("value"), F.col("user_id")
     return t("events").select(
         _unless(user % 20 == 17, F.concat(F.lit("BA"), user % 20)).alias("balancing_authority_code_eia"),
         (F.col("ts") - F.make_ym_interval(F.lit(0), (event % 80).cast("int"))).alias("datetime_utc"),
-        _unless(event % 53 == 0, value * 10).alias("net_generation_imputed_eia_mwh"),
-        _unless(event % 59 == 0, value * 8 + event % 11).alias("demand_imputed_pudl_mwh"),
+        _unless(event % 53 == 0, value * 3).alias("net_generation_imputed_eia_mwh"),
+        _unless(event % 59 == 0, value * 2 + event % 11).alias("demand_imputed_pudl_mwh"),
         (event % 13 * 5 - value).alias("interchange_adjusted_mwh"),
     )
 

@@ -49,8 +49,8 @@ _CTES: dict[str, str] = {
   l_discount AS cf, CASE WHEN o_custkey % 20 <> 13 THEN 'BA' || ((c_nationkey * 5 + o_custkey % 3) % 29) END AS ba
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",
     "hours": """SELECT * FROM (SELECT CASE WHEN user_id % 20 <> 17 THEN 'BA' || (user_id % 20) END AS ba,
-  ts - to_months(CAST(event_id % 80 AS INT)) AS tick, CASE WHEN event_id % 53 <> 0 THEN value * 10 END AS g,
-  CASE WHEN event_id % 59 <> 0 THEN value * 8 + event_id % 11 END AS d, event_id % 13 * 5 - value AS x FROM events)
+  ts - to_months(CAST(event_id % 80 AS INT)) AS tick, CASE WHEN event_id % 53 <> 0 THEN v * 3 END AS g,
+  CASE WHEN event_id % 59 <> 0 THEN v * 2 + event_id % 11 END AS d, event_id % 13 * 5 - v AS x FROM (SELECT *, round(value * 100) AS v FROM events))
   WHERE tick >= TIMESTAMP '2019-01-01'""",
     "receipts": f"""SELECT CASE WHEN l_orderkey % 103 <> 0 THEN {_state('s_nationkey')} END AS state,
   CASE WHEN l_returnflag = 'N' AND s_nationkey % 5 = 0 THEN 'wood' ELSE {_case('l_returnflag', {'A': 'gas', 'N': 'coal', 'R': 'oil'})} END AS fuel,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statewatt import operators as op
-from statewatt.catalog.registry import as_double, as_long, money, query, rounded, table
+from statewatt.catalog.registry import as_double, as_long, hundredths, money, query, rounded, table
 from statewatt.functions import (
     access_gap_flag,
     clean_non_finite,
@@ -24,18 +24,18 @@ from statewatt.functions import (
 
 
 def _ramps(spark, sf, ddof):
-    events = table(spark, sf, "events")
+    events = table(spark, sf, "events").withColumn("value", hundredths("value"))
     out = op.ramp_metrics(
         events, "user_id", "ts", [op.Ramp("value", "avg_ramp", "max_ramp", "std_dev_ramp", ddof)], ["event_id"], "minute"
     )
-    return rounded(out, 6, "avg_ramp", "max_ramp", "std_dev_ramp")
+    return rounded(out, 6, "std_dev_ramp")
 
 
 _RAMP_SQL = """
 WITH steps AS (
-  SELECT user_id, abs(value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS step FROM events)
-SELECT user_id, round(avg(step), 6) AS avg_ramp, round(max(step), 6) AS max_ramp,
-       round({std}(step), 6) AS std_dev_ramp
+  SELECT user_id, abs(v - lag(v) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS step
+  FROM (SELECT user_id, ts, event_id, round(value * 100) AS v FROM events))
+SELECT user_id, avg(step) AS avg_ramp, max(step) AS max_ramp, round({std}(step), 6) AS std_dev_ramp
 FROM steps WHERE step IS NOT NULL GROUP BY user_id"""
 
 
@@ -51,31 +51,29 @@ def ramp_samp(spark, sf):
 
 @query(
     "series_profile",
-    """SELECT user_id, round(avg(value), 6) AS avg_value, round(stddev_pop(value), 6) AS std_dev_value,
-       max(value) AS max_value, min(value) AS min_value, round(max(value) - min(value), 6) AS range_value,
-       round(stddev_pop(value) / nullif(avg(value), 0), 6) AS cv_value
-FROM events GROUP BY user_id""",
+    """SELECT user_id, avg(v) AS avg_value, round(stddev_pop(v), 6) AS std_dev_value, max(v) AS max_value, min(v) AS min_value,
+       max(v) - min(v) AS range_value, round(stddev_pop(v) / nullif(avg(v), 0), 6) AS cv_value
+FROM (SELECT user_id, round(value * 100) AS v FROM events) GROUP BY user_id""",
 )
 def series_profile(spark, sf):
     names = {s: f"{s}_value" for s in ("avg", "max", "min", "range", "cv")} | {"stddev": "std_dev_value"}
-    out = op.series_profile(table(spark, sf, "events"), ["user_id"], [op.Profile(F.col("value"), names)])
-    return rounded(out, 6, "avg_value", "std_dev_value", "range_value", "cv_value")
+    out = op.series_profile(table(spark, sf, "events"), ["user_id"], [op.Profile(hundredths("value"), names)])
+    return rounded(out, 6, "std_dev_value", "cv_value")
 
 
 @query(
     "gap_profile",
-    """WITH g AS (SELECT l_suppkey, l_extendedprice - l_quantity * 1000 AS gap, l_quantity * 1000 AS need FROM lineitem)
-SELECT l_suppkey, round(avg(gap), 4) AS avg_gap, round(stddev_pop(gap), 4) AS std_dev_gap,
-       round(max(gap), 4) AS max_surplus, round(min(gap), 4) AS max_deficit,
+    """WITH g AS (SELECT l_suppkey, round(l_extendedprice * 100) - l_quantity * 100000 AS gap, l_quantity * 100000 AS need FROM lineitem)
+SELECT l_suppkey, avg(gap) AS avg_gap, round(stddev_pop(gap), 3) AS std_dev_gap, max(gap) AS max_surplus, min(gap) AS max_deficit,
        round(stddev_pop(gap) / nullif(avg(need), 0), 6) AS cv_gap
 FROM g GROUP BY l_suppkey""",
 )
 def gap_profile(spark, sf):
-    need = F.col("l_quantity") * 1000
+    need = F.col("l_quantity") * 100000
     names = {"avg": "avg_gap", "stddev": "std_dev_gap", "max": "max_surplus", "min": "max_deficit", "cv": "cv_gap"}
-    gap = op.Profile(F.col("l_extendedprice") - need, names, cv_base=need)
+    gap = op.Profile(hundredths("l_extendedprice") - need, names, cv_base=need)
     out = op.series_profile(table(spark, sf, "lineitem"), ["l_suppkey"], [gap])
-    return rounded(rounded(out, 4, "avg_gap", "std_dev_gap", "max_surplus", "max_deficit"), 6, "cv_gap")
+    return rounded(rounded(out, 3, "std_dev_gap"), 6, "cv_gap")
 
 
 # --- roll-ups ----------------------------------------------------------------

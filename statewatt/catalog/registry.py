@@ -32,6 +32,12 @@ def money(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
 
 
+def hundredths(c: str) -> Column:
+    """A two-place amount in whole hundredths: sums are exact in any order, so
+    means agree to the last bit between engines."""
+    return F.round(F.col(c) * 100)
+
+
 def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in cols})
 

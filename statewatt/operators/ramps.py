@@ -7,6 +7,23 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _chunk(df: DataFrame, ts: str, unit: str) -> Column:
+    """Start or number of the time chunk a row falls in, in time order.
+
+    Zone-less timestamps are cut by their own fields: a detour through the
+    session zone could reorder chunks around a clock change.
+    """
+    c = F.col(ts)
+    if not isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return F.date_trunc(unit, c)
+    day = c.cast("date")
+    if unit in ("hour", "minute"):
+        number = F.unix_date(day) * F.lit(24) + F.hour(c)
+        return number if unit == "hour" else number.cast("long") * F.lit(60) + F.minute(c)
+    return day if unit == "day" else F.trunc(day, unit)
 
 
 @dataclass(frozen=True)
@@ -46,12 +63,12 @@ def ramp_metrics(
     Rows are windowed per (key, time chunk), so one key's history is spread
     over as many tasks as it has chunks. Each chunk leaves its moments and its
     first and last value; the step between chunks is added from those, and
-    moments are merged around the key's mean. Pick a ``chunk`` (any
-    ``date_trunc`` unit) whose rows fit one task.
+    moments are merged around the key's mean. Pick a ``chunk`` (minute, hour,
+    day, week, month, quarter or year) whose rows fit one task.
     """
     order = [F.col(ts), *[F.col(t) for t in tie]]
     w = Window.partitionBy(key, "_chunk").orderBy(*order)
-    steps = df.select(key, ts, *tie, *dict.fromkeys(r.value for r in ramps)).withColumn("_chunk", F.date_trunc(chunk, F.col(ts)))
+    steps = df.select(key, ts, *tie, *dict.fromkeys(r.value for r in ramps)).withColumn("_chunk", _chunk(df, ts, chunk))
     seen: dict[str, Column] = {f"_p{i}": F.lag(r.value).over(w) for i, r in enumerate(ramps)}
     seen |= {"_first": F.row_number().over(w) == 1, "_last": F.lead(F.lit(True)).over(w).isNull()}
     steps = steps.withColumns(seen)
@@ -61,7 +78,7 @@ def ramp_metrics(
         prev, d = F.col(f"_p{i}"), F.abs(F.col(r.value) - F.col(f"_p{i}"))
         aggs += [
             F.count(d).alias(f"_n{i}"),
-            F.avg(d).alias(f"_m{i}"),
+            F.sum(d).alias(f"_s{i}"),
             (F.var_pop(d) * F.count(d)).alias(f"_v{i}"),
             F.max(d).alias(f"_x{i}"),
             F.count(prev).alias(f"_k{i}"),
@@ -79,7 +96,7 @@ def ramp_metrics(
     means = {}
     for i in range(len(ramps)):
         n = F.col(f"_n{i}") + F.col(f"_b{i}").isNotNull().cast("int")
-        s = F.coalesce(F.col(f"_m{i}") * F.col(f"_n{i}"), zero) + F.coalesce(F.col(f"_b{i}"), zero)
+        s = F.coalesce(F.col(f"_s{i}"), zero) + F.coalesce(F.col(f"_b{i}"), zero)
         means[f"_mu{i}"] = F.try_divide(F.sum(s).over(whole), F.sum(n).over(whole))
     chunks = chunks.withColumns(means)
 
@@ -88,7 +105,7 @@ def ramp_metrics(
     for i, r in enumerate(ramps):
         b, mu = F.col(f"_b{i}"), F.col(f"_mu{i}")
         n = F.sum(F.col(f"_n{i}") + b.isNotNull().cast("int"))
-        spread = F.col(f"_m{i}") - mu
+        spread = F.try_divide(F.col(f"_s{i}"), F.col(f"_n{i}")) - mu
         m2 = F.sum(
             F.coalesce(F.col(f"_v{i}") + F.col(f"_n{i}") * spread * spread, zero) + F.coalesce((b - mu) * (b - mu), zero)
         )

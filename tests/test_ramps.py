@@ -81,3 +81,17 @@ def test_no_step_of_the_plan_gathers_a_whole_key(spark, gaps):
 def test_ddof_is_checked():
     with pytest.raises(ValueError):
         op.Ramp("v", "a", "m", "s", 2)
+
+
+@pytest.mark.parametrize("chunk", ["minute", "hour", "day", "week", "month", "year"])
+def test_zoneless_times_do_not_depend_on_the_session_zone(spark, chunk):
+    # 02:30 does not exist in this zone on that day
+    times = ["2024-03-10 01:50:00", "2024-03-10 02:30:00", "2024-03-10 03:00:00", "2024-03-10 03:30:00"]
+    df = spark.createDataFrame([("k", t, v) for t, v in zip(times, [1.0, 2.0, 4.0, 8.0])], "k string, t string, v double")
+    df = df.select("k", F.col("t").cast("timestamp_ntz").alias("ts"), "v")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = op.ramp_metrics(df, "k", "ts", [op.Ramp("v", "a", "m", "s")], chunk=chunk).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r.a == pytest.approx(7 / 3) and r.m == 4.0
