@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from statewatt.catalog.inputs import CLASSES, FUELS, OPERATORS, STATES, STRUCTURES, DerivedInputs, facility_inputs
 from statewatt.catalog.joins import lcs_sql, sorted_tokens_sql
 from statewatt.catalog.registry import query
-from statewatt.plans import Models, config, facilities_in_territory
+from statewatt.plans import Models, config, facilities_in_territory, territory_report as run_report
 
 # --- inputs in SQL -----------------------------------------------------------
 
@@ -529,3 +529,17 @@ CAST(sum(n) AS BIGINT) AS dc_facility_count, CAST(sum(area) AS BIGINT) AS dc_sqf
 )
 def dc_in_coop_territory_deduped(spark, sf):
     return _territory(spark, sf, "dc_in_coop_territory_deduped")
+
+
+@query(
+    "territory_report",
+    f"""WITH {_LANDS},
+outside AS (SELECT count(*) AS n FROM sites s WHERE NOT EXISTS (SELECT 1 FROM lands WHERE lon > x AND lon < x + 25 AND lat > y AND lat < y + 40))
+SELECT 'inside_rows' AS metric, count(*) AS value FROM inside UNION ALL SELECT 'inside_facilities', count(*) FROM firsts
+UNION ALL SELECT 'outside_rows', n FROM outside UNION ALL SELECT 'territories', count(*) FROM lots
+UNION ALL SELECT 'unmatched_territories', count(*) FILTER (pick IS NULL) FROM matched""",
+)
+def territory_report(spark, sf):
+    features, atlas, utilities = facility_inputs(spark, sf)
+    matched = facilities_in_territory(features, atlas, utilities, cell_deg=8.0)["territory_matches"]
+    return run_report(features, atlas, matched, cell_deg=8.0)

@@ -105,8 +105,11 @@ def fuzzy_best_match(
 def match_report(df: DataFrame, name: str, match: str) -> DataFrame:
     """Per name: its match, whether it has one, and how many names share it."""
     names = df.select(name, match).distinct()
-    shared = names.filter(F.col(match).isNotNull()).groupBy(match).agg(F.count(F.lit(1)).alias("names_on_match"))
-    return names.join(shared, match, "left").select(
+    shared = names.filter(F.col(match).isNotNull()).groupBy(F.struct(match).alias("_key")).agg(F.count(F.lit(1)).alias("names_on_match"))
+    # unmatched names get a key of their own, so that they do not all meet in
+    # the partition of the NULL key
+    spread = F.struct(F.coalesce(match, F.concat(F.lit("\0"), name)).alias(match))
+    return names.withColumn("_key", spread).join(shared, "_key", "left").select(
         name,
         match,
         F.when(F.col(match).isNull(), "unmatched").otherwise("matched").alias("status"),

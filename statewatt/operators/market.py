@@ -162,5 +162,9 @@ def market_base(
 
 
 def having_semi(df: DataFrame, key: str, allowed: DataFrame) -> DataFrame:
-    """Rows whose key occurs in ``allowed``; filters before any aggregation."""
-    return df.join(allowed.select(key), key, "left_semi")
+    """Rows whose key occurs in ``allowed``; filters before any aggregation.
+
+    The allowed keys are made distinct first, so a key that fills the list
+    travels once.
+    """
+    return df.join(allowed.select(key).distinct(), key, "left_semi")

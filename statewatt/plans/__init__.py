@@ -1,4 +1,4 @@
-from statewatt.plans.models import TABLES, Models
-from statewatt.plans.territory import facilities_in_territory
+from statewatt.plans.models import REPORT_ORDER, TABLES, Models
+from statewatt.plans.territory import facilities_in_territory, territory_report
 
-__all__ = ["TABLES", "Models", "facilities_in_territory"]
+__all__ = ["REPORT_ORDER", "TABLES", "Models", "facilities_in_territory", "territory_report"]

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from statewatt.plans import commercial, config, fuel, grid, infrastructure, integration, residential, transition
 from statewatt.session import stored
@@ -22,6 +23,7 @@ class Models:
     read go through ``keep(name, df)``, by default a parquet copy in the shared
     checkpoint folder; pass a function to name and place them yourself.
     ``fanout='dedup'`` removes the join fan-out of the published formulas.
+    ``ramp_chunk`` is the time unit whose rows of one area fit one task.
     """
 
     def __init__(
@@ -29,16 +31,23 @@ class Models:
         inputs: Mapping[str, DataFrame],
         keep: Callable[[str, DataFrame], DataFrame] = _stored,
         fanout: str = "keep",
+        ramp_chunk: str = "day",
     ) -> None:
         self.inputs = inputs
         self.keep = keep
         self.fanout = fanout
+        self.ramp_chunk = ramp_chunk
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in TABLES:
             raise KeyError(table)
         return getattr(self, table)
 
+    def report(self, table: str) -> DataFrame:
+        """A table in its reading order; stored tables carry no order."""
+        order = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in REPORT_ORDER.get(table, "").split()]
+        return self[table].orderBy(*order) if order else self[table]
+
     # inputs ----------------------------------------------------------------
 
     def _input(self, name: str) -> DataFrame:
@@ -84,15 +93,15 @@ class Models:
 
     @cached_property
     def module_a_ramp_rates(self) -> DataFrame:
-        return grid.generation_ramps(self._hourly)
+        return grid.generation_ramps(self._hourly, self.ramp_chunk)
 
     @cached_property
     def module_a_additional_ramps(self) -> DataFrame:
-        return grid.additional_ramps(self._hourly)
+        return grid.additional_ramps(self._hourly, self.ramp_chunk)
 
     @cached_property
     def module_a_hourly_final(self) -> DataFrame:
-        return grid.hourly_metrics(self._hourly)
+        return grid.hourly_metrics(self._hourly, self.ramp_chunk)
 
     @cached_property
     def module_a2_state_hourly_metrics(self) -> DataFrame:
@@ -218,4 +227,34 @@ class Models:
         return integration.final_business(self.module_f_ci_score, self.module_f_dc_score)
 
 
+# a leading minus sorts descending
+REPORT_ORDER = {
+    "module_a_monthly_metrics": "state fuel_type_code_pudl",
+    "ba_state_mapping": "balancing_authority_code_eia",
+    "module_a_hourly_final": "null_count",
+    "module_a2_state_hourly_metrics": "state",
+    "module_b_base": "state fuel_type_code_pudl period",
+    "module_b_cost_per_mwh": "state fuel_type_code_pudl period",
+    "module_b_metrics": "state fuel_type_code_pudl",
+    "module_b_cost_spread": "-oil_coal_spread",
+    "module_c_concentration": "-hhi_concentration",
+    "module_c_renewable_trend": "-variable_re_growth",
+    "module_c_summary": "-variable_re_growth_pct",
+    "module_c_fuel_share": "state fuel_type_code_pudl",
+    "module_d_industrial_load": "-industrial_pct",
+    "module_d_storage_deployment": "-storage_units",
+    "module_d_reliability": "-saidi_weighted_avg",
+    "module_d_regulatory_receptiveness": "-ee_savings_mwh",
+    "module_ref_cooperative_density": "-cooperative_customer_pct",
+    "module_e_residential_market": "-residential_customers",
+    "module_e_residential_score": "-residential_composite_score",
+    "module_f_dc_score": "-dc_composite_score -dc_twh_per_year",
+    "module_f_ci_market": "state",
+    "module_f_ci_score": "-ci_composite_score",
+    "integration_base": "state",
+    "integration_final_grid": "opportunity_rank",
+    "integration_final_residential": "opportunity_rank",
+    "integration_final_ci": "opportunity_rank",
+}
+
 TABLES = [name for name, member in vars(Models).items() if isinstance(member, cached_property) and not name.startswith("_")]

@@ -20,20 +20,49 @@ from statewatt.sources import feature_filter
 COUNT, AREA = "dc_facility_count", "dc_sqft_in_territory"
 
 
+def _located(features: DataFrame, atlas: DataFrame, srid: int, cell_deg: float, how: str) -> DataFrame:
+    lands = feature_filter(features, c.TERRITORY_TYPE).select("ordinal", "properties.NAME", "properties.STATE", "polygons")
+    lands = normalise_crs(lands, srid, geometry="polygons")
+    points = atlas.dropna(subset=["lat", "lon"])
+    return spatial_join(points, lands, "lon", "lat", "polygons", ["ordinal", "NAME", "STATE"], cell_deg, how)
+
+
+def _one_territory_each(inside: DataFrame) -> DataFrame:
+    return dedup_first(inside.filter(F.col("NAME").isNotNull()), "id", ["ordinal", "lon", "lat"])
+
+
 def facilities_by_territory(features: DataFrame, atlas: DataFrame, srid: int = 4326, cell_deg: float = 0.5) -> DataFrame:
     """Facility count and area per territory (NAME, STATE).
 
     Territories are narrowed to cooperatives before the join; a facility in
-    overlapping territories counts in the first feature only.
+    overlapping territories counts in the first feature only. Facilities
+    outside all of them matter to the run report alone, so this join is inner.
     """
-    lands = feature_filter(features, c.TERRITORY_TYPE).select("ordinal", "properties.NAME", "properties.STATE", "polygons")
-    lands = normalise_crs(lands, srid, geometry="polygons")
-    points = atlas.dropna(subset=["lat", "lon"])
-    # a facility without a territory is only counted in the run report, so the
-    # territory table needs no outer join
-    inside = spatial_join(points, lands, "lon", "lat", "polygons", ["ordinal", "NAME", "STATE"], cell_deg, how="inner")
-    first = dedup_first(inside.filter(F.col("NAME").isNotNull()), "id", ["ordinal", "lon", "lat"])
-    return territory_rollup(first, ["NAME", "STATE"], "id", "sqft", COUNT, AREA)
+    inside = _located(features, atlas, srid, cell_deg, "inner")
+    return territory_rollup(_one_territory_each(inside), ["NAME", "STATE"], "id", "sqft", COUNT, AREA)
+
+
+def _as_metrics(counts: DataFrame) -> DataFrame:
+    pairs = [F.struct(F.lit(n).alias("metric"), F.col(n).cast("long").alias("value")) for n in counts.columns]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
+def territory_report(features: DataFrame, atlas: DataFrame, matched: DataFrame, srid: int = 4326, cell_deg: float = 0.5) -> DataFrame:
+    """Run counts as (metric, value) rows: facilities inside before and after
+    each is given one territory, those outside, territories in use, and
+    territory names without a match."""
+    located = _located(features, atlas, srid, cell_deg, "left")
+    known = F.col("NAME").isNotNull()
+    per_id = located.groupBy("id").agg(F.count_if(known).alias("_in"), F.count_if(~known).alias("_out"))
+    facilities = per_id.agg(
+        F.coalesce(F.sum("_in"), F.lit(0)).alias("inside_rows"),
+        F.count_if(F.col("_in") > 0).alias("inside_facilities"),
+        F.coalesce(F.sum("_out"), F.lit(0)).alias("outside_rows"),
+    )
+    names = matched.agg(
+        F.count(F.lit(1)).alias("territories"), F.count_if(F.col("match").isNull()).alias("unmatched_territories")
+    )
+    return _as_metrics(facilities).union(_as_metrics(names))
 
 
 def facilities_in_territory(

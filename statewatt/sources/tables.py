@@ -6,12 +6,18 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType, TimestampNTZType, TimestampType
 
 from statewatt.functions import clean_non_finite
 from statewatt.sources.schemas import SCHEMAS
 
 
+def _fits(stored: DataType, declared: DataType) -> bool:
+    """Same type, or a time without zone where a time is declared: casting the
+    latter would keep time filters out of the scan."""
+    return stored == declared or (isinstance(stored, TimestampNTZType) and isinstance(declared, TimestampType))
+
+
 def _conform(df: DataFrame, schema: StructType, source: str) -> DataFrame:
     """Declared columns in declared types; a missing column fails early.
 
@@ -25,7 +31,7 @@ def _conform(df: DataFrame, schema: StructType, source: str) -> DataFrame:
     cols = []
     for f in schema.fields:
         c = F.col(f"`{f.name}`")
-        cols.append(c if stored[f.name] == f.dataType else c.cast(f.dataType).alias(f.name))
+        cols.append(c if _fits(stored[f.name], f.dataType) else c.cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
 

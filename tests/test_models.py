@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from statewatt.plans import TABLES, Models, config, facilities_in_territory
+from statewatt.plans import REPORT_ORDER, TABLES, Models, config, facilities_in_territory, territory_report
 from statewatt.sources import SCHEMAS, load_inputs, read_csv, read_geojson, write_csv, write_table
 from statewatt.sources.schemas import GEO_PROPERTIES
 
@@ -228,9 +228,24 @@ def test_facilities_from_files_to_files(spark, tmp_path, rows):
         ("Beta Power Assn", 1, 14, "BETA POWER ASSOCIATION"),
         ("Zzzzzz", 1, 7, None),
     ]
+    counts = territory_report(
+        read_geojson(spark, str(tmp_path / "lands.geojson"), GEO_PROPERTIES),
+        read_csv(spark, str(tmp_path / "atlas.csv"), SCHEMAS["data_center_atlas"]),
+        out["territory_matches"],
+        cell_deg=1.0,
+    )
+    assert dict(rows(counts)) == {"inside_rows": 10, "inside_facilities": 6, "outside_rows": 1, "territories": 3, "unmatched_territories": 1}
     raw = rows(out["dc_in_coop_territory"], "utility_name_eia", "dc_facility_count")
     assert raw == [("ALPHA ELECTRIC COOPERATIVE", 3), ("Alpha Cooperative Electric", 0), ("Beta Power Association", 1), ("Gamma", 0), ("Nobody", 0)]
     deduped = rows(out["dc_in_coop_territory_deduped"])
     assert deduped == [(1, "ALPHA ELECTRIC COOPERATIVE", "TX", 3, 150), (2, "Beta Power Association", "TX", 1, 14), (3, "Gamma", "NM", 0, 0)]
     write_csv(out["dc_in_coop_territory_deduped"], str(tmp_path / "out"))
     assert read_csv(spark, str(tmp_path / "out"), out["dc_in_coop_territory_deduped"].schema).count() == 3
+
+
+def test_reports_are_ordered(models):
+    ranks = [r.opportunity_rank for r in models.report("integration_final_grid").collect()]
+    assert ranks == sorted(ranks)
+    assert set(REPORT_ORDER) <= set(TABLES)
+    for name in ("module_b_cost_spread", "module_f_dc_score", "module_a_hourly_final", "module_a_base"):
+        assert models.report(name).count() == models[name].count()

@@ -19,7 +19,11 @@ def test_table_is_cleaned_pruned_and_typed(spark, tmp_path):
     )
     src.write_table(raw, path)
     df = src.load_table(spark, path, SCHEMAS["out_eia930__hourly_operations"])
-    assert df.schema.simpleString() == SCHEMAS["out_eia930__hourly_operations"].simpleString()
+    types = dict(df.dtypes)
+    assert list(types) == SCHEMAS["out_eia930__hourly_operations"].fieldNames()
+    assert types["demand_imputed_pudl_mwh"] == "double" and types["datetime_utc"] == "timestamp_ntz"
+    recent = df.filter(F.col("datetime_utc") >= F.lit(dt.date(2019, 1, 1)))
+    assert "GreaterThanOrEqual(datetime_utc,2019-01-01T00:00)" in recent._jdf.queryExecution().executedPlan().toString()
     got = df.orderBy("datetime_utc").collect()
     assert [r.net_generation_imputed_eia_mwh for r in got] == [2.0, None]
     assert [r.interchange_adjusted_mwh for r in got] == [3.0, None]
