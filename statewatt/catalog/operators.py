@@ -26,7 +26,7 @@ from statewatt.functions import (
 def _ramps(spark, sf, ddof):
     events = table(spark, sf, "events").withColumn("value", hundredths("value"))
     out = op.ramp_metrics(
-        events, "user_id", "ts", [op.Ramp("value", "avg_ramp", "max_ramp", "std_dev_ramp", ddof)], ["event_id"], "minute"
+        events, "user_id", "ts", [op.Ramp("value", "avg_ramp", "max_ramp", "std_dev_ramp", ddof)], ["event_id"]
     )
     return rounded(out, 6, "std_dev_ramp")
 

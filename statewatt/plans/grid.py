@@ -69,16 +69,16 @@ def _recent(hourly: DataFrame) -> DataFrame:
     return hourly.filter(since("datetime_utc", c.FIRST_DAY))
 
 
-def generation_ramps(hourly: DataFrame, chunk: str = "day") -> DataFrame:
-    return ramp_metrics(_recent(hourly), AREA, "datetime_utc", [GENERATION_RAMP], chunk=chunk)
+def generation_ramps(hourly: DataFrame) -> DataFrame:
+    return ramp_metrics(_recent(hourly), AREA, "datetime_utc", [GENERATION_RAMP])
 
 
-def additional_ramps(hourly: DataFrame, chunk: str = "day") -> DataFrame:
+def additional_ramps(hourly: DataFrame) -> DataFrame:
     ramps = [DEMAND_RAMP, INTERCHANGE_RAMP]
-    return ramp_metrics(_recent(hourly), AREA, "datetime_utc", ramps, chunk=chunk, drop_first=False)
+    return ramp_metrics(_recent(hourly), AREA, "datetime_utc", ramps, drop_first=False)
 
 
-def hourly_metrics(hourly: DataFrame, chunk: str = "day") -> DataFrame:
+def hourly_metrics(hourly: DataFrame) -> DataFrame:
     """Hourly profiles and all three ramps per area.
 
     Hourly rows are aggregated before the ramps are attached, and the three
@@ -109,7 +109,7 @@ def hourly_metrics(hourly: DataFrame, chunk: str = "day") -> DataFrame:
         ),
     ]
     all_ramps = [GENERATION_RAMP, DEMAND_RAMP, INTERCHANGE_RAMP]
-    ramps = ramp_metrics(recent, AREA, "datetime_utc", all_ramps, chunk=chunk, drop_first=False)
+    ramps = ramp_metrics(recent, AREA, "datetime_utc", all_ramps, drop_first=False)
     checked = ["avg_hourly_gen_mwh", "avg_hourly_demand_mwh", "avg_gap_mwh", "avg_ramp_rate_mwh", "avg_demand_ramp_mwh"]
     return (
         series_profile(recent, [AREA], profiles)
