@@ -8,13 +8,17 @@ are range-partitioned, so each task sorts its own slice of the order.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from statewatt.session import reliable_checkpoint
+from statewatt.session import stored
 
 SMALL_ROWS = 100_000
+SAMPLE_ROWS = 200_000
+_BRACKETED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 _PARTITION_BITS = 33  # monotonically_increasing_id: partition number above, row index below
 
 
@@ -33,7 +37,7 @@ def _positions(df: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, dict[
     Only the slice sizes reach the driver: one number per partition.
     """
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_pos", F.monotonically_increasing_id())
-    pinned = reliable_checkpoint(placed)
+    pinned = stored(placed)
     slices = pinned.groupBy(F.shiftright("_pos", _PARTITION_BITS).alias("_slice")).count().collect()
     return pinned, {row["_slice"]: row["count"] for row in slices}
 
@@ -51,23 +55,85 @@ def _bucket_ends(rows: int, n: int) -> list[int]:
     return ends
 
 
-def _cut_rows(df: DataFrame, cols: Sequence[str], n: int) -> list:
-    """The last row of each bucket in (cols) order, NULLs first: n - 1 rows."""
+def _rows_at(df: DataFrame, cols: Sequence[str], ranks: Sequence[int]) -> list:
+    """The rows at 1-based ranks in (cols) order, NULLs first; None past the end."""
     order = [F.col(c).asc_nulls_first() for c in cols]
     pinned, sizes = _positions(df.select(*cols), order)
-    ends = [e for e in _bucket_ends(sum(sizes.values()), n) if e > 0]
-    wanted: list[int] = []
-    for end in ends:
-        seen = 0
+    wanted: list[int | None] = []
+    for rank in ranks:
+        seen, position = 0, None
         for piece in sorted(sizes):
-            if end <= seen + sizes[piece]:
-                wanted.append((piece << _PARTITION_BITS) + end - seen - 1)
+            if rank <= seen + sizes[piece]:
+                position = (piece << _PARTITION_BITS) + rank - seen - 1
                 break
             seen += sizes[piece]
-    if not wanted:
+        wanted.append(position)
+    found = pinned.filter(F.col("_pos").isin([p for p in wanted if p is not None])).collect()
+    rows = {r["_pos"]: r for r in found}
+    return [rows.get(p) for p in wanted]
+
+
+def _brackets(df: DataFrame, col: str, known: int, ranks: Sequence[int]) -> list[tuple[float, float]]:
+    """Per rank among the known values, a value range that very likely holds it."""
+    sample = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    if known > SAMPLE_ROWS:
+        sample = sample.sample(SAMPLE_ROWS / known, seed=17)
+    probabilities: list[float] = []
+    for rank in ranks:
+        p = rank / known
+        # four standard errors of a sample quantile, and the sketch's own error
+        slack = 4 * (p * (1 - p) / SAMPLE_ROWS) ** 0.5 + 2e-4
+        probabilities += [max(p - slack, 0.0), min(p + slack, 1.0)]
+    cuts = sample.agg(F.percentile_approx("_x", probabilities, 10_000)).first()[0] or []
+    return list(zip(cuts[::2], cuts[1::2]))
+
+
+def _cut_rows(df: DataFrame, cols: Sequence[str], n: int) -> list:
+    """The last row of each bucket in (cols) order, NULLs first: n - 1 rows.
+
+    For a number, a sample brackets each border; exact counts of the rows
+    around the brackets tell the border's rank inside them, so only the
+    bracketed rows are sorted. A border found outside its bracket, or a column
+    that is not a number, sorts the whole column.
+    """
+    counts = df.agg(F.count(F.lit(1)).alias("rows"), F.count(cols[0]).alias("known")).first()
+    ends = [e for e in _bucket_ends(counts["rows"], n) if e > 0]
+    if not ends:
         return []
-    rows = {r["_pos"]: r for r in pinned.filter(F.col("_pos").isin(wanted)).collect()}
-    return [rows[p] for p in wanted]
+    if isinstance(df.schema[cols[0]].dataType, _BRACKETED):
+        found = _bracketed_rows(df, cols, ends, counts["rows"] - counts["known"], counts["known"])
+        if found is not None:
+            return found
+    return _rows_at(df, cols, ends)
+
+
+def _bracketed_rows(df: DataFrame, cols: Sequence[str], ends: Sequence[int], missing: int, known: int) -> list | None:
+    """Border rows from the bracketed rows alone; None if a bracket misses.
+
+    A bracket compares values as doubles. The cast keeps their order, so what
+    lies below a bracket lies before the border even where it loses digits.
+    """
+    x = F.col(cols[0]).cast("double")
+    in_nulls = [e for e in ends if e <= missing]
+    in_values = [e - missing for e in ends if e > missing]
+    brackets = _brackets(df, cols[0], known, in_values) if in_values else []
+    if len(brackets) < len(in_values):
+        return None
+    near = reduce(lambda a, b: a | b, [x.between(low, high) for low, high in brackets], F.lit(False))
+    near = F.coalesce(near, F.lit(bool(in_nulls))) if brackets else x.isNull()
+    ranks = list(in_nulls)
+    if brackets:
+        below = df.agg(*[F.count_if(~near & (x < low)).alias(f"b{i}") for i, (low, _) in enumerate(brackets)]).first()
+        nulls_near = missing if in_nulls else 0
+        ranks += [r - below[f"b{i}"] + nulls_near for i, r in enumerate(in_values)]
+    rows = _rows_at(df.filter(near), cols, ranks)
+    for row, bracket in zip(rows, [None] * len(in_nulls) + brackets):
+        value = None if row is None else row[cols[0]]
+        if row is None or (value is None) != (bracket is None):
+            return None
+        if bracket is not None and not bracket[0] <= float(value) <= bracket[1]:
+            return None
+    return rows
 
 
 def ntile_score(
@@ -96,9 +162,10 @@ def ntile_scores(
 ) -> DataFrame:
     """Several bucket columns, ``scores`` mapping output -> ranked column.
 
-    On a large table only the ranked column and the tie-break are sorted. The
-    n - 1 border rows are fetched and every row is then placed by comparing it
-    with them, so the table itself is neither shuffled nor joined.
+    On a large table the n - 1 border rows are found and every row is placed
+    by comparing it with them, so the table itself is neither sorted, shuffled
+    nor joined. It is read a few times for that: store the result of an
+    expensive plan before ranking it.
     """
     by_column: dict[str, list[str]] = {}
     for out, col in scores.items():

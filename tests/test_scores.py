@@ -38,6 +38,29 @@ def test_large_ntile_on_a_skewed_column(spark, large):
     assert sizes == [4000] * 5
 
 
+def test_brackets_save_the_full_sort_and_a_miss_falls_back(spark, large, monkeypatch):
+    df = spark.range(60000).selectExpr("id", "CASE WHEN id % 10 < 3 THEN NULL ELSE CAST((id * 7919) % 60013 AS DECIMAL(12,2)) END AS x")
+    expected = df.withColumn("e", F.ntile(5).over(Window.orderBy(F.col("x").asc_nulls_first(), "id")))
+    sorted_rows = []
+    plain = ranking._rows_at
+
+    def counted(part, cols, ranks):
+        sorted_rows.append(part.count())
+        return plain(part, cols, ranks)
+
+    monkeypatch.setattr(ranking, "_rows_at", counted)
+    monkeypatch.setattr(ranking, "SAMPLE_ROWS", 5000)
+    got = op.ntile_score(df, "x", "b", 5, ["id"])
+    assert got.join(expected, "id").filter("b != e").count() == 0
+    # the first border lies among the 18,000 NULLs, the others in narrow brackets
+    assert len(sorted_rows) == 1 and 18000 <= sorted_rows[0] < 40000
+
+    monkeypatch.setattr(ranking, "_brackets", lambda d, c, known, ranks: [(0.0, 1.0)] * len(ranks))
+    got = op.ntile_score(df, "x", "b", 5, ["id"])
+    assert got.join(expected, "id").filter("b != e").count() == 0
+    assert sorted_rows[-1] == 60000
+
+
 @pytest.mark.parametrize("desc", [True, False])
 def test_large_rank_equals_the_window(spark, large, desc):
     df = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 5 WHEN id % 50 = 1 THEN NULL ELSE (id * 31) % 997 END AS x")
