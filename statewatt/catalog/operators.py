@@ -135,8 +135,8 @@ shares AS (SELECT *, amount / nullif(CAST(sum(CAST(amount AS DECIMAL(18,2))) OVE
     "category_shares",
     f"""WITH {_SEGMENTS_SQL}
 SELECT n_name, c_mktsegment, round(share, 9) AS share,
-       round(sum(share) FILTER (c_mktsegment IN ('HOUSEHOLD', 'FURNITURE')) OVER (PARTITION BY n_name), 9) AS home_share,
-       round(sum(share) FILTER (c_mktsegment = 'MACHINERY') OVER (PARTITION BY n_name), 9) AS machine_share
+       round(sum(CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'FURNITURE') THEN share ELSE 0 END) OVER (PARTITION BY n_name), 9) AS home_share,
+       round(sum(CASE WHEN c_mktsegment = 'MACHINERY' THEN share ELSE 0 END) OVER (PARTITION BY n_name), 9) AS machine_share
 FROM shares""",
 )
 def category_shares(spark, sf):

@@ -29,39 +29,58 @@ def similarity(a: str, b: str) -> float:
     return 100.0 if total == 0 else 200 * lcs_length(a, b) / total
 
 
+WORD = 64
+
+
 class ChoiceBlock:
-    """A block of token-sorted choices with their character counts.
+    """A block of token-sorted choices that scores a name against all at once.
 
-    No choice can score above 200 * (shared characters) / (total length), so
-    choices are scored in falling order of that bound and the rest is skipped
-    once the bound is below the best score: the result is exact.
+    Choices of up to 64 characters are one machine word each: a name costs one
+    pass of a few array operations per character over the whole block. Longer
+    choices are scored one by one, unless their length alone rules them out.
     """
 
     def __init__(self, texts: list[str], ordinals: list[int]) -> None:
         self.texts = texts
         self.ordinals = np.asarray(ordinals, dtype=np.int64)
         self.lengths = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
-        self.letters = {ch: i for i, ch in enumerate(sorted({ch for t in texts for ch in t}))}
-        self.counts = np.zeros((len(texts), len(self.letters)), dtype=np.int32)
-        for row, text in enumerate(texts):
-            for ch in text:
-                self.counts[row, self.letters[ch]] += 1
+        self.short = np.flatnonzero(self.lengths <= WORD)
+        self.long = np.flatnonzero(self.lengths > WORD)
+        self.masks: dict[str, np.ndarray] = {}
+        for column, row in enumerate(self.short):
+            for place, ch in enumerate(texts[row]):
+                if ch not in self.masks:
+                    self.masks[ch] = np.zeros(len(self.short), dtype=np.uint64)
+                self.masks[ch][column] |= np.uint64(1 << place)
+        used = self.lengths[self.short]
+        self.used_bits = np.array([(1 << int(n)) - 1 for n in used], dtype=np.uint64)
+
+    def _short_scores(self, text: str) -> np.ndarray:
+        open_bits = np.full(len(self.short), ~np.uint64(0), dtype=np.uint64)
+        for ch in text:
+            mask = self.masks.get(ch)
+            if mask is not None:
+                hit = open_bits & mask
+                open_bits = (open_bits + hit) | (open_bits - hit)
+        lengths = self.lengths[self.short]
+        shared = np.bitwise_count(~open_bits & self.used_bits).astype(np.int64)
+        total = lengths + len(text)
+        return np.where(total > 0, 200 * shared / np.maximum(total, 1), 100.0)
 
     def best(self, text: str, threshold: float) -> tuple[int, float] | None:
         """Position and score of the best choice at or above the threshold;
         the lowest ordinal wins a tie."""
-        mine = np.zeros(len(self.letters), dtype=np.int32)
-        for ch in text:
-            if ch in self.letters:
-                mine[self.letters[ch]] += 1
-        total = self.lengths + len(text)
-        shared = np.minimum(self.counts, mine).sum(axis=1, dtype=np.int64)
-        bounds = np.where(total > 0, 200.0 * shared / np.maximum(total, 1), 100.0)
-        order = np.lexsort((self.ordinals, -bounds))
         found, score = -1, threshold
-        for i in order:
-            if bounds[i] < score:
-                break
+        if len(self.short):
+            scores = self._short_scores(text)
+            top = scores.max()
+            if top >= threshold:
+                tied = self.short[scores == top]
+                found, score = int(tied[np.argmin(self.ordinals[tied])]), float(top)
+        for i in self.long:
+            length = int(self.lengths[i])
+            if 200 * min(length, len(text)) / (length + len(text)) < score:
+                continue
             s = similarity(text, self.texts[i])
             if s > score or (s == score and (found < 0 or self.ordinals[i] < self.ordinals[found])):
                 found, score = int(i), s

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from statewatt.functions import normalised_text, token_sorted
 from statewatt.functions.similarity import ChoiceBlock
-from statewatt.session import reliable_checkpoint
+from statewatt.session import stored
 
 NAMES_PER_TASK = 2_000
 CHOICES_PER_TASK = 20_000
@@ -76,9 +76,12 @@ def fuzzy_best_match(
         .groupBy("choice")
         .agg(F.min("ordinal").alias("ordinal"))
     )
-    names = reliable_checkpoint(names.withColumn("sorted", token_sorted("name")))
-    options = reliable_checkpoint(options.withColumn("sorted", token_sorted("choice")))
-    name_blocks = _blocks_of(names.count(), NAMES_PER_TASK)
+    names = stored(names.withColumn("sorted", token_sorted("name")))
+    options = stored(options.withColumn("sorted", token_sorted("choice")))
+    rows = names.count()
+    # small blocks while cores would idle, blocks of a bounded size beyond that
+    per_task = min(NAMES_PER_TASK, max(100, rows // left.sparkSession.sparkContext.defaultParallelism))
+    name_blocks = _blocks_of(rows, per_task)
     choice_blocks = _blocks_of(options.count(), CHOICES_PER_TASK)
 
     placed_names = names.select(

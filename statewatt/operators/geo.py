@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 EARTH_RADIUS_M = 6378137.0  # sphere of the web-mercator projection
 BROADCAST_BYTES = 64 << 20
+NOWHERE = -(10**12)
 _EDGE_BYTES = 48
 _CELL_BYTES = 256
 _PAD = 1e-9  # cells overlap by this share, so rounding cannot lose an edge
@@ -154,7 +155,7 @@ def spatial_join(
     lat: str,
     geometry: str,
     keep: Sequence[str],
-    cell_deg: float = 0.5,
+    cell_deg: float = 0.25,
     how: str = "left",
 ) -> DataFrame:
     """Points with the ``keep`` columns of every polygon strictly around them.
@@ -170,7 +171,16 @@ def spatial_join(
     index = polygon_cells(polys, geometry, keep, cell_deg)
     if _index_bytes(polys, geometry, cell_deg) <= BROADCAST_BYTES:
         index = F.broadcast(index)
-    located = points.withColumns({"_px": _cell(F.col(lon), cell_deg), "_py": _cell(F.col(lat), cell_deg)})
+    # points without coordinates get cells of their own, far from any polygon,
+    # so that they do not all meet in the partition of the NULL key
+    nowhere = F.lit(NOWHERE) - F.pmod(F.xxhash64(*points.columns), F.lit(10_000))
+    placed = F.col(lon).isNotNull() & F.col(lat).isNotNull()
+    located = points.withColumns(
+        {
+            "_px": F.when(placed, _cell(F.col(lon), cell_deg)).otherwise(nowhere),
+            "_py": F.when(placed, _cell(F.col(lat), cell_deg)).otherwise(nowhere),
+        }
+    )
     inside = F.col("_full") | _strictly_inside(F.col("_edges"), F.col(lon).cast("double"), F.col(lat).cast("double"))
     same_cell = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy"))
     return located.join(index, same_cell & inside, how).select(*points.columns, *keep)

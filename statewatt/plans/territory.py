@@ -15,6 +15,7 @@ from statewatt.operators import (
     territory_rollup,
 )
 from statewatt.plans import config as c
+from statewatt.session import stored
 from statewatt.sources import feature_filter
 
 COUNT, AREA = "dc_facility_count", "dc_sqft_in_territory"
@@ -31,7 +32,7 @@ def _one_territory_each(inside: DataFrame) -> DataFrame:
     return dedup_first(inside.filter(F.col("NAME").isNotNull()), "id", ["ordinal", "lon", "lat"])
 
 
-def facilities_by_territory(features: DataFrame, atlas: DataFrame, srid: int = 4326, cell_deg: float = 0.5) -> DataFrame:
+def facilities_by_territory(features: DataFrame, atlas: DataFrame, srid: int = 4326, cell_deg: float = 0.25) -> DataFrame:
     """Facility count and area per territory (NAME, STATE).
 
     Territories are narrowed to cooperatives before the join; a facility in
@@ -47,7 +48,7 @@ def _as_metrics(counts: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*pairs)))
 
 
-def territory_report(features: DataFrame, atlas: DataFrame, matched: DataFrame, srid: int = 4326, cell_deg: float = 0.5) -> DataFrame:
+def territory_report(features: DataFrame, atlas: DataFrame, matched: DataFrame, srid: int = 4326, cell_deg: float = 0.25) -> DataFrame:
     """Run counts as (metric, value) rows: facilities inside before and after
     each is given one territory, those outside, territories in use, and
     territory names without a match."""
@@ -71,15 +72,16 @@ def facilities_in_territory(
     utilities: DataFrame,
     order: str = "position",
     srid: int = 4326,
-    cell_deg: float = 0.5,
+    cell_deg: float = 0.25,
 ) -> dict[str, DataFrame]:
     """Utility list with facility counts, raw and collapsed per utility.
 
     ``order`` is the utility's place in its list: it breaks fuzzy ties and
     decides which name and state a repeated utility id keeps.
     """
-    territories = facilities_by_territory(features, atlas, srid, cell_deg)
-    matched = fuzzy_best_match(territories, "NAME", utilities, "utility_name_eia", order, c.MATCH_THRESHOLD)
+    # both are one row per territory; the join and the scoring run once for all outputs
+    territories = stored(facilities_by_territory(features, atlas, srid, cell_deg))
+    matched = stored(fuzzy_best_match(territories, "NAME", utilities, "utility_name_eia", order, c.MATCH_THRESHOLD))
     raw = attach_matches(utilities, "utility_name_eia", matched, "match", [COUNT, AREA])
     collapsed = dedup_collapse(raw, "utility_id_eia", ["utility_name_eia", "state"], [COUNT, AREA], [order])
     return {

@@ -47,21 +47,14 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder.
-
-    Used where a plan needs row positions that must not change between two
-    passes; the files outlive any executor, unlike a local checkpoint.
-    """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once as parquet beside the checkpoints and read back.
+    """``df`` written once as parquet in the shared checkpoint folder and read
+    back.
 
-    For small tables that several plans read: unlike a checkpoint, the copy
-    has statistics, so the planner sees that it is small.
+    Used where a result must not change between two passes, or where several
+    plans read a small table. The files outlive any executor and, unlike a
+    checkpoint's, have statistics, so the planner sees the size. They are left
+    in place; empty the folder after the run.
     """
     _ensure_checkpoint_dir(df.sparkSession)
     path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"

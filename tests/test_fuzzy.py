@@ -32,7 +32,18 @@ def test_lcs():
     assert similarity("", "") == 100.0 and similarity("a", "") == 0.0
 
 
-def test_pruned_choice_equals_a_full_scan():
+def test_long_and_empty_choices():
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choices("abc de", k=n)) for n in (0, 1, 63, 64, 65, 64, 130, 200, 65)]
+    ordinals = [8, 7, 6, 5, 4, 3, 2, 1, 0]
+    block = ChoiceBlock(texts, ordinals)
+    for name in ["", "a", *texts, *("".join(rnd.choices("abc dez", k=rnd.randint(1, 150))) for _ in range(60))]:
+        scores = [similarity(name, t) for t in texts]
+        expected = min((o, i) for i, o in enumerate(ordinals) if scores[i] == max(scores))[1]
+        assert block.best(name, 0.0) == (expected, max(scores))
+
+
+def test_block_choice_equals_a_full_scan():
     rnd = random.Random(2)
     words = ["".join(rnd.choices("abcdefgh", k=rnd.randint(2, 7))) for _ in range(30)]
     choices = [" ".join(sorted(rnd.choices(words, k=rnd.randint(1, 4)))) for _ in range(200)]

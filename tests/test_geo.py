@@ -51,11 +51,12 @@ def test_strictly_within(spark, lands, cell, rows):
             ("nameless", 41.0, 1.0),
             ("outside", -1.0, 1.0),
             ("nowhere", None, 1.0),
+            ("half placed", 1.0, None),
         ],
         "id string, lon double, lat double",
     )
     got = rows(op.spatial_join(points, lands, "lon", "lat", "shape", ["ordinal", "NAME"], cell), "id", "ordinal")
-    assert len(got) == 15
+    assert len(got) == 16
     assert set(got) == (
         {
             ("inside", 0),
@@ -73,6 +74,7 @@ def test_strictly_within(spark, lands, cell, rows):
             ("nameless", 5),
             ("outside", None),
             ("nowhere", None),
+            ("half placed", None),
         }
     )
     inner = op.spatial_join(points, lands, "lon", "lat", "shape", ["ordinal"], cell, how="inner")
