@@ -93,7 +93,7 @@ def _generators(t) -> DataFrame:
             _shifted("o_orderdate", "month").alias("report_date"),
             _unless(F.col("l_orderkey") % 101 == 0, _pick(STATES, place)).alias("state"),
             _fuel(),
-            F.col("l_discount").alias("capacity_factor"),
+            hundredths("l_discount").alias("capacity_factor"),
             _unless(F.col("o_custkey") % 20 == 13, area).alias("balancing_authority_code_eia"),
         )
     )

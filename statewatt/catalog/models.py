@@ -46,7 +46,7 @@ _CTES: dict[str, str] = {
     "gen": f"SELECT o_custkey AS plant, {_day('o_orderdate', 'month')} AS day, {_FUEL} AS fuel, floor(o_totalprice) AS mwh FROM orders",
     "ops": f"""SELECT o_custkey AS plant, {_day('o_orderdate', 'month')} AS day,
   CASE WHEN l_orderkey % 101 <> 0 THEN {_state('(c_nationkey + CAST(l_linenumber = 7 AS INT)) % 25')} END AS state, {_FUEL} AS fuel,
-  l_discount AS cf, CASE WHEN o_custkey % 20 <> 13 THEN 'BA' || ((c_nationkey * 5 + o_custkey % 3) % 29) END AS ba
+  round(l_discount * 100) AS cf, CASE WHEN o_custkey % 20 <> 13 THEN 'BA' || ((c_nationkey * 5 + o_custkey % 3) % 29) END AS ba
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",
     "hours": """SELECT * FROM (SELECT CASE WHEN user_id % 20 <> 17 THEN 'BA' || (user_id % 20) END AS ba,
   ts - to_months(CAST(event_id % 80 AS INT)) AS tick, CASE WHEN event_id % 53 <> 0 THEN v * 3 END AS g,

@@ -239,7 +239,7 @@ def normalised_cost_stats(spark, sf):
 @query(
     "category_spread",
     """WITH m AS (
-  SELECT n_name, n_nationkey, l_returnflag AS cat, avg(l_extendedprice) AS v, CAST(n_nationkey % 4 = 0 AND l_returnflag = 'R' AS BIGINT) AS f
+  SELECT n_name, n_nationkey, l_returnflag AS cat, avg(round(l_extendedprice * 100)) AS v, CAST(n_nationkey % 4 = 0 AND l_returnflag = 'R' AS BIGINT) AS f
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
   WHERE NOT (n_nationkey % 3 = 0 AND l_returnflag <> 'A') GROUP BY ALL)
 SELECT a.n_name, round(a.v, 4) AS a_cost, round(n.v, 4) AS n_cost, round(r.v, 4) AS r_cost, round(a.v - n.v, 2) AS a_n_spread,
@@ -252,7 +252,7 @@ def category_spread(spark, sf):
     items, supplier, nation = (table(spark, sf, t) for t in ("lineitem", "supplier", "nation"))
     placed = items.join(supplier, items.l_suppkey == supplier.s_suppkey).join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     kept = placed.filter(~((F.col("n_nationkey") % 3 == 0) & (F.col("l_returnflag") != "A")))
-    means = kept.groupBy("n_name", "n_nationkey", "l_returnflag").agg(F.avg("l_extendedprice").alias("cost"))
+    means = kept.groupBy("n_name", "n_nationkey", "l_returnflag").agg(F.avg(hundredths("l_extendedprice")).alias("cost"))
     means = means.withColumn("flag", F.when((F.col("n_nationkey") % 4 == 0) & (F.col("l_returnflag") == "R"), 1).otherwise(0))
     out = op.category_spread(
         means,
