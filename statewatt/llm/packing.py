@@ -32,8 +32,9 @@ END = 2
 #: Tokens a window gathers before it is packed, bytes of text tokenised at once.
 WINDOW = 1024 * LENGTH
 SLICE_BYTES = 2 << 20
-#: Words whose ids a Python worker remembers, from task to task.
-REMEMBERED = 1_200_000
+#: Words whose ids a Python worker remembers, from task to task: two generations
+#: of half as many; a word that is met again moves to the younger one.
+REMEMBERED = 800_000
 #: Cost of a token by itself, and of a token against another of its document.
 LINEAR, QUADRATIC = 1.0, 1.0 / LENGTH
 
@@ -47,20 +48,24 @@ class WordTokenizer:
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
+        # the same vocabulary for words that need no normalising or splitting: lower-case ASCII letters
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.marks = {m: self._encode([m])[0] for m in ".,"}
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(chunks, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
+    def _encode_words(self, words: list[str], tokenizer) -> list[bytes]:
         """Letters-only chunks, in one text: each is one pre-token."""
-        e = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        e = tokenizer.encode(" ".join(words), add_special_tokens=False)
         ids, of = np.array(e.ids, "<u4"), np.array([-1 if w is None else w for w in e.word_ids], np.int64)
         cuts = np.flatnonzero(of[1:] != of[:-1]) + 1
         if len(cuts) + 1 != len(words) or (of < 0).any():
@@ -75,15 +80,22 @@ class WordTokenizer:
         return (core.lower() if core.isascii() else core), mark
 
     def ids_of(self, chunks: Sequence[str]) -> list[bytes]:
-        known, parts = self.known, [self._parts(c) for c in chunks]
-        new = list(dict.fromkeys(core for core, _ in parts if core not in known))
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            known[""] = b""
-            new = list(dict.fromkeys(core for core, _ in parts if core not in known))
-        words, others = [c for c in new if c.isalpha()], [c for c in new if not c.isalpha()]
-        for at in range(0, len(words), 2000):
-            known.update(zip(words[at : at + 2000], self._encode_words(words[at : at + 2000])))
+        parts = [self._parts(c) for c in chunks]
+        cores = dict.fromkeys(core for core, _ in parts)
+        known, older = self.known, self.older
+        new = [c for c in cores if c not in known]
+        if len(known) + len(new) > REMEMBERED // 2:
+            # what this call needs is carried over, whatever the bound
+            self.known, self.older = {c: known[c] for c in cores if c in known}, known
+            known, older = self.known, self.older
+        known.update((c, older[c]) for c in new if c in older)
+        new = [c for c in new if c not in known]
+        ascii_words = [c for c in new if c.isascii() and c.isalpha()]
+        words = [c for c in new if not c.isascii() and c.isalpha()]
+        others = [c for c in new if not c.isalpha()]
+        for own, tokenizer in ((ascii_words, self.plain), (words, self.tokenizer)):
+            for at in range(0, len(own), 2000):
+                known.update(zip(own[at : at + 2000], self._encode_words(own[at : at + 2000], tokenizer)))
         known.update(zip(others, self._encode(others)))
         marks = self.marks
         return [known[core] + marks[mark] if mark else known[core] for core, mark in parts]
@@ -243,5 +255,6 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         packer.pack(last=True)
         if packer.rows:
             yield packer.drain(out)
+        pa.default_memory_pool().release_unused()  # the worker lives on for other tasks
 
     return few.mapInArrow(run, schema)

@@ -32,7 +32,7 @@ PLAIN_ROWS = 8_000
 #: standard deviations more frequent there than among the unlabelled ones.
 LEAST_ROWS, LEAST_Z = 3, 4.0
 #: Words whose slots or weights a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 EDGES = ".,;:!?\"'()[]{}<>«»„“”‚‘’…-–—*_"
 
 
