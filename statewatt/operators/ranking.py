@@ -1,225 +1,88 @@
 """Quantile buckets and competition ranks over a whole table.
 
-A window without PARTITION BY moves every row to one task. It is used here
-only for tables measured (or guarded at run time) to be small; larger tables
-are range-partitioned, so each task sorts its own slice of the order.
+A window without PARTITION BY would move every row to one task. Rows are put
+into one total order by range partitions instead; each partition is a run of
+it, and the counts of the runs turn a row's place in its run into its place in
+the table. The plan is the same for a table of any size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from statewatt.operators.ordering import with_position
 from statewatt.session import stored
 
-SMALL_ROWS = 100_000
-SAMPLE_ROWS = 200_000
-_BRACKETED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-_PARTITION_BITS = 33  # monotonically_increasing_id: partition number above, row index below
 
+def _bucket(position: Column, rows: Column, n: int) -> Column:
+    """Bucket 1..n of a 0-based place: sizes differ by at most one and the
+    larger buckets come first."""
+    size, larger = F.floor(rows / n).cast("long"), rows % n
+    in_larger = position < larger * (size + 1)
+    rest = F.floor((position - larger * (size + 1)) / F.greatest(size, F.lit(1)))
+    return (F.when(in_larger, F.floor(position / (size + 1))).otherwise(larger + rest) + 1).cast("int")
 
-def _is_small(df: DataFrame, small: bool | None) -> bool:
-    return df.count() <= SMALL_ROWS if small is None else small
 
-
-def _guarded(value: Column) -> Column:
-    rows = F.count(F.lit(1)).over(Window.partitionBy())
-    return F.when(rows <= SMALL_ROWS, value).otherwise(F.raise_error(F.lit("table too large for the single-task path")))
-
-
-def _positions(df: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, dict[int, int]]:
-    """Rows pinned in global order with a position, and rows per slice.
-
-    Only the slice sizes reach the driver: one number per partition.
-    """
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_pos", F.monotonically_increasing_id())
-    pinned = stored(placed)
-    slices = pinned.groupBy(F.shiftright("_pos", _PARTITION_BITS).alias("_slice")).count().collect()
-    return pinned, {row["_slice"]: row["count"] for row in slices}
-
-
-def _bucket_ends(rows: int, n: int) -> list[int]:
-    """1-based row number of the last row of each bucket but the final one.
-
-    Bucket sizes differ by at most one and the larger buckets come first.
-    """
-    size, larger = divmod(rows, n)
-    ends, end = [], 0
-    for bucket in range(n - 1):
-        end += size + (1 if bucket < larger else 0)
-        ends.append(end)
-    return ends
-
-
-def _rows_at(df: DataFrame, cols: Sequence[str], ranks: Sequence[int]) -> list:
-    """The rows at 1-based ranks in (cols) order, NULLs first; None past the end."""
-    order = [F.col(c).asc_nulls_first() for c in cols]
-    pinned, sizes = _positions(df.select(*cols), order)
-    wanted: list[int | None] = []
-    for rank in ranks:
-        seen, position = 0, None
-        for piece in sorted(sizes):
-            if rank <= seen + sizes[piece]:
-                position = (piece << _PARTITION_BITS) + rank - seen - 1
-                break
-            seen += sizes[piece]
-        wanted.append(position)
-    found = pinned.filter(F.col("_pos").isin([p for p in wanted if p is not None])).collect()
-    rows = {r["_pos"]: r for r in found}
-    return [rows.get(p) for p in wanted]
-
-
-def _brackets(df: DataFrame, col: str, known: int, ranks: Sequence[int]) -> list[tuple[float, float]]:
-    """Per rank among the known values, a value range that very likely holds it."""
-    sample = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    if known > SAMPLE_ROWS:
-        sample = sample.sample(SAMPLE_ROWS / known, seed=17)
-    probabilities: list[float] = []
-    for rank in ranks:
-        p = rank / known
-        # four standard errors of a sample quantile, and the sketch's own error
-        slack = 4 * (p * (1 - p) / SAMPLE_ROWS) ** 0.5 + 2e-4
-        probabilities += [max(p - slack, 0.0), min(p + slack, 1.0)]
-    cuts = sample.agg(F.percentile_approx("_x", probabilities, 10_000)).first()[0] or []
-    return list(zip(cuts[::2], cuts[1::2]))
-
-
-def _cut_rows(df: DataFrame, cols: Sequence[str], n: int) -> list:
-    """The last row of each bucket in (cols) order, NULLs first: n - 1 rows.
-
-    For a number, a sample brackets each border; exact counts of the rows
-    around the brackets tell the border's rank inside them, so only the
-    bracketed rows are sorted. A border found outside its bracket, or a column
-    that is not a number, sorts the whole column.
-    """
-    counts = df.agg(F.count(F.lit(1)).alias("rows"), F.count(cols[0]).alias("known")).first()
-    ends = [e for e in _bucket_ends(counts["rows"], n) if e > 0]
-    if not ends:
-        return []
-    if isinstance(df.schema[cols[0]].dataType, _BRACKETED):
-        found = _bracketed_rows(df, cols, ends, counts["rows"] - counts["known"], counts["known"])
-        if found is not None:
-            return found
-    return _rows_at(df, cols, ends)
-
-
-def _bracketed_rows(df: DataFrame, cols: Sequence[str], ends: Sequence[int], missing: int, known: int) -> list | None:
-    """Border rows from the bracketed rows alone; None if a bracket misses.
-
-    A bracket compares values as doubles. The cast keeps their order, so what
-    lies below a bracket lies before the border even where it loses digits.
-    """
-    x = F.col(cols[0]).cast("double")
-    in_nulls = [e for e in ends if e <= missing]
-    in_values = [e - missing for e in ends if e > missing]
-    brackets = _brackets(df, cols[0], known, in_values) if in_values else []
-    if len(brackets) < len(in_values):
-        return None
-    near = reduce(lambda a, b: a | b, [x.between(low, high) for low, high in brackets], F.lit(False))
-    near = F.coalesce(near, F.lit(bool(in_nulls))) if brackets else x.isNull()
-    ranks = list(in_nulls)
-    if brackets:
-        below = df.agg(*[F.count_if(~near & (x < low)).alias(f"b{i}") for i, (low, _) in enumerate(brackets)]).first()
-        nulls_near = missing if in_nulls else 0
-        ranks += [r - below[f"b{i}"] + nulls_near for i, r in enumerate(in_values)]
-    rows = _rows_at(df.filter(near), cols, ranks)
-    for row, bracket in zip(rows, [None] * len(in_nulls) + brackets):
-        value = None if row is None else row[cols[0]]
-        if row is None or (value is None) != (bracket is None):
-            return None
-        if bracket is not None and not bracket[0] <= float(value) <= bracket[1]:
-            return None
-    return rows
-
-
-def ntile_score(
-    df: DataFrame,
-    col: str,
-    out: str,
-    n: int = 5,
-    tie: Sequence[str] = (),
-    small: bool | None = None,
-) -> DataFrame:
+def ntile_score(df: DataFrame, col: str, out: str, n: int = 5, tie: Sequence[str] = ()) -> DataFrame:
     """Ascending bucket 1..n over the whole table; NULLs sort first.
 
     ``tie`` should make the order total, else rows that tie across a bucket
-    border may swap. ``small=None`` measures the table; ``True`` promises at
-    most SMALL_ROWS rows and fails at run time if that is broken.
+    border may swap.
     """
-    return ntile_scores(df, {out: col}, n, tie, small)
+    return ntile_scores(df, {out: col}, n, tie)
 
 
-def ntile_scores(
-    df: DataFrame,
-    scores: Mapping[str, str],
-    n: int = 5,
-    tie: Sequence[str] = (),
-    small: bool | None = None,
-) -> DataFrame:
+def ntile_scores(df: DataFrame, scores: Mapping[str, str], n: int = 5, tie: Sequence[str] = ()) -> DataFrame:
     """Several bucket columns, ``scores`` mapping output -> ranked column.
 
-    On a large table the n - 1 border rows are found and every row is placed
-    by comparing it with them, so the table itself is neither sorted, shuffled
-    nor joined. It is read a few times for that: store the result of an
-    expensive plan before ranking it.
+    The ranked columns become rows (dimension, value, tie), which one range
+    sort on all of these orders at once, so a value that a third of the rows
+    share is split by its ties. A dimension's rows before a run come from a
+    table of one row per dimension and run. Buckets go back to their rows by a
+    row number that is written down with the table.
     """
-    by_column: dict[str, list[str]] = {}
-    for out, col in scores.items():
-        by_column.setdefault(col, []).append(out)
-    placed: dict[str, Column] = {}
-    use_window = _is_small(df, small)
-    for col, outs in by_column.items():
-        key = list(dict.fromkeys([col, *tie]))
-        if use_window:
-            w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in key])
-            bucket = F.ntile(n).over(w)
-            if small:
-                bucket = _guarded(bucket)
-        else:
-            types = {f.name: f.dataType for f in df.schema.fields}
-            here = F.struct(*[F.col(c) for c in key])
-            bucket = F.lit(1)
-            for cut in _cut_rows(df, key, n):
-                border = F.struct(*[F.lit(cut[c]).cast(types[c]).alias(c) for c in key])
-                bucket = bucket + (here > border).cast("int")
-        for out in outs:
-            placed[out] = bucket
-    return df.withColumns(placed)
-
-
-def rank_global(df: DataFrame, col: str, out: str, desc: bool = True, small: bool | None = None) -> DataFrame:
+    columns = list(dict.fromkeys(scores.values()))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    kinds = list(dict.fromkeys(types[c].simpleString() for c in columns))
+    base = stored(df.withColumn("_row", F.monotonically_increasing_id()))
+
+    def value(c: str) -> list[Column]:
+        return [(F.col(c) if types[c].simpleString() == k else F.lit(None).cast(k)).alias(f"_v{i}") for i, k in enumerate(kinds)]
+
+    ties = [t for t in dict.fromkeys(tie)]
+    rows = F.array(*[F.struct(F.lit(d).alias("_d"), *value(c)) for d, c in enumerate(columns)])
+    long = base.select("_row", *[F.col(t).alias(f"_t{i}") for i, t in enumerate(ties)], F.inline(rows))
+    order = ["_d", *[f"_v{i}" for i in range(len(kinds))], *[f"_t{i}" for i in range(len(ties))]]
+    placed = with_position(long, [F.col(c).asc_nulls_first() for c in order]).select("_row", "_d", "position")
+    count = base.select(F.count(F.lit(1)).alias("_rows"))
+    placed = placed.crossJoin(F.broadcast(count))  # one row
+    inside = F.col("position") - F.col("_d") * F.col("_rows")  # every dimension has all rows
+    placed = placed.withColumn("_b", _bucket(inside, F.col("_rows"), n))
+    buckets = placed.groupBy("_row").agg(*[F.max(F.when(F.col("_d") == d, F.col("_b"))).alias(f"_b{d}") for d in range(len(columns))])
+    joined = base.join(buckets, "_row")
+    kept = [c for c in df.columns if c not in scores]
+    return joined.select(*[c for c in df.columns if c in kept], *[F.col(f"_b{columns.index(c)}").alias(o) for o, c in scores.items()])
+
+
+def rank_global(df: DataFrame, col: str, out: str, desc: bool = True) -> DataFrame:
     """Competition rank over the whole table: 1 + rows strictly ahead.
 
-    NULLs come last when descending and first when ascending. On a large
-    table equal values are counted first, so a value shared by a third of the
-    rows is one row in the ordering step.
+    NULLs come last when descending and first when ascending. Equal values are
+    counted first, so a value shared by a third of the rows is one row in the
+    ordering step, and its rank is written down before it meets the rows again:
+    both sides of that join are plain shuffles, which the planner may split.
     """
     direction = F.col(col).desc_nulls_last() if desc else F.col(col).asc_nulls_first()
-    if _is_small(df, small):
-        value = F.rank().over(Window.orderBy(direction))
-        return df.withColumn(out, _guarded(value) if small else value)
-
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
-    pinned, _ = _positions(counts, [direction])
-    pinned = pinned.withColumn("_slice", F.shiftright("_pos", _PARTITION_BITS))
-    sums = {r["_slice"]: r["_sum"] for r in pinned.groupBy("_slice").agg(F.sum("_rows").alias("_sum")).collect()}
-    before, ahead = 0, []
-    for piece in sorted(sums):
-        ahead.append((piece, before))
-        before += sums[piece]
-    if not ahead:
-        return df.withColumn(out, F.lit(None).cast("int"))
-    offsets = df.sparkSession.createDataFrame(ahead, "_slice bigint, _before bigint")
-    inside = Window.partitionBy("_slice").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (
-        pinned.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
-        .join(offsets, "_slice")
-        .select(F.col(col).alias("_value"), (F.col("_before") + F.col("_inside") + 1).cast("int").alias(out))
-    )
-    return df.join(ranks, df[col].eqNullSafe(ranks["_value"]), "left").drop("_value")
-
-
+    values = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    runs = stored(values.repartitionByRange(direction).sortWithinPartitions(direction).withColumn("_at", F.monotonically_increasing_id()))
+    runs = runs.withColumn("_run", F.shiftright("_at", 33))  # the partition's number
+    size = runs.groupBy("_run").agg(F.sum("_n").alias("_size"))
+    before = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    first = size.select("_run", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_first"))
+    inside = Window.partitionBy("_run").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = runs.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(F.broadcast(first), "_run")  # a row for each partition
+    ranks = stored(ranks.select(F.col(col).alias("_value"), (F.col("_first") + F.col("_in") + 1).cast("int").alias("_rank")))
+    return df.join(ranks, df[col].eqNullSafe(ranks["_value"]), "left").select(*[df[c] for c in df.columns if c != out], F.col("_rank").alias(out))

@@ -43,7 +43,7 @@ def data_center_score(metrics: DataFrame, structure: DataFrame, overrides: DataF
         "dc_facilities_score": "dc_facilities",
         "dc_power_constraint_score": "constraint_raw",
     }
-    ranked = ntile_scores(base, scores, tie=["state"], small=True)
+    ranked = ntile_scores(base, scores, tie=["state"])
     ranked = ranked.withColumn("dc_composite_score", composite_score(list(scores)))
     out = ranked.drop("iso_rto", "constraint_raw", "dc_under_construction_mw")
     return apply_overrides(out, overrides, "state", "dc_growth_flag")
@@ -80,7 +80,6 @@ def business_score(market: DataFrame, scores: DataFrame, structure: DataFrame, c
             "ci_consumption_score": "avg_mwh_per_ci_customer",
         },
         tie=["state"],
-        small=True,
     )
     return ranked.select(
         "state",

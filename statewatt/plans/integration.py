@@ -115,7 +115,7 @@ def score_table(
         "_growth": "variable_re_growth_pct",
         "_late_renewable": "late_variable_re_pct",
     }
-    ranked = ntile_scores(base, ranks, tie=["state"], small=True)
+    ranked = ntile_scores(base, ranks, tie=["state"])
     blends = {
         "grid_stress_score": ["_cv_gen", "_cv_demand", "_ramp", "_demand_ramp"],
         "fossil_dependency_score": ["_fossil", "_hhi"],
@@ -156,14 +156,14 @@ def score_table(
         (receptive, "ee_savings_mwh", "regulatory_receptiveness_score", None),
     ]
     for lookup, measure, target, default in ranked_lookups:
-        quintile = ntile_score(lookup.select("state", measure), measure, "score", tie=["state"], small=True)
+        quintile = ntile_score(lookup.select("state", measure), measure, "score", tie=["state"])
         scores = lookup_update(scores, quintile, "state", {target: F.col("score")}, default, check_unique=False)
     return scores
 
 
 def final_grid(scores: DataFrame) -> DataFrame:
     """Ranked by the unrounded total, so equal rounded scores may differ in rank."""
-    ranked = rank_global(scores.withColumn("_total", composite_total(GRID_DIMENSIONS)), "_total", "opportunity_rank", small=True)
+    ranked = rank_global(scores.withColumn("_total", composite_total(GRID_DIMENSIONS)), "_total", "opportunity_rank")
     return ranked.select(
         "state",
         "dominant_fuel_type",
@@ -187,7 +187,7 @@ def final_residential(residential: DataFrame, scores: DataFrame) -> DataFrame:
         c.UTILITY_ONLY,
     )
     kept = residential.join(scores.select("state"), "state", "left_semi")
-    ranked = rank_global(kept, "residential_composite_score", "opportunity_rank", small=True)
+    ranked = rank_global(kept, "residential_composite_score", "opportunity_rank")
     return ranked.drop("residential_mwh").withColumn("business_model", model)
 
 
@@ -203,4 +203,4 @@ def final_business(business: DataFrame, centers: DataFrame) -> DataFrame:
         c.UTILITY_ONLY,
     )
     joined = business.join(centers.select("state", "dc_growth_flag"), "state")
-    return rank_global(joined, "ci_composite_score", "opportunity_rank", small=True).withColumn("business_model", model)
+    return rank_global(joined, "ci_composite_score", "opportunity_rank").withColumn("business_model", model)

@@ -67,7 +67,6 @@ def residential_score(market: DataFrame, scores: DataFrame, structure: DataFrame
             "residential_consumption_score": "avg_mwh_per_customer",
         },
         tie=["state"],
-        small=True,
     )
     return ranked.select(
         "state",

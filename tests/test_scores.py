@@ -3,24 +3,17 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statewatt import operators as op
 from statewatt.functions import access_gap_flag, composite_score, composite_total, constraint_points, rule_class, signal_tier, value_map
-from statewatt.operators import ranking
 from statewatt.plans import commercial, integration, residential
 
 
-@pytest.fixture
-def large(monkeypatch):
-    monkeypatch.setattr(ranking, "SMALL_ROWS", 0)
-
-
 @pytest.mark.parametrize("n", [0, 1, 4, 5, 7, 23])
 @pytest.mark.parametrize("kind", ["mixed", "tied", "nulls"])
-def test_large_ntile_equals_the_window(spark, large, n, kind):
+def test_large_ntile_equals_the_window(spark, n, kind):
     x = {"mixed": "CASE WHEN id % 4 = 0 THEN NULL ELSE (id * 7) % 5 END", "tied": "1", "nulls": "CAST(NULL AS INT)"}[kind]
     df = spark.range(n).selectExpr("id", f"{x} AS x", "concat('s', id) AS name")
     got = op.ntile_scores(df, {"a": "x", "b": "name"}, 5, ["id"])
@@ -29,7 +22,7 @@ def test_large_ntile_equals_the_window(spark, large, n, kind):
     assert sorted(map(tuple, got.select("id", "a", "b").collect())) == sorted(map(tuple, expected.select("id", "a", "b").collect()))
 
 
-def test_large_ntile_on_a_skewed_column(spark, large):
+def test_large_ntile_on_a_skewed_column(spark):
     df = spark.range(20000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 5.5D ELSE (id * 7919) % 1000 / 10D END AS x")
     got = op.ntile_score(df, "x", "b", 5, ["id"])
     expected = df.withColumn("e", F.ntile(5).over(Window.orderBy("x", "id")))
@@ -38,31 +31,8 @@ def test_large_ntile_on_a_skewed_column(spark, large):
     assert sizes == [4000] * 5
 
 
-def test_brackets_save_the_full_sort_and_a_miss_falls_back(spark, large, monkeypatch):
-    df = spark.range(60000).selectExpr("id", "CASE WHEN id % 10 < 3 THEN NULL ELSE CAST((id * 7919) % 60013 AS DECIMAL(12,2)) END AS x")
-    expected = df.withColumn("e", F.ntile(5).over(Window.orderBy(F.col("x").asc_nulls_first(), "id")))
-    sorted_rows = []
-    plain = ranking._rows_at
-
-    def counted(part, cols, ranks):
-        sorted_rows.append(part.count())
-        return plain(part, cols, ranks)
-
-    monkeypatch.setattr(ranking, "_rows_at", counted)
-    monkeypatch.setattr(ranking, "SAMPLE_ROWS", 5000)
-    got = op.ntile_score(df, "x", "b", 5, ["id"])
-    assert got.join(expected, "id").filter("b != e").count() == 0
-    # the first border lies among the 18,000 NULLs, the others in narrow brackets
-    assert len(sorted_rows) == 1 and 18000 <= sorted_rows[0] < 40000
-
-    monkeypatch.setattr(ranking, "_brackets", lambda d, c, known, ranks: [(0.0, 1.0)] * len(ranks))
-    got = op.ntile_score(df, "x", "b", 5, ["id"])
-    assert got.join(expected, "id").filter("b != e").count() == 0
-    assert sorted_rows[-1] == 60000
-
-
 @pytest.mark.parametrize("desc", [True, False])
-def test_large_rank_equals_the_window(spark, large, desc):
+def test_large_rank_equals_the_window(spark, desc):
     df = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 5 WHEN id % 50 = 1 THEN NULL ELSE (id * 31) % 997 END AS x")
     got = op.rank_global(df, "x", "r", desc)
     order = F.col("x").desc_nulls_last() if desc else F.col("x").asc_nulls_first()
@@ -71,14 +41,15 @@ def test_large_rank_equals_the_window(spark, large, desc):
     assert got.count() == 5000
 
 
-def test_large_rank_of_an_empty_table(spark, large):
+def test_large_rank_of_an_empty_table(spark):
     assert op.rank_global(spark.range(0).selectExpr("id", "id AS x"), "x", "r").count() == 0
 
 
-def test_the_small_path_refuses_a_large_table(spark, large):
-    df = spark.range(10)
-    with pytest.raises(PySparkException, match="too large"):
-        op.ntile_score(df, "id", "b", small=True).collect()
+def test_no_plan_gathers_rows_in_one_task(spark):
+    df = spark.range(300_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS x")
+    got = op.rank_global(op.ntile_score(df, "x", "b", 5, ["id"]), "x", "r", False)
+    assert got.groupBy("b").count().filter("count != 60000").count() == 0
+    assert got.filter("x = 1 AND r != 1").count() == got.filter("x = 0").count()
 
 
 def test_composite_null_rules_and_exact_ties(spark):
