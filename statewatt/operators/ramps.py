@@ -9,10 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HOT_ROWS = 5_000_000
-MAX_HOT_KEYS = 100_000
-
-
 def _chunk(df: DataFrame, ts: str, unit: str) -> Column:
     """Start or number of the time chunk a row falls in, in time order.
 
@@ -29,25 +25,6 @@ def _chunk(df: DataFrame, ts: str, unit: str) -> Column:
     return day if unit == "day" else F.trunc(day, unit)
 
 
-def _with_chunks(df: DataFrame, key: str, chunk: Column, hot_rows: int) -> DataFrame:
-    """``df`` with a chunk for the rows of hot keys and NULL for others.
-
-    At most MAX_HOT_KEYS keys are listed and broadcast; if more are hot, every
-    key is cut, which needs no list.
-    """
-    if hot_rows <= 0:
-        return df.withColumn("_chunk", chunk)
-    hot = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    listed = hot.select("_hot").limit(MAX_HOT_KEYS + 1).collect()
-    if len(listed) > MAX_HOT_KEYS:
-        return df.withColumn("_chunk", chunk)
-    if not listed:
-        return df.withColumn("_chunk", F.lit(None).cast("int"))
-    keys = F.broadcast(df.sparkSession.createDataFrame(listed, hot.select("_hot").schema).withColumn("_is_hot", F.lit(True)))
-    marked = df.join(keys, df[key].eqNullSafe(keys["_hot"]), "left")
-    return marked.withColumn("_chunk", F.when(F.col("_is_hot"), chunk)).drop("_hot", "_is_hot")
-
-
 @dataclass(frozen=True)
 class Ramp:
     """One series and the output names of its ramp statistics.
@@ -72,9 +49,8 @@ def ramp_metrics(
     ts: str,
     ramps: Sequence[Ramp],
     tie: Sequence[str] = (),
-    chunk: str = "minute",
+    chunk: str = "month",
     drop_first: bool = True,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Mean, maximum and deviation of |x(t) - x(t-1)| per key, in time order.
 
@@ -83,17 +59,16 @@ def ramp_metrics(
     keys (the NULL key too) with at least one row whose previous value is
     known; ``False`` keeps every non-NULL key.
 
-    A key with more than ``hot_rows`` rows is windowed per time ``chunk``
-    (minute, hour, day, week, month, quarter or year), so its history spreads
-    over as many tasks as it has chunks. Each chunk leaves its moments and its
-    first and last value; the step between chunks is added from those, and
-    moments are merged around the key's mean. Other keys are one chunk.
-    ``hot_rows=0`` cuts every key and skips the count that finds hot ones.
+    Every key is windowed per time ``chunk`` (minute, hour, day, week, month,
+    quarter or year), so its history spreads over as many tasks as it has
+    chunks; choose one that holds many rows, such as a month of hourly data.
+    Each chunk leaves its moments and its first and last value; the step between
+    chunks is added from those, and moments are merged around the key's mean.
     """
     order = [F.col(ts), *[F.col(t) for t in tie]]
     w = Window.partitionBy(key, "_chunk").orderBy(*order)
     steps = df.select(key, ts, *tie, *dict.fromkeys(r.value for r in ramps))
-    steps = _with_chunks(steps, key, _chunk(df, ts, chunk), hot_rows)
+    steps = steps.withColumn("_chunk", _chunk(df, ts, chunk))
     seen: dict[str, Column] = {f"_p{i}": F.lag(r.value).over(w) for i, r in enumerate(ramps)}
     seen |= {"_first": F.row_number().over(w) == 1, "_last": F.lead(F.lit(True)).over(w).isNull()}
     steps = steps.withColumns(seen)

@@ -28,9 +28,9 @@ def gaps(spark):
     return series(spark, full + holes + single + ends + starts + nokey)
 
 
-@pytest.mark.parametrize(("chunk", "hot"), [("hour", 0), ("day", 0), ("month", 0), ("year", 0), ("minute", 100), ("hour", 1), ("minute", 3)])
-def test_population_ramps(gaps, chunk, hot):
-    got = {r.k: r for r in op.ramp_metrics(gaps, "k", "ts", [op.Ramp("v", "a", "m", "s", 0)], chunk=chunk, hot_rows=hot).collect()}
+@pytest.mark.parametrize("chunk", ["minute", "hour", "day", "month", "year"])
+def test_population_ramps(gaps, chunk):
+    got = {r.k: r for r in op.ramp_metrics(gaps, "k", "ts", [op.Ramp("v", "a", "m", "s", 0)], chunk=chunk).collect()}
     # a key needs a row whose previous value is known; the NULL key is a group
     assert set(got) == {"full", "holes", "ends_null", None}
     full = got["full"]
@@ -44,7 +44,7 @@ def test_population_ramps(gaps, chunk, hot):
 @pytest.mark.parametrize("chunk", ["hour", "month"])
 def test_sample_ramps_keep_keys_without_pairs(gaps, chunk):
     both = [op.Ramp("v", "a", "m", "s", 1), op.Ramp("u", "ua", "um", "us", 0)]
-    got = {r.k: r for r in op.ramp_metrics(gaps, "k", "ts", both, chunk=chunk, drop_first=False, hot_rows=0).collect()}
+    got = {r.k: r for r in op.ramp_metrics(gaps, "k", "ts", both, chunk=chunk, drop_first=False).collect()}
     assert set(got) == {"full", "holes", "single", "ends_null", "starts_null"}
     assert math.isclose(got["full"].s, statistics.stdev([3, 2, 0]))
     assert (got["single"].a, got["single"].s) == (None, None)
@@ -64,8 +64,8 @@ def test_a_hot_key_and_shuffled_rows_do_not_matter(spark):
     reference = df.toPandas().sort_values(["k", "ts"])
     steps = reference.groupby("k")["v"].diff().abs()
     expected = steps.groupby(reference["k"]).agg(["mean", "max", lambda x: x.std(ddof=0)])
-    for chunk, hot in (("hour", 0), ("week", 0), ("year", 0), ("hour", 500), ("day", 10**6)):
-        got = op.ramp_metrics(df.orderBy(F.rand(7)), "k", "ts", ramp, ["id"], chunk, hot_rows=hot).toPandas().set_index("k")
+    for chunk in ("hour", "day", "week", "year"):
+        got = op.ramp_metrics(df.orderBy(F.rand(7)), "k", "ts", ramp, ["id"], chunk).toPandas().set_index("k")
         for k, (mean, top, std) in zip(expected.index, expected.to_numpy()):
             assert math.isclose(got.loc[k, "a"], mean, rel_tol=1e-9)
             assert math.isclose(got.loc[k, "m"], top, rel_tol=1e-12)
@@ -73,7 +73,7 @@ def test_a_hot_key_and_shuffled_rows_do_not_matter(spark):
 
 
 def test_no_step_of_the_plan_gathers_a_whole_key(spark, gaps):
-    plan = op.ramp_metrics(gaps, "k", "ts", [op.Ramp("v", "a", "m", "s")], hot_rows=2)._jdf.queryExecution().executedPlan().toString()
+    plan = op.ramp_metrics(gaps, "k", "ts", [op.Ramp("v", "a", "m", "s")])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert plan.count("Exchange hashpartitioning") == 2
     assert "hashpartitioning(k" in plan and "_chunk" in plan.split("Exchange hashpartitioning")[2]
@@ -92,14 +92,14 @@ def test_zoneless_times_do_not_depend_on_the_session_zone(spark, chunk):
     df = df.select("k", F.col("t").cast("timestamp_ntz").alias("ts"), "v")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        r = op.ramp_metrics(df, "k", "ts", [op.Ramp("v", "a", "m", "s")], chunk=chunk, hot_rows=0).first()
+        r = op.ramp_metrics(df, "k", "ts", [op.Ramp("v", "a", "m", "s")], chunk=chunk).first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert r.a == pytest.approx(7 / 3) and r.m == 4.0
 
 
-def test_too_many_hot_keys_cut_every_key(spark, gaps, monkeypatch, rows):
-    ramp = [op.Ramp("v", "a", "m", "s")]
-    expected = rows(op.ramp_metrics(gaps, "k", "ts", ramp))
-    monkeypatch.setattr(ramps, "MAX_HOT_KEYS", 1)
-    assert rows(op.ramp_metrics(gaps, "k", "ts", ramp, hot_rows=1)) == expected
+def test_hourly_history_leaves_few_rows_for_the_second_level(spark):
+    df = spark.range(20_000).selectExpr("'one' AS k", "timestamp_seconds(id * 3600) AS ts", "CAST(id % 7 AS DOUBLE) AS v")
+    chunks = df.groupBy("k", ramps._chunk(df, "ts", "month").alias("c")).count().count()
+    assert chunks <= 20_000 / 500
+    assert op.ramp_metrics(df, "k", "ts", [op.Ramp("v", "a", "m", "s")]).first()["m"] == 6.0
