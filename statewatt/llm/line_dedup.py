@@ -39,8 +39,9 @@ def line_spread(lines: DataFrame, min_sites: int = MIN_SITES, band: float = BAND
     spread = sketch.select("hash", F.hll_sketch_estimate("sketch").alias("estimate")).where(F.col("estimate") >= min_sites * (1 - band))
     spread = cut(spread)
     far = F.col("estimate") > min_sites * (1 + band)
-    near = lines.join(spread.where(~far).select("hash"), "hash", "left_semi").distinct()
-    exact = near.where(F.col("site").isNotNull()).groupBy("hash").agg(F.count("*").alias("sites")).where(F.col("sites") >= min_sites)
+    sites = lines.where(F.col("site").isNotNull()).distinct()  # before it moves by hash: a line's rows are as many as its sites
+    near = sites.join(spread.where(~far).select("hash"), "hash", "left_semi")
+    exact = near.groupBy("hash").agg(F.count("*").alias("sites")).where(F.col("sites") >= min_sites)
     return spread.where(far).select("hash", F.col("estimate").alias("sites")).unionAll(exact)
 
 
