@@ -16,9 +16,7 @@ from pyspark.sql import functions as F
 from statewatt.catalog.registry import hundredths, table
 from statewatt.functions import value_map
 
-STATES = (
-    "TX OH PA IL NY NJ MD CA NV OR DE VA WA IA AK US MA NH ME CT GA FL CO MN HI".split()
-)
+STATES = ["TX", "OH", "PA", "IL", "NY", "NJ", "MD", "CA", "NV", "OR", "DE", "VA", "WA", "IA", "AK", "US", "MA", "NH", "ME", "CT", "GA", "FL", "CO", "MN", "HI"]
 OPERATORS = ["ERCOT", "PJM", "MISO", "NYISO", "ISO_NE", "non_ISO"]
 STRUCTURES = ["deregulated", "restricted", "regulated"]
 FUELS = {"1-URGENT": "solar", "2-HIGH": "wind", "3-MEDIUM": "gas", "4-NOT SPECIFIED": "coal"}

@@ -42,7 +42,7 @@ class Models:
 
     def report(self, table: str) -> DataFrame:
         """A table in its reading order; stored tables carry no order."""
-        order = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in REPORT_ORDER.get(table, "").split()]
+        order = [F.col(c).desc() if down else F.col(c).asc() for c, down in REPORT_ORDER.get(table, {}).items()]
         return self[table].orderBy(*order) if order else self[table]
 
     # inputs ----------------------------------------------------------------
@@ -224,34 +224,34 @@ class Models:
         return integration.final_business(self.module_f_ci_score, self.module_f_dc_score)
 
 
-# a leading minus sorts descending
-REPORT_ORDER = {
-    "module_a_monthly_metrics": "state fuel_type_code_pudl",
-    "ba_state_mapping": "balancing_authority_code_eia",
-    "module_a_hourly_final": "null_count",
-    "module_a2_state_hourly_metrics": "state",
-    "module_b_base": "state fuel_type_code_pudl period",
-    "module_b_cost_per_mwh": "state fuel_type_code_pudl period",
-    "module_b_metrics": "state fuel_type_code_pudl",
-    "module_b_cost_spread": "-oil_coal_spread",
-    "module_c_concentration": "-hhi_concentration",
-    "module_c_renewable_trend": "-variable_re_growth",
-    "module_c_summary": "-variable_re_growth_pct",
-    "module_c_fuel_share": "state fuel_type_code_pudl",
-    "module_d_industrial_load": "-industrial_pct",
-    "module_d_storage_deployment": "-storage_units",
-    "module_d_reliability": "-saidi_weighted_avg",
-    "module_d_regulatory_receptiveness": "-ee_savings_mwh",
-    "module_ref_cooperative_density": "-cooperative_customer_pct",
-    "module_e_residential_market": "-residential_customers",
-    "module_e_residential_score": "-residential_composite_score",
-    "module_f_dc_score": "-dc_composite_score -dc_twh_per_year",
-    "module_f_ci_market": "state",
-    "module_f_ci_score": "-ci_composite_score",
-    "integration_base": "state",
-    "integration_final_grid": "opportunity_rank",
-    "integration_final_residential": "opportunity_rank",
-    "integration_final_ci": "opportunity_rank",
+#: Reading order: column -> whether it descends.
+REPORT_ORDER: dict[str, dict[str, bool]] = {
+    "module_a_monthly_metrics": {"state": False, "fuel_type_code_pudl": False},
+    "ba_state_mapping": {"balancing_authority_code_eia": False},
+    "module_a_hourly_final": {"null_count": False},
+    "module_a2_state_hourly_metrics": {"state": False},
+    "module_b_base": {"state": False, "fuel_type_code_pudl": False, "period": False},
+    "module_b_cost_per_mwh": {"state": False, "fuel_type_code_pudl": False, "period": False},
+    "module_b_metrics": {"state": False, "fuel_type_code_pudl": False},
+    "module_b_cost_spread": {"oil_coal_spread": True},
+    "module_c_concentration": {"hhi_concentration": True},
+    "module_c_renewable_trend": {"variable_re_growth": True},
+    "module_c_summary": {"variable_re_growth_pct": True},
+    "module_c_fuel_share": {"state": False, "fuel_type_code_pudl": False},
+    "module_d_industrial_load": {"industrial_pct": True},
+    "module_d_storage_deployment": {"storage_units": True},
+    "module_d_reliability": {"saidi_weighted_avg": True},
+    "module_d_regulatory_receptiveness": {"ee_savings_mwh": True},
+    "module_ref_cooperative_density": {"cooperative_customer_pct": True},
+    "module_e_residential_market": {"residential_customers": True},
+    "module_e_residential_score": {"residential_composite_score": True},
+    "module_f_dc_score": {"dc_composite_score": True, "dc_twh_per_year": True},
+    "module_f_ci_market": {"state": False},
+    "module_f_ci_score": {"ci_composite_score": True},
+    "integration_base": {"state": False},
+    "integration_final_grid": {"opportunity_rank": False},
+    "integration_final_residential": {"opportunity_rank": False},
+    "integration_final_ci": {"opportunity_rank": False},
 }
 
 TABLES = [name for name, member in vars(Models).items() if isinstance(member, cached_property) and not name.startswith("_")]
