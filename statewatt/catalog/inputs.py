@@ -163,8 +163,11 @@ def _efficiency(t) -> DataFrame:
 
 
 def _response(t) -> DataFrame:
-    return _sold(t).filter((F.col("l_returnflag") == "R") & (F.col("l_suppkey") % 9 != 0)).select(
-        *_utility_year(),
+    _, *where = _utility_year()
+    strange = F.when(F.col("l_suppkey") % 9 == 0, -F.col("l_suppkey")).otherwise(F.col("l_suppkey"))  # no sales row has it
+    return _sold(t).filter(F.col("l_returnflag") == "R").select(
+        strange.alias("utility_id_eia"),
+        *where,
         F.col("l_linenumber").cast("double").alias("actual_peak_demand_savings_mw"),
         F.col("l_quantity").alias("energy_savings_mwh"),
     )
@@ -214,8 +217,8 @@ def _structure(t) -> DataFrame:
 
 def _incentives(t) -> DataFrame:
     key = F.col("n_nationkey")
-    return t("nation").filter(key % 6 != 5).select(
-        _pick(STATES, key).alias("state"), (key % 5 + 0.5).cast("decimal(5,2)").alias("incentive_score")
+    return t("nation").select(
+        F.when(key % 6 == 5, F.concat(F.lit("not "), _pick(STATES, key))).otherwise(_pick(STATES, key)).alias("state"), (key % 5 + 0.5).cast("decimal(5,2)").alias("incentive_score")
     )
 
 
@@ -257,6 +260,7 @@ def facility_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
         _unless(place % 19 == 0, F.col("c_acctbal") / 100).alias("lat"),
         (place % 360).cast("double").alias("lon"),
         _unless(place % 9 == 0, _whole("c_acctbal")).alias("sqft"),
+        (place * 7 % 1009 * 1_000_000_000 + place).alias("position"),
     )
     utilities = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
         (F.col("s_suppkey") - F.col("s_suppkey") % 2).alias("utility_id_eia"),

@@ -17,7 +17,7 @@ def _m2m(spark, sf, fanout):
     items = table(spark, sf, "lineitem").select(
         "l_suppkey", "l_partkey", "l_returnflag", money("l_quantity").alias("quantity"), money("l_extendedprice").alias("price")
     )
-    left, right = items.filter(F.col("l_returnflag") == "A"), items.filter(F.col("l_returnflag") == "R")
+    left, right = items.filter(F.col("l_returnflag") != "R"), items.filter(F.col("l_returnflag") == "R")
     out = op.m2m_left_sums(
         left, right, ["l_suppkey", "l_partkey"], "l_suppkey", {"quantity": "kept_quantity"}, {"price": "returned_price"}, None, fanout
     )
@@ -28,7 +28,7 @@ def _m2m(spark, sf, fanout):
     "m2m_left_sums",
     """SELECT a.l_suppkey, CAST(sum(CAST(a.l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS kept_quantity,
        CAST(coalesce(sum(CAST(r.l_extendedprice AS DECIMAL(18,2))), 0) AS DOUBLE) AS returned_price
-FROM (SELECT * FROM lineitem WHERE l_returnflag = 'A') a
+FROM (SELECT * FROM lineitem WHERE l_returnflag <> 'R') a
 LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R') r ON a.l_suppkey = r.l_suppkey AND a.l_partkey = r.l_partkey
 GROUP BY a.l_suppkey""",
 )
@@ -38,7 +38,7 @@ def m2m_left_sums(spark, sf):
 
 @query(
     "m2m_left_sums_dedup",
-    """WITH a AS (SELECT l_suppkey, l_partkey, sum(CAST(l_quantity AS DECIMAL(18,2))) AS q FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL),
+    """WITH a AS (SELECT l_suppkey, l_partkey, sum(CAST(l_quantity AS DECIMAL(18,2))) AS q FROM lineitem WHERE l_returnflag <> 'R' GROUP BY ALL),
 r AS (SELECT l_suppkey, l_partkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS p FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL)
 SELECT l_suppkey, CAST(sum(q) AS DOUBLE) AS kept_quantity, CAST(coalesce(sum(p), 0) AS DOUBLE) AS returned_price
 FROM a LEFT JOIN r USING (l_suppkey, l_partkey) GROUP BY l_suppkey""",
@@ -75,16 +75,18 @@ def having_semi(spark, sf):
 
 
 def _best_balance(spark, sf):
-    supplier = table(spark, sf, "supplier").filter(F.col("s_nationkey") % 3 != 0)
-    return supplier.groupBy("s_nationkey").agg(F.max("s_acctbal").alias("best")).withColumnRenamed("s_nationkey", "c_nationkey")
+    """Best balance by nation; every third nation gets a key that no customer has."""
+    nation = F.col("s_nationkey")
+    key = F.when(nation % 3 == 0, nation + 100).otherwise(nation)
+    return table(spark, sf, "supplier").groupBy(key.alias("c_nationkey")).agg(F.max("s_acctbal").alias("best"))
 
 
-_BEST_SQL = "SELECT s_nationkey, max(s_acctbal) AS best FROM supplier WHERE s_nationkey % 3 <> 0 GROUP BY s_nationkey"
+_BEST_SQL = """SELECT CASE WHEN s_nationkey % 3 = 0 THEN s_nationkey + 100 ELSE s_nationkey END AS key, max(s_acctbal) AS best FROM supplier GROUP BY ALL"""
 
 
 @query(
     "lookup_update",
-    f"SELECT c_custkey, CASE WHEN s_nationkey IS NOT NULL THEN best ELSE c_acctbal END AS balance FROM customer LEFT JOIN ({_BEST_SQL}) ON c_nationkey = s_nationkey",
+    f"SELECT c_custkey, CASE WHEN key IS NOT NULL THEN best ELSE c_acctbal END AS balance FROM customer LEFT JOIN ({_BEST_SQL}) ON c_nationkey = key",
 )
 def lookup_update(spark, sf):
     rows = table(spark, sf, "customer").select("c_custkey", "c_nationkey", F.col("c_acctbal").alias("balance"))
@@ -93,7 +95,7 @@ def lookup_update(spark, sf):
 
 @query(
     "lookup_update_default",
-    f"SELECT c_custkey, coalesce(best, 1.0) AS balance FROM customer LEFT JOIN ({_BEST_SQL}) ON c_nationkey = s_nationkey",
+    f"SELECT c_custkey, coalesce(best, 1.0) AS balance FROM customer LEFT JOIN ({_BEST_SQL}) ON c_nationkey = key",
 )
 def lookup_update_default(spark, sf):
     rows = table(spark, sf, "customer").select("c_custkey", "c_nationkey", F.col("c_acctbal").alias("balance"))
@@ -289,13 +291,14 @@ def geo_feature_filter(spark, sf):
 
 def _names(spark, sf):
     """Part names, and as choices the same names with swapped words and a letter
-    added; choices get the smallest part key as their place in the list."""
+    added, or with all letters reversed, which leaves some names unmatched;
+    choices get the smallest part key as their place in the list."""
     part = table(spark, sf, "part")
     left = part.select("p_partkey", "p_name")
     words = F.split("p_name", " ")
     options = part.groupBy("p_name").agg(F.min("p_partkey").alias("place"))
-    options = options.select(F.concat(F.get(words, F.lit(1)), F.lit("x "), F.get(words, F.lit(0))).alias("choice"), "place")
-    return left, options.filter(F.col("place") % 3 != 0)
+    swapped = F.concat(F.get(words, F.lit(1)), F.lit("x "), F.get(words, F.lit(0)))
+    return left, options.select(F.when(F.col("place") % 3 == 0, F.reverse("p_name")).otherwise(swapped).alias("choice"), "place")
 
 
 def lcs_sql(a: str, b: str) -> str:
@@ -312,8 +315,9 @@ def sorted_tokens_sql(text: str) -> str:
 
 
 _NAMES_SQL = f"""names AS (SELECT DISTINCT upper(trim(p_name)) AS name, {sorted_tokens_sql('upper(trim(p_name))')} AS a FROM part),
-options AS (SELECT split_part(p_name, ' ', 2) || 'x ' || split_part(p_name, ' ', 1) AS choice, min(p_partkey) AS place FROM part GROUP BY p_name),
-choices AS (SELECT upper(choice) AS choice, place, {sorted_tokens_sql('upper(choice)')} AS b FROM options WHERE place % 3 <> 0),
+options AS (SELECT CASE WHEN place % 3 = 0 THEN reverse(p_name) ELSE split_part(p_name, ' ', 2) || 'x ' || split_part(p_name, ' ', 1) END AS choice, place
+  FROM (SELECT p_name, min(p_partkey) AS place FROM part GROUP BY p_name)),
+choices AS (SELECT upper(choice) AS choice, place, {sorted_tokens_sql('upper(choice)')} AS b FROM options),
 scored AS (SELECT name, choice, place, 200.0 * ({lcs_sql('a', 'b')}) / (length(a) + length(b)) AS score FROM names, choices),
 hits AS (SELECT name, choice AS match, round(CAST(score AS DOUBLE), 6) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY name ORDER BY score DESC, place) AS rn FROM scored WHERE score >= 80) WHERE rn = 1)"""
@@ -347,8 +351,7 @@ def match_report(spark, sf):
     "attach_matches",
     f"""WITH {_NAMES_SQL},
 m AS (SELECT match, count(*) AS facilities FROM part JOIN hits ON upper(trim(p_name)) = name GROUP BY match, p_name)
-SELECT choice, CAST(coalesce(facilities, 0) AS BIGINT) AS facilities FROM options LEFT JOIN m ON upper(options.choice) = m.match
-WHERE place % 3 <> 0""",
+SELECT choice, CAST(coalesce(facilities, 0) AS BIGINT) AS facilities FROM options LEFT JOIN m ON upper(options.choice) = m.match""",
 )
 def attach_matches(spark, sf):
     left, options = _names(spark, sf)

@@ -31,6 +31,10 @@ def _case(col: str, mapping: dict, default: str = "NULL") -> str:
     return f"CASE {col} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + f" ELSE {default} END"
 
 
+def _listed(col: str, lists: list[tuple[list[str], int]], default: int) -> str:
+    return "CASE " + " ".join(f"WHEN {col} IN {_in(values)} THEN {score}" for values, score in lists) + f" ELSE {default} END"
+
+
 def _state(key: str) -> str:
     return f"({_list(STATES)})[CAST({key} AS BIGINT) + 1]"
 
@@ -62,8 +66,8 @@ _CTES: dict[str, str] = {
   floor(o_totalprice) * (o_orderkey % 7 + 1) AS revenue FROM orders JOIN customer ON o_custkey = c_custkey""",
     "outages": f"""SELECT {_state('c_nationkey')} AS state, year(o_orderdate) + 24 AS yr, floor(o_totalprice / 1000) AS minutes, o_orderkey % 500 AS customers
   FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' AND o_orderkey % 13 <> 0""",
-    "saved": f"""SELECT l_suppkey AS utility, {_state('s_nationkey')} AS state, year(l_shipdate) + 24 AS yr, l_returnflag AS kind, l_quantity AS mwh,
-  l_linenumber AS mw FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag = 'A' OR l_suppkey % 9 <> 0""",
+    "saved": f"""SELECT CASE WHEN l_returnflag = 'R' AND l_suppkey % 9 = 0 THEN -l_suppkey ELSE l_suppkey END AS utility, {_state('s_nationkey')} AS state, year(l_shipdate) + 24 AS yr, l_returnflag AS kind, l_quantity AS mwh,
+  l_linenumber AS mw FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
     "units": """SELECT o_custkey AS plant, year(o_orderdate) + 24 AS yr, floor(o_totalprice / 1000) AS mw, CAST(o_orderkey % 2 = 0 AS INT) AS f1,
   CAST(o_orderkey % 3 = 0 AS INT) AS f2, CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderkey % 5 = 0 AS INT) END AS f3, CAST(NULL AS INT) AS f4,
   CAST(o_orderstatus = 'F' AS INT) AS f5 FROM orders""",
@@ -73,7 +77,7 @@ _CTES: dict[str, str] = {
   CAST(n_nationkey % 4 = 3 AS INT) AS f3 FROM nation LEFT JOIN customer ON n_nationkey = c_nationkey GROUP BY n_nationkey, n_name""",
     "market": f"""SELECT {_state('n_nationkey')} AS state, ({_list(OPERATORS)})[n_nationkey % 7 + 1] AS iso, ({_list(STRUCTURES)})[n_nationkey % 3 + 1] AS kind,
   CASE WHEN n_nationkey % 9 <> 8 THEN n_nationkey * 2.5 END AS choice FROM nation""",
-    "offers": f"SELECT {_state('n_nationkey')} AS state, CAST(n_nationkey % 5 + 0.5 AS DECIMAL(5,2)) AS points FROM nation WHERE n_nationkey % 6 <> 5",
+    "offers": f"SELECT CASE WHEN n_nationkey % 6 = 5 THEN 'not ' ELSE '' END || {_state('n_nationkey')} AS state, CAST(n_nationkey % 5 + 0.5 AS DECIMAL(5,2)) AS points FROM nation",
 }
 
 # --- model tables in SQL -------------------------------------------------------
@@ -265,9 +269,8 @@ _CTES |= {
   LEFT JOIN (SELECT state, {_five('total_discharge_mw')} AS n FROM d_sto) t USING (state)
   LEFT JOIN (SELECT state, {_five('saidi_weighted_avg')} AS n FROM d_rel) r USING (state)
   LEFT JOIN (SELECT state, {_five('ee_savings_mwh')} AS n FROM d_reg) e USING (state) LEFT JOIN offers USING (state)""",
-    "access": """SELECT state, CASE WHEN state IN ('TX', 'OH', 'PA', 'IL', 'NH', 'RI', 'MA') THEN 5 WHEN state IN ('NY', 'NJ', 'MD', 'CT', 'ME', 'DC') THEN 4
-  WHEN state = 'DE' THEN 3 WHEN state IN ('OR', 'NV', 'CA') THEN 2 ELSE 1 END AS residential_access_score,
-  CASE WHEN iso = 'ERCOT' THEN 5 WHEN iso IN ('PJM', 'MISO', 'NYISO', 'ISO_NE') THEN 3 ELSE 1 END AS wholesale_complexity_score, choice, iso, kind FROM market""",
+    "access": f"""SELECT state, {_listed('state', config.RESIDENTIAL_ACCESS, config.RESIDENTIAL_ACCESS_DEFAULT)} AS residential_access_score,
+  {_listed('iso', config.WHOLESALE_COMPLEXITY, config.WHOLESALE_COMPLEXITY_DEFAULT)} AS wholesale_complexity_score, choice, iso, kind FROM market""",
     "e_mkt": f"""SELECT state, round(sum(customers), 0) AS residential_customers, round(sum(mwh), 0) AS residential_mwh, round(sum(revenue), 0) AS residential_revenue,
   round(sum(revenue) / nullif(sum(mwh), 0), 2) AS avg_retail_price_per_mwh, round(sum(mwh) / nullif(sum(customers), 0), 2) AS avg_mwh_per_customer
   FROM sales WHERE yr = 2024 AND cls = 'residential' AND state NOT IN {_FAR} GROUP BY state""",
@@ -477,9 +480,8 @@ _CTES |= {
   LEFT JOIN (SELECT state, {_five('total_discharge_mw')} AS n FROM d_sto) t USING (state)
   LEFT JOIN (SELECT state, {_five('saidi_weighted_avg')} AS n FROM d_rel) r USING (state)
   LEFT JOIN (SELECT state, {_five('ee_savings_mwh')} AS n FROM d_reg) e USING (state) LEFT JOIN offers USING (state)""",
-    "access": """SELECT state, CASE WHEN state IN ('TX', 'OH', 'PA', 'IL', 'NH', 'RI', 'MA') THEN 5 WHEN state IN ('NY', 'NJ', 'MD', 'CT', 'ME', 'DC') THEN 4
-  WHEN state = 'DE' THEN 3 WHEN state IN ('OR', 'NV', 'CA') THEN 2 ELSE 1 END AS residential_access_score,
-  CASE WHEN iso = 'ERCOT' THEN 5 WHEN iso IN ('PJM', 'MISO', 'NYISO', 'ISO_NE') THEN 3 ELSE 1 END AS wholesale_complexity_score, choice, iso, kind FROM market""",
+    "access": f"""SELECT state, {_listed('state', config.RESIDENTIAL_ACCESS, config.RESIDENTIAL_ACCESS_DEFAULT)} AS residential_access_score,
+  {_listed('iso', config.WHOLESALE_COMPLEXITY, config.WHOLESALE_COMPLEXITY_DEFAULT)} AS wholesale_complexity_score, choice, iso, kind FROM market""",
     "e_mkt": f"""SELECT state, round(sum(customers), 0) AS residential_customers, round(sum(mwh), 0) AS residential_mwh, round(sum(revenue), 0) AS residential_revenue,
   round(sum(revenue) / nullif(sum(mwh), 0), 2) AS avg_retail_price_per_mwh, round(sum(mwh) / nullif(sum(customers), 0), 2) AS avg_mwh_per_customer
   FROM sales WHERE yr = 2024 AND cls = 'residential' AND state NOT IN {_FAR} GROUP BY state""",
@@ -917,9 +919,10 @@ for _name, _spec in _TABLES.items():
 _LANDS = f"""lands AS (SELECT n_nationkey, upper('Cooperative of ' || n_name) AS name, 'Cooperative of ' || n_name AS raw_name, {_state('n_nationkey')} AS st,
   n_nationkey * 12 AS x, n_regionkey * 8 AS y FROM nation WHERE n_nationkey % 8 <> 7),
 sites AS (SELECT CASE WHEN c_custkey % 17 <> 0 THEN c_custkey - c_custkey % 2 END AS id, c_acctbal / 100 AS lat, c_custkey % 360 AS lon,
+  c_custkey * 7 % 1009 * 1000000000 + c_custkey AS place,
   CASE WHEN c_custkey % 9 <> 0 THEN floor(c_acctbal) END AS sqft FROM customer WHERE c_custkey % 19 <> 0),
 inside AS (SELECT * FROM sites JOIN lands ON lon > x AND lon < x + 25 AND lat > y AND lat < y + 40),
-firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n_nationkey, lon, lat) AS rn FROM inside) WHERE rn = 1),
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY place, n_nationkey) AS rn FROM inside) WHERE rn = 1),
 lots AS (SELECT raw_name, name, st, count(id) AS n, CAST(coalesce(sum(sqft), 0) AS BIGINT) AS area FROM firsts GROUP BY ALL),
 firms AS (SELECT s_suppkey AS position, s_suppkey - s_suppkey % 2 AS id, n_name || ' cooperative' || CASE WHEN s_suppkey % 3 = 0 THEN ' inc' ELSE '' END AS firm,
   {_state('n_nationkey')} AS st FROM supplier JOIN nation ON s_nationkey = n_nationkey),

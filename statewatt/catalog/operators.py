@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from statewatt import operators as op
 from statewatt.catalog.registry import as_double, as_long, hundredths, money, query, rounded, table
@@ -19,6 +20,7 @@ from statewatt.functions import (
     signal_tier,
     value_map,
 )
+from statewatt.sources import load_table
 
 # --- ramps and profiles ----------------------------------------------------
 
@@ -236,12 +238,22 @@ def normalised_cost_stats(spark, sf):
     return as_long(as_double(out, "avg_null_pct"), "high_null_flag")
 
 
+@query(
+    "load_table",
+    "SELECT l_orderkey, l_linenumber, l_quantity, upper(trim(l_returnflag)) AS l_returnflag FROM lineitem",
+)
+def loaded(spark, sf):
+    schema = StructType().add("l_orderkey", LongType()).add("l_linenumber", table(spark, sf, "lineitem").schema["l_linenumber"].dataType)
+    schema = schema.add("l_quantity", DoubleType()).add("l_returnflag", StringType())
+    return load_table(spark, f"{sf}/lineitem.parquet", schema, {"l_returnflag": "upper"})
+
+
 @query(
     "category_spread",
     """WITH m AS (
-  SELECT n_name, n_nationkey, l_returnflag AS cat, avg(round(l_extendedprice * 100)) AS v, CAST(n_nationkey % 4 = 0 AND l_returnflag = 'R' AS BIGINT) AS f
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-  WHERE NOT (n_nationkey % 3 = 0 AND l_returnflag <> 'A') GROUP BY ALL)
+  SELECT n_name, n_nationkey, CASE WHEN n_nationkey % 3 = 0 AND l_returnflag <> 'A' THEN 'other' ELSE l_returnflag END AS cat,
+         avg(round(l_extendedprice * 100)) AS v, CAST(n_nationkey % 4 = 0 AND cat = 'R' AS BIGINT) AS f
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL)
 SELECT a.n_name, round(a.v, 4) AS a_cost, round(n.v, 4) AS n_cost, round(r.v, 4) AS r_cost, round(a.v - n.v, 2) AS a_n_spread,
        round(a.v - r.v, 2) AS a_r_spread, round(r.v - n.v, 2) AS r_n_spread,
        CASE WHEN a.f = 1 OR n.f = 1 OR r.f = 1 THEN 1 ELSE 0 END AS any_flag
@@ -251,8 +263,9 @@ WHERE a.cat = 'A'""",
 def category_spread(spark, sf):
     items, supplier, nation = (table(spark, sf, t) for t in ("lineitem", "supplier", "nation"))
     placed = items.join(supplier, items.l_suppkey == supplier.s_suppkey).join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    kept = placed.filter(~((F.col("n_nationkey") % 3 == 0) & (F.col("l_returnflag") != "A")))
-    means = kept.groupBy("n_name", "n_nationkey", "l_returnflag").agg(F.avg(hundredths("l_extendedprice")).alias("cost"))
+    other = (F.col("n_nationkey") % 3 == 0) & (F.col("l_returnflag") != "A")
+    named = placed.withColumn("l_returnflag", F.when(other, "other").otherwise(F.col("l_returnflag")))
+    means = named.groupBy("n_name", "n_nationkey", "l_returnflag").agg(F.avg(hundredths("l_extendedprice")).alias("cost"))
     means = means.withColumn("flag", F.when((F.col("n_nationkey") % 4 == 0) & (F.col("l_returnflag") == "R"), 1).otherwise(0))
     out = op.category_spread(
         means,

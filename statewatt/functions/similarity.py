@@ -30,58 +30,65 @@ def similarity(a: str, b: str) -> float:
 
 
 WORD = 64
+_CARRY = np.uint64(WORD - 1)
 
 
 class ChoiceBlock:
     """A block of token-sorted choices that scores a name against all at once.
 
-    Choices of up to 64 characters are one machine word each: a name costs one
-    pass of a few array operations per character over the whole block. Longer
-    choices are scored one by one, unless their length alone rules them out.
+    A choice is as many machine words as its characters need, and choices of
+    the same number of words lie side by side: a name costs one pass of a few
+    array operations per character and word over the whole block.
     """
 
     def __init__(self, texts: list[str], ordinals: list[int]) -> None:
-        self.texts = texts
         self.ordinals = np.asarray(ordinals, dtype=np.int64)
         self.lengths = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
-        self.short = np.flatnonzero(self.lengths <= WORD)
-        self.long = np.flatnonzero(self.lengths > WORD)
-        self.masks: dict[str, np.ndarray] = {}
-        for column, row in enumerate(self.short):
-            for place, ch in enumerate(texts[row]):
-                if ch not in self.masks:
-                    self.masks[ch] = np.zeros(len(self.short), dtype=np.uint64)
-                self.masks[ch][column] |= np.uint64(1 << place)
-        used = self.lengths[self.short]
-        self.used_bits = np.array([(1 << int(n)) - 1 for n in used], dtype=np.uint64)
-
-    def _short_scores(self, text: str) -> np.ndarray:
-        open_bits = np.full(len(self.short), ~np.uint64(0), dtype=np.uint64)
+        words = np.maximum(1, -(-self.lengths // WORD))
+        self.groups: list[tuple[np.ndarray, int, dict[str, np.ndarray]]] = []
+        for n in np.unique(words):
+            members = np.flatnonzero(words == n)
+            masks: dict[str, np.ndarray] = {}
+            for column, row in enumerate(members):
+                for place, ch in enumerate(texts[row]):
+                    if ch not in masks:
+                        masks[ch] = np.zeros((n, len(members)), dtype=np.uint64)
+                    masks[ch][place // WORD, column] |= np.uint64(1 << place % WORD)
+            self.groups.append((members, int(n), masks))
+
+    @staticmethod
+    def _shared(text: str, width: int, words: int, masks: dict[str, np.ndarray]) -> np.ndarray:
+        """Longest common subsequences of the text and each choice of a group."""
+        open_bits = np.full((words, width), ~np.uint64(0), dtype=np.uint64)
         for ch in text:
-            mask = self.masks.get(ch)
-            if mask is not None:
-                hit = open_bits & mask
-                open_bits = (open_bits + hit) | (open_bits - hit)
-        lengths = self.lengths[self.short]
-        shared = np.bitwise_count(~open_bits & self.used_bits).astype(np.int64)
-        total = lengths + len(text)
-        return np.where(total > 0, 200 * shared / np.maximum(total, 1), 100.0)
+            mask = masks.get(ch)
+            if mask is None:
+                continue
+            carry = np.zeros(width, dtype=np.uint64)
+            for w in range(words):
+                bits = open_bits[w]
+                hit = bits & mask[w]
+                total = bits + hit + carry
+                if w + 1 < words:
+                    carry = ((bits & hit) | ((bits | hit) & ~total)) >> _CARRY
+                open_bits[w] = total | (bits & ~mask[w])
+        # bits past the end of a choice are in no mask and stay set, as a carry
+        # that runs into them is put back by the second term
+        return np.bitwise_count(~open_bits).sum(axis=0, dtype=np.int64)
+
+    def scores(self, text: str) -> np.ndarray:
+        out = np.empty(len(self.lengths))
+        for members, words, masks in self.groups:
+            shared = self._shared(text, len(members), words, masks)
+            total = self.lengths[members] + len(text)
+            out[members] = np.where(total > 0, 200 * shared / np.maximum(total, 1), 100.0)
+        return out
 
     def best(self, text: str, threshold: float) -> tuple[int, float] | None:
         """Position and score of the best choice at or above the threshold;
         the lowest ordinal wins a tie."""
-        found, score = -1, threshold
-        if len(self.short):
-            scores = self._short_scores(text)
-            top = scores.max()
-            if top >= threshold:
-                tied = self.short[scores == top]
-                found, score = int(tied[np.argmin(self.ordinals[tied])]), float(top)
-        for i in self.long:
-            length = int(self.lengths[i])
-            if 200 * min(length, len(text)) / (length + len(text)) < score:
-                continue
-            s = similarity(text, self.texts[i])
-            if s > score or (s == score and (found < 0 or self.ordinals[i] < self.ordinals[found])):
-                found, score = int(i), s
-        return None if found < 0 else (found, score)
+        scores = self.scores(text)
+        if not len(scores) or (top := scores.max()) < threshold:
+            return None
+        tied = np.flatnonzero(scores == top)
+        return int(tied[np.argmin(self.ordinals[tied])]), float(top)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statewatt.functions import normalised_text, token_sorted
-from statewatt.functions.similarity import ChoiceBlock
+from statewatt.functions.similarity import WORD, ChoiceBlock
 from statewatt.session import stored
 
 NAMES_PER_TASK = 2_000
@@ -18,12 +18,48 @@ CHOICES_PER_TASK = 20_000
 _MATCH_SCHEMA = "name string, match string, score double, ordinal long"
 
 
-def _hash_block(col: str, blocks: int):
-    return F.pmod(F.xxhash64(col), F.lit(blocks)).cast("int")
+#: Names and choices are banded by length; a band's longest is at most this
+#: many times its shortest.
+BAND = 1.15
 
 
-def _blocks_of(rows: int, size: int) -> int:
-    return max(1, math.ceil(rows / size))
+def _banded(df: DataFrame) -> DataFrame:
+    n = F.length("sorted")
+    return df.withColumns({"_n": n, "_band": F.floor(F.log(n + F.lit(1.0)) / math.log(BAND)).cast("int")})
+
+
+def _bands(df: DataFrame) -> list:
+    """(band, rows, shortest, longest); as many rows as lengths have bands."""
+    counts = df.groupBy("_band").agg(F.count(F.lit(1)).alias("rows"), F.min("_n").alias("low"), F.max("_n").alias("high"))
+    return sorted(counts.collect(), key=lambda r: r["_band"])
+
+
+def _blocks_of(bands: list, size: int) -> dict[int, range]:
+    """Block numbers of each band: blocks of at most ``size`` machine words."""
+    out, at = {}, 0
+    for r in bands:
+        n = max(1, math.ceil(r["rows"] * max(1, math.ceil(r["high"] / WORD)) / size))
+        out[r["_band"]] = range(at, at + n)
+        at += n
+    return out
+
+
+def _reach(a, b) -> float:
+    """The highest score that lengths of the two bands allow."""
+    if a["high"] >= b["low"] and b["high"] >= a["low"]:
+        return 100.0
+    short, long = (a["high"], b["low"]) if a["high"] < b["low"] else (b["high"], a["low"])
+    return 200 * short / (short + long)
+
+
+def _dealt(df: DataFrame, own: str, other: str, blocks: dict[int, range], partners: dict[int, list[range]]) -> DataFrame:
+    """Each row in its own block, once for every block it is to meet."""
+    rows = [(band, r.start, len(r), [(p.start, p.stop - 1) for p in partners[band]]) for band, r in blocks.items() if partners[band]]
+    shape = "_band int, _first int, _count int, _meets array<struct<low: int, high: int>>"
+    table = F.broadcast(df.sparkSession.createDataFrame(rows, shape))  # a row for each band
+    met = F.flatten(F.transform("_meets", lambda p: F.sequence(p["low"], p["high"])))
+    place = F.col("_first") + F.pmod(F.xxhash64("sorted"), F.col("_count")).cast("int")
+    return df.join(table, "_band").select(*[c for c in df.columns if c not in ("_n", "_band")], place.alias(own), F.explode(met).alias(other))
 
 
 def _best_in_block(threshold: float):
@@ -59,10 +95,12 @@ def fuzzy_best_match(
     NULL. Names are compared upper-cased and stripped, ``strip_punct`` also
     blanks out everything but letters and digits.
 
-    Distinct names and distinct choices are cut into blocks of measured size
-    and every (name block, choice block) pair is one task, which returns one
-    row per name at most: no pair table exists and neither side has to fit
-    anywhere whole.
+    Names whose sorted words equal a choice's are settled by an equi-join. Of
+    the rest, names and choices are banded by length and cut into blocks, and
+    only blocks whose lengths allow the threshold meet, each pair in one task
+    that returns one row per name at most: no pair table exists and neither
+    side has to fit anywhere whole. Within the lengths a threshold leaves, work
+    stays names times choices.
     """
 
     def cleaned(c: str):
@@ -76,24 +114,25 @@ def fuzzy_best_match(
         .groupBy("choice")
         .agg(F.min("ordinal").alias("ordinal"))
     )
-    names = stored(names.withColumn("sorted", token_sorted("name")))
-    options = stored(options.withColumn("sorted", token_sorted("choice")))
-    rows = names.count()
+    names = names.withColumn("sorted", token_sorted("name"))
+    options = stored(_banded(options.withColumn("sorted", token_sorted("choice"))))
+    equal = options.groupBy("sorted").agg(F.min_by(F.struct("choice", "ordinal"), "ordinal").alias("_equal"))
+    names = stored(_banded(names.join(equal, "sorted", "left")))
+    alike = F.lit(threshold <= 100) & F.col("_equal").isNotNull()
+    settled = names.filter(alike).select("name", F.col("_equal.choice").alias("match"), F.lit(100.0).alias("score"), "_equal.ordinal")
+    rest = names.filter(~alike).drop("_equal")
+
+    name_bands, choice_bands = _bands(rest), _bands(options)
     # small blocks while cores would idle, blocks of a bounded size beyond that
+    rows = sum(r["rows"] for r in name_bands)
     per_task = min(NAMES_PER_TASK, max(100, rows // left.sparkSession.sparkContext.defaultParallelism))
-    name_blocks = _blocks_of(rows, per_task)
-    choice_blocks = _blocks_of(options.count(), CHOICES_PER_TASK)
-
-    placed_names = names.select(
-        "*", _hash_block("name", name_blocks).alias("_nb"), F.explode(F.sequence(F.lit(0), F.lit(choice_blocks - 1))).alias("_cb")
-    )
-    placed_options = options.select(
-        "*", _hash_block("choice", choice_blocks).alias("_cb"), F.explode(F.sequence(F.lit(0), F.lit(name_blocks - 1))).alias("_nb")
-    )
+    name_blocks, choice_blocks = _blocks_of(name_bands, per_task), _blocks_of(choice_bands, CHOICES_PER_TASK)
+    near = [(a["_band"], b["_band"]) for a in name_bands for b in choice_bands if _reach(a, b) >= threshold]
+    placed_names = _dealt(rest, "_nb", "_cb", name_blocks, {a: [choice_blocks[c] for n, c in near if n == a] for a in name_blocks})
+    placed_options = _dealt(options, "_cb", "_nb", choice_blocks, {b: [name_blocks[n] for n, c in near if c == b] for b in choice_blocks})
+    scored = placed_names.groupBy("_nb", "_cb").cogroup(placed_options.groupBy("_nb", "_cb")).applyInPandas(_best_in_block(threshold), _MATCH_SCHEMA)
     found = (
-        placed_names.groupBy("_nb", "_cb")
-        .cogroup(placed_options.groupBy("_nb", "_cb"))
-        .applyInPandas(_best_in_block(threshold), _MATCH_SCHEMA)
+        scored.union(settled)
         .groupBy("name")
         .agg(F.max_by(F.struct("match", "score"), F.struct(F.col("score"), -F.col("ordinal"))).alias("_hit"))
         .select(F.col("name").alias("_name"), F.col("_hit.match").alias(match_out), F.col("_hit.score").alias(score_out))

@@ -134,9 +134,10 @@ def polygon_cells(polys: DataFrame, geometry: str, keep: Sequence[str], cell_deg
     return rows.select(*keep, "_cx", "_cy", "_full", F.when(F.col("_full"), nothing).otherwise(F.col("_edges")).alias("_edges"))
 
 
-def _index_bytes(polys: DataFrame, geometry: str, cell_deg: float) -> int:
+def _index_bytes(polys: DataFrame, geometry: str, keep: Sequence[str], cell_deg: float) -> int:
     """Upper bound of the cell index size, without building the index."""
-    shaped = _with_edges(polys, geometry, [])
+    shaped = _with_edges(polys, geometry, keep)
+    cell_bytes = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keep), F.lit(_CELL_BYTES))
     wide = _cell(F.col("_xhi"), cell_deg) - _cell(F.col("_xlo"), cell_deg) + 1
     tall = _cell(F.col("_yhi"), cell_deg) - _cell(F.col("_ylo"), cell_deg) + 1
     edge_rows = F.aggregate(
@@ -144,7 +145,7 @@ def _index_bytes(polys: DataFrame, geometry: str, cell_deg: float) -> int:
         F.lit(0).cast("long"),
         lambda acc, e: acc + _cell(_high(e, "y"), cell_deg) - _cell(_low(e, "y"), cell_deg) + F.lit(3).cast("long"),
     )
-    per_polygon = (edge_rows * wide * _EDGE_BYTES + wide * tall * _CELL_BYTES).cast("double")
+    per_polygon = (edge_rows * wide * _EDGE_BYTES + wide * tall * cell_bytes).cast("double")
     return int(shaped.agg(F.sum(per_polygon)).first()[0] or 0)
 
 
@@ -169,7 +170,7 @@ def spatial_join(
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
     index = polygon_cells(polys, geometry, keep, cell_deg)
-    if _index_bytes(polys, geometry, cell_deg) <= BROADCAST_BYTES:
+    if _index_bytes(polys, geometry, keep, cell_deg) <= BROADCAST_BYTES:
         index = F.broadcast(index)
     # points without coordinates get cells of their own, far from any polygon,
     # so that they do not all meet in the partition of the NULL key

@@ -28,19 +28,22 @@ def _located(features: DataFrame, atlas: DataFrame, srid: int, cell_deg: float,
     return spatial_join(points, lands, "lon", "lat", "polygons", ["ordinal", "NAME", "STATE"], cell_deg, how)
 
 
-def _one_territory_each(inside: DataFrame) -> DataFrame:
-    return dedup_first(inside.filter(F.col("NAME").isNotNull()), "id", ["ordinal", "lon", "lat"])
+def _one_territory_each(inside: DataFrame, order: str) -> DataFrame:
+    return dedup_first(inside.filter(F.col("NAME").isNotNull()), "id", [order, "ordinal"])
 
 
-def facilities_by_territory(features: DataFrame, atlas: DataFrame, srid: int = 4326, cell_deg: float = 0.25) -> DataFrame:
+def facilities_by_territory(
+    features: DataFrame, atlas: DataFrame, order: str = "position", srid: int = 4326, cell_deg: float = 0.25
+) -> DataFrame:
     """Facility count and area per territory (NAME, STATE).
 
-    Territories are narrowed to cooperatives before the join; a facility in
-    overlapping territories counts in the first feature only. Facilities
-    outside all of them matter to the run report alone, so this join is inner.
+    Territories are narrowed to cooperatives before the join. A facility counts
+    once: by its first row in the atlas, whose place ``order`` tells, that lies
+    in a territory, and there in the first feature around it. Facilities outside
+    all of them matter to the run report alone, so this join is inner.
     """
     inside = _located(features, atlas, srid, cell_deg, "inner")
-    return territory_rollup(_one_territory_each(inside), ["NAME", "STATE"], "id", "sqft", COUNT, AREA)
+    return territory_rollup(_one_territory_each(inside, order), ["NAME", "STATE"], "id", "sqft", COUNT, AREA)
 
 
 def _as_metrics(counts: DataFrame) -> DataFrame:
@@ -76,11 +79,12 @@ def facilities_in_territory(
 ) -> dict[str, DataFrame]:
     """Utility list with facility counts, raw and collapsed per utility.
 
-    ``order`` is the utility's place in its list: it breaks fuzzy ties and
-    decides which name and state a repeated utility id keeps.
+    ``order`` is a row's place in the atlas and in the utility list. In the
+    atlas it decides which row of a repeated facility counts; in the list it
+    breaks fuzzy ties and decides which name and state a repeated utility keeps.
     """
     # both are one row per territory; the join and the scoring run once for all outputs
-    territories = stored(facilities_by_territory(features, atlas, srid, cell_deg))
+    territories = stored(facilities_by_territory(features, atlas, order, srid, cell_deg))
     matched = stored(fuzzy_best_match(territories, "NAME", utilities, "utility_name_eia", order, c.MATCH_THRESHOLD))
     raw = attach_matches(utilities, "utility_name_eia", matched, "match", [COUNT, AREA])
     collapsed = dedup_collapse(raw, "utility_id_eia", ["utility_name_eia", "state"], [COUNT, AREA], [order])

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from statewatt.operators.ordering import with_position
+from statewatt.sources.tables import with_file_position
+
 _VERTICES = "array<array<double>>"  # one ring of [lon, lat] pairs
 
 
@@ -31,34 +34,55 @@ def parse_polygons(kind: Column, coordinates: Column) -> Column:
 
 
 def features_from_text(rows: DataFrame, text: str, ordinal: str, properties: StructType) -> DataFrame:
-    """Feature rows from one GeoJSON feature per row; other text is skipped."""
-    parsed = rows.select(F.col(ordinal).cast("long").alias("ordinal"), F.from_json(text, _feature_schema(properties)).alias("_f"))
+    """Feature rows from one GeoJSON feature per row. NULL text gives no row; text
+    that is no feature, or does not fit the declared properties, fails the job."""
+    schema = _feature_schema(properties).add("_broken", StringType())
+    parsed = rows.select(
+        F.col(ordinal).cast("long").alias("ordinal"),
+        F.col(text).alias("feature"),
+        F.from_json(text, schema, {"columnNameOfCorruptRecord": "_broken"}).alias("_f"),
+    )
     kind, coordinates = F.col("_f.geometry.type"), F.col("_f.geometry.coordinates")
-    return parsed.filter(F.col("_f.type") == "Feature").select(
+    sound = F.coalesce((F.col("_f.type") == "Feature") & F.col("_f._broken").isNull(), F.lit(False))
+    failure = F.raise_error(F.concat(F.lit("not a GeoJSON feature: "), F.substring("feature", 1, 100)))
+    return parsed.filter(F.col("feature").isNotNull() & F.when(sound, F.lit(True)).otherwise(failure.cast("boolean"))).select(
         "ordinal",
         F.col("_f.properties").alias("properties"),
         kind.alias("geometry_type"),
         coordinates.alias("coordinates"),
         parse_polygons(kind, coordinates).alias("polygons"),
+        "feature",
     )
 
 
-def read_geojson(spark: SparkSession, path: str, properties: StructType, layout: str = "document") -> DataFrame:
-    """Rows (ordinal, properties, geometry_type, coordinates, polygons).
+#: Lines of a collection that hold no feature: brackets, its other members, its
+#: first line. A feature spread over lines, or all on one line, is not among them.
+_FRAME = (
+    r'^(?:[\[\]{}\s]*|"(?!type"\s*:\s*"Feature"\s*$).*|'
+    r'\{\s*"type"\s*:\s*"FeatureCollection"(?!.*"features"\s*:\s*\[\s*\{).*)$'
+)
+
+
+def read_geojson(spark: SparkSession, path: str, properties: StructType, layout: str = "lines") -> DataFrame:
+    """Rows (ordinal, properties, geometry_type, coordinates, polygons, feature).
 
     ``layout='lines'`` reads one feature per line, as newline-delimited
     GeoJSON or as written inside a collection by common converters; such files
     split over tasks. ``'document'`` reads FeatureCollection documents, each
     by one task, so convert a large one to lines first. ``ordinal`` is the
-    feature's place in its document; in lines it only orders the features.
+    feature's place in the input: files by path, features as they stand in them.
+    ``feature`` is its text, with the members and properties that are not
+    declared. A line or element that is no feature fails the read.
     """
     if layout == "document":
         schema = StructType().add("features", ArrayType(StringType()))
-        docs = spark.read.schema(schema).option("multiLine", True).json(path)
-        rows = docs.select(F.posexplode("features").alias("_pos", "_text"))
+        docs = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+        placed = docs.select(F.col("_metadata.file_path").alias("_file"), F.posexplode("features").alias("_at", "_text"))
+        rows = with_position(placed, ["_file", "_at"], "_pos")
     elif layout == "lines":
-        lines = spark.read.text(path).withColumn("_pos", F.monotonically_increasing_id())
-        rows = lines.select("_pos", F.regexp_replace(F.btrim("value"), r",$", "").alias("_text"))
+        text = F.regexp_replace(F.btrim("value", F.lit(" \t\r\ufeff")), r",$", "")
+        rows = with_file_position(spark.read.text(path), "_pos").select("_pos", text.alias("_text"))
+        rows = rows.filter(~F.col("_text").rlike(_FRAME))
     else:
         raise ValueError(f"layout must be 'document' or 'lines', not {layout!r}")
     return features_from_text(rows, "_text", "_pos", properties)
@@ -73,16 +97,19 @@ def feature_filter(features: DataFrame, kind: str, prop: str = "properties.TYPE"
 def write_geojson(features: DataFrame, path: str) -> None:
     """One GeoJSON feature per line, written in parallel.
 
-    Takes the columns of ``read_geojson``; coordinates are written back as the
-    text they were read as.
+    Features that ``read_geojson`` returned are written as the text they were
+    read as. Rows without a ``feature`` column are put together from properties,
+    geometry type and coordinates; those without a geometry type have none.
     """
-    text = F.concat(
-        F.lit('{"type":"Feature","properties":'),
-        F.to_json("properties", {"ignoreNullFields": "false"}),
-        F.lit(',"geometry":{"type":"'),
-        F.coalesce("geometry_type", F.lit("Polygon")),
-        F.lit('","coordinates":'),
-        F.coalesce("coordinates", F.lit("[]")),
-        F.lit("}}"),
-    )
+    if "feature" in features.columns:
+        text = F.regexp_replace("feature", r"[\r\n]+", " ")
+    else:
+        geometry = F.concat(F.lit('{"type":"'), F.col("geometry_type"), F.lit('","coordinates":'), F.coalesce("coordinates", F.lit("[]")), F.lit("}"))
+        text = F.concat(
+            F.lit('{"type":"Feature","properties":'),
+            F.coalesce(F.to_json("properties", {"ignoreNullFields": "false"}), F.lit("null")),
+            F.lit(',"geometry":'),
+            F.coalesce(geometry, F.lit("null")),
+            F.lit("}"),
+        )
     features.select(text.alias("value")).write.mode("overwrite").text(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType, TimestampNTZType, TimestampType
 
 from statewatt.functions import clean_non_finite
+from statewatt.operators.ordering import with_position
 from statewatt.sources.schemas import SCHEMAS
 
 
@@ -83,8 +84,19 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, options: Mapping[str, str] | None = None) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).options(**dict(options or {})).csv(path)
+def with_file_position(df: DataFrame, name: str = "position") -> DataFrame:
+    """``df``, as a file reader returned it, with each row's place in its input:
+    files by path, rows as they stand in a file, however the files are split."""
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")]
+    return with_position(df.select("*", *place), ["_file", "_block", "_row"], name).drop("_file", "_block", "_row")
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType, options: Mapping[str, str] | None = None, position: str | None = None
+) -> DataFrame:
+    """CSV files with a header; ``position`` names a column for the row's place."""
+    rows = spark.read.schema(schema).option("header", True).options(**dict(options or {})).csv(path)
+    return rows if position is None else with_file_position(rows, position)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from statewatt.plans import REPORT_ORDER, TABLES, Models, config, facilities_in_territory, territory_report
+from statewatt.plans.territory import facilities_by_territory
 from statewatt.sources import SCHEMAS, load_inputs, read_csv, read_geojson, write_csv, write_table
 from statewatt.sources.schemas import GEO_PROPERTIES
 
@@ -214,23 +215,23 @@ def test_facilities_from_files_to_files(spark, tmp_path, rows):
     )
     utilities = [(1, "ALPHA ELECTRIC COOPERATIVE", "TX"), (1, "Alpha Cooperative Electric", "TX"), (2, "Beta Power Association", "TX"), (None, "Nobody", "TX"), (3, "Gamma", "NM")]
     write_csv(spark.createDataFrame(utilities, SCHEMAS["cooperative_utilities"]).coalesce(1), str(tmp_path / "utilities"))
-    listed = read_csv(spark, str(tmp_path / "utilities"), SCHEMAS["cooperative_utilities"]).withColumn("position", F.monotonically_increasing_id())
+    listed = read_csv(spark, str(tmp_path / "utilities"), SCHEMAS["cooperative_utilities"], position="position")
     out = facilities_in_territory(
-        read_geojson(spark, str(tmp_path / "lands.geojson"), GEO_PROPERTIES),
-        read_csv(spark, str(tmp_path / "atlas.csv"), SCHEMAS["data_center_atlas"]),
+        read_geojson(spark, str(tmp_path / "lands.geojson"), GEO_PROPERTIES, "document"),
+        read_csv(spark, str(tmp_path / "atlas.csv"), SCHEMAS["data_center_atlas"], position="position"),
         listed,
         cell_deg=1.0,
     )
     matched = rows(out["territory_matches"], "NAME", "dc_facility_count", "dc_sqft_in_territory", "match")
-    # b lies in both territories and counts in the first; ids without a value are one facility that no count sees
+    # b lies in both territories and counts in the first; ids without a value are one facility that no count sees, with its first row's area
     assert matched == [
         ("Alpha Electric Coop", 3, 150, "ALPHA ELECTRIC COOPERATIVE"),
-        ("Beta Power Assn", 1, 14, "BETA POWER ASSOCIATION"),
+        ("Beta Power Assn", 1, 13, "BETA POWER ASSOCIATION"),
         ("Zzzzzz", 1, 7, None),
     ]
     counts = territory_report(
-        read_geojson(spark, str(tmp_path / "lands.geojson"), GEO_PROPERTIES),
-        read_csv(spark, str(tmp_path / "atlas.csv"), SCHEMAS["data_center_atlas"]),
+        read_geojson(spark, str(tmp_path / "lands.geojson"), GEO_PROPERTIES, "document"),
+        read_csv(spark, str(tmp_path / "atlas.csv"), SCHEMAS["data_center_atlas"], position="position"),
         out["territory_matches"],
         cell_deg=1.0,
     )
@@ -238,7 +239,7 @@ def test_facilities_from_files_to_files(spark, tmp_path, rows):
     raw = rows(out["dc_in_coop_territory"], "utility_name_eia", "dc_facility_count")
     assert raw == [("ALPHA ELECTRIC COOPERATIVE", 3), ("Alpha Cooperative Electric", 0), ("Beta Power Association", 1), ("Gamma", 0), ("Nobody", 0)]
     deduped = rows(out["dc_in_coop_territory_deduped"])
-    assert deduped == [(1, "ALPHA ELECTRIC COOPERATIVE", "TX", 3, 150), (2, "Beta Power Association", "TX", 1, 14), (3, "Gamma", "NM", 0, 0)]
+    assert deduped == [(1, "ALPHA ELECTRIC COOPERATIVE", "TX", 3, 150), (2, "Beta Power Association", "TX", 1, 13), (3, "Gamma", "NM", 0, 0)]
     write_csv(out["dc_in_coop_territory_deduped"], str(tmp_path / "out"))
     assert read_csv(spark, str(tmp_path / "out"), out["dc_in_coop_territory_deduped"].schema).count() == 3
 
@@ -249,3 +250,25 @@ def test_reports_are_ordered(models):
     assert set(REPORT_ORDER) <= set(TABLES)
     for name in ("module_b_cost_spread", "module_f_dc_score", "module_a_hourly_final", "module_a_base"):
         assert models.report(name).count() == models[name].count()
+
+
+def test_the_first_row_of_a_facility_counts(spark):
+    ring = lambda x: [[[(x, 0.0), (x + 4.0, 0.0), (x + 4.0, 4.0), (x, 4.0)]]]
+    shape = "ordinal long, properties struct<TYPE: string, NAME: string, STATE: string>, polygons array<array<array<struct<x: double, y: double>>>>"
+    lands = spark.createDataFrame([(0, ("COOPERATIVE", "P0", "TX"), ring(0.0)), (1, ("COOPERATIVE", "P1", "TX"), ring(10.0))], shape)
+    atlas = spark.createDataFrame([("a", 1.0, 11.0, 20.0, 0), ("a", 1.0, 1.0, 10.0, 1)], "id string, lat double, lon double, sqft double, position long")
+    got = [tuple(r) for r in facilities_by_territory(lands, atlas, cell_deg=1.0).collect()]
+    assert got == [("P1", "TX", 1, 20)]
+
+
+def test_published_values():
+    assert (config.RENEWABLE, config.VARIABLE_RENEWABLE, config.FOSSIL) == (["solar", "wind", "hydro"], ["solar", "wind"], ["gas", "coal", "oil"])
+    assert config.NON_CONTIGUOUS == ["AK", "HI", "PR"]
+    assert config.CUSTOMER_CLASSES == ["residential", "commercial", "industrial"] and config.BUSINESS_CLASSES == ["commercial", "industrial"]
+    assert config.RESIDENTIAL_ACCESS == [
+        (["TX", "OH", "PA", "IL", "NH", "RI", "MA"], 5),
+        (["NY", "NJ", "MD", "CT", "ME", "DC"], 4),
+        (["DE"], 3),
+        (["OR", "NV", "CA"], 2),
+    ]
+    assert config.WHOLESALE_COMPLEXITY == [(["ERCOT"], 5), (["PJM", "MISO", "NYISO", "ISO_NE"], 3)]

@@ -121,7 +121,7 @@ def test_features_are_read_and_filtered(spark, collection, lines, layout):
 
 
 def test_written_features_read_back(spark, collection, tmp_path):
-    kept = src.feature_filter(src.read_geojson(spark, collection, GEO_PROPERTIES), "COOPERATIVE")
+    kept = src.feature_filter(src.read_geojson(spark, collection, GEO_PROPERTIES, "document"), "COOPERATIVE")
     out = str(tmp_path / "coops")
     src.write_geojson(kept, out)
     text = [json.loads(r.value) for r in spark.read.text(out).collect()]
@@ -134,3 +134,48 @@ def test_written_features_read_back(spark, collection, tmp_path):
 def test_unknown_layout(spark, collection):
     with pytest.raises(ValueError):
         src.read_geojson(spark, collection, GEO_PROPERTIES, "xml")
+
+
+def test_features_come_back_as_they_were(spark, tmp_path):
+    odd = [
+        '{"type":"Feature","id":7,"properties":{"NAME":"a","TYPE":"COOPERATIVE","STATE":null,"SQ_M":1.50},"geometry":null}',
+        '{"type": "Feature", "bbox":[0,0,1,1], "properties":{"TYPE":"COOPERATIVE"},"geometry":{"type":"Point","coordinates":[1.10,2]}}',
+    ]
+    (tmp_path / "in.geojson").write_text('{\n"type": "FeatureCollection",\n"name": "x",\n"features": [\n' + ",\n".join(odd) + "\n]\n}\n")
+    (tmp_path / "doc.geojson").write_text('{"type": "FeatureCollection", "features": [' + ",\n".join(odd) + "]}")
+    for name, layout in (("in", "lines"), ("doc", "document")):
+        read = src.read_geojson(spark, str(tmp_path / f"{name}.geojson"), GEO_PROPERTIES, layout)
+        assert [(r.ordinal, r.geometry_type, r.polygons) for r in read.orderBy("ordinal").collect()][0][1:] == (None, None)
+        src.write_geojson(read, str(tmp_path / f"{name}-out"))
+        assert sorted(r.value for r in spark.read.text(str(tmp_path / f"{name}-out")).collect()) == sorted(odd)
+
+
+def test_a_row_without_geometry_is_written_without_one(spark, collection, tmp_path):
+    few = src.read_geojson(spark, collection, GEO_PROPERTIES, "document").drop("feature").limit(1)
+    src.write_geojson(few.withColumn("geometry_type", F.lit(None).cast("string")), str(tmp_path / "none"))
+    assert json.loads(spark.read.text(str(tmp_path / "none")).first().value)["geometry"] is None
+
+
+@pytest.mark.parametrize("bad", ['{"type":"Feature","properties":{"NAME":"b"', "rubbish", '{"type":"Point","coordinates":[1,2]}', '"type": "Feature"'])
+def test_what_is_no_feature_fails_the_read(spark, tmp_path, bad):
+    (tmp_path / "bad.geojson").write_text(json.dumps(FEATURES[0]) + "\n" + bad + "\n")
+    with pytest.raises(Exception, match="not a GeoJSON feature"):
+        src.read_geojson(spark, str(tmp_path / "bad.geojson"), GEO_PROPERTIES).collect()
+
+
+def test_a_whole_collection_on_a_line_is_no_frame(spark, collection):
+    with pytest.raises(Exception, match="not a GeoJSON feature"):
+        src.read_geojson(spark, collection, GEO_PROPERTIES).collect()
+
+
+def test_places_follow_files_and_lines(spark, tmp_path):
+    for name, rows in (("a.json", 3), ("b.json", 400)):  # the larger file is dealt first
+        (tmp_path / name).write_text("\n".join(json.dumps(feature("x", f"{name}{i:03}")) for i in range(rows)))
+    read = src.read_geojson(spark, str(tmp_path), GEO_PROPERTIES).select("ordinal", "properties.NAME").orderBy("ordinal").collect()
+    assert [r.NAME for r in read] == sorted(r.NAME for r in read) and [r.ordinal for r in read] == list(range(403))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        split = src.read_geojson(spark, str(tmp_path), GEO_PROPERTIES).select("ordinal", "properties.NAME").orderBy("ordinal").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert split == read
