@@ -12,7 +12,7 @@ from statewatt.operators.market import (
     weighted_reliability,
 )
 from statewatt.operators.ramps import Ramp, ramp_metrics
-from statewatt.operators.ranking import ntile_score, ntile_scores, rank_global
+from statewatt.operators.ranking import ntile_score, ntile_scores, ntile_tables, rank_global
 from statewatt.operators.rollup import (
     Profile,
     category_shares,
@@ -53,6 +53,7 @@ __all__ = [
     "normalised_cost",
     "ntile_score",
     "ntile_scores",
+    "ntile_tables",
     "period_shift",
     "polygon_cells",
     "ramp_metrics",

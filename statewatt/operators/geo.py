@@ -9,10 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_M = 6378137.0  # sphere of the web-mercator projection
-BROADCAST_BYTES = 64 << 20
 NOWHERE = -(10**12)
-_EDGE_BYTES = 48
-_CELL_BYTES = 256
 _PAD = 1e-9  # cells overlap by this share, so rounding cannot lose an edge
 
 
@@ -134,21 +131,6 @@ def polygon_cells(polys: DataFrame, geometry: str, keep: Sequence[str], cell_deg
     return rows.select(*keep, "_cx", "_cy", "_full", F.when(F.col("_full"), nothing).otherwise(F.col("_edges")).alias("_edges"))
 
 
-def _index_bytes(polys: DataFrame, geometry: str, keep: Sequence[str], cell_deg: float) -> int:
-    """Upper bound of the cell index size, without building the index."""
-    shaped = _with_edges(polys, geometry, keep)
-    cell_bytes = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keep), F.lit(_CELL_BYTES))
-    wide = _cell(F.col("_xhi"), cell_deg) - _cell(F.col("_xlo"), cell_deg) + 1
-    tall = _cell(F.col("_yhi"), cell_deg) - _cell(F.col("_ylo"), cell_deg) + 1
-    edge_rows = F.aggregate(
-        "_edges",
-        F.lit(0).cast("long"),
-        lambda acc, e: acc + _cell(_high(e, "y"), cell_deg) - _cell(_low(e, "y"), cell_deg) + F.lit(3).cast("long"),
-    )
-    per_polygon = (edge_rows * wide * _EDGE_BYTES + wide * tall * cell_bytes).cast("double")
-    return int(shaped.agg(F.sum(per_polygon)).first()[0] or 0)
-
-
 def spatial_join(
     points: DataFrame,
     polys: DataFrame,
@@ -163,15 +145,13 @@ def spatial_join(
 
     Boundary points are outside; a point in k polygons yields k rows; with
     ``how='left'`` other points stay with NULLs. Each point falls in exactly
-    one cell, so the join needs no second pass for the unmatched. The cell
-    index is broadcast when its computed size bound allows; beyond that both
-    sides shuffle on the cell and the adaptive skew join splits crowded cells.
+    one cell, so the join needs no second pass for the unmatched. How the two
+    sides meet is left to adaptive execution, which knows their real sizes: a
+    small index is sent to the points, else crowded cells are split.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
     index = polygon_cells(polys, geometry, keep, cell_deg)
-    if _index_bytes(polys, geometry, keep, cell_deg) <= BROADCAST_BYTES:
-        index = F.broadcast(index)
     # points without coordinates get cells of their own, far from any polygon,
     # so that they do not all meet in the partition of the NULL key
     nowhere = F.lit(NOWHERE) - F.pmod(F.xxhash64(*points.columns), F.lit(10_000))

@@ -9,6 +9,7 @@ the table. The plan is the same for a table of any size.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,36 +36,64 @@ def ntile_score(df: DataFrame, col: str, out: str, n: int = 5, tie: Sequence[str
     return ntile_scores(df, {out: col}, n, tie)
 
 
+def _ranked_rows(df: DataFrame, columns: Mapping[int, str], kinds: Sequence[str], keep: Sequence[Column]) -> DataFrame:
+    """A row for each row and ranked column: ``keep``, the column's number and
+    its value, which stands in the field of its type."""
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+    def value(c: str) -> list[Column]:
+        return [(F.col(c) if types[c] == k else F.lit(None).cast(k)).alias(f"_v{i}") for i, k in enumerate(kinds)]
+
+    rows = F.array(*[F.struct(F.lit(d).alias("_d"), *value(c)) for d, c in columns.items()])
+    return df.select(*keep, F.inline(rows))
+
+
+def _kinds(tables: Sequence[tuple[DataFrame, Sequence[str]]]) -> list[str]:
+    return list(dict.fromkeys(df.schema[c].dataType.simpleString() for df, columns in tables for c in columns))
+
+
+def _buckets(long: DataFrame, row: str, ties: Sequence[str], values: int, outs: Mapping[int, str], n: int) -> DataFrame:
+    """(row, a bucket column per output) by one range sort over all columns, so
+    a value that a third of the rows share is split by its ties."""
+    order = ["_d", *[f"_v{i}" for i in range(values)], *ties]
+    placed = with_position(long, [F.col(c).asc_nulls_first() for c in order]).select(row, "_d", "position")
+    spans = placed.groupBy("_d").agg(F.count(F.lit(1)).alias("_rows"), F.min("position").alias("_from"))
+    placed = placed.join(F.broadcast(spans), "_d")  # a row for each ranked column
+    placed = placed.withColumn("_b", _bucket(F.col("position") - F.col("_from"), F.col("_rows"), n))
+    return placed.groupBy(row).agg(*[F.max(F.when(F.col("_d") == d, F.col("_b"))).alias(o) for d, o in outs.items()])
+
+
 def ntile_scores(df: DataFrame, scores: Mapping[str, str], n: int = 5, tie: Sequence[str] = ()) -> DataFrame:
     """Several bucket columns, ``scores`` mapping output -> ranked column.
 
-    The ranked columns become rows (dimension, value, tie), which one range
-    sort on all of these orders at once, so a value that a third of the rows
-    share is split by its ties. A dimension's rows before a run come from a
-    table of one row per dimension and run. Buckets go back to their rows by a
-    row number that is written down with the table.
+    Buckets go back to their rows by a row number that is written down with
+    the table.
     """
     columns = list(dict.fromkeys(scores.values()))
-    types = {f.name: f.dataType for f in df.schema.fields}
-    kinds = list(dict.fromkeys(types[c].simpleString() for c in columns))
+    kinds = _kinds([(df, columns)])
     base = stored(df.withColumn("_row", F.monotonically_increasing_id()))
-
-    def value(c: str) -> list[Column]:
-        return [(F.col(c) if types[c].simpleString() == k else F.lit(None).cast(k)).alias(f"_v{i}") for i, k in enumerate(kinds)]
-
-    ties = [t for t in dict.fromkeys(tie)]
-    rows = F.array(*[F.struct(F.lit(d).alias("_d"), *value(c)) for d, c in enumerate(columns)])
-    long = base.select("_row", *[F.col(t).alias(f"_t{i}") for i, t in enumerate(ties)], F.inline(rows))
-    order = ["_d", *[f"_v{i}" for i in range(len(kinds))], *[f"_t{i}" for i in range(len(ties))]]
-    placed = with_position(long, [F.col(c).asc_nulls_first() for c in order]).select("_row", "_d", "position")
-    count = base.select(F.count(F.lit(1)).alias("_rows"))
-    placed = placed.crossJoin(F.broadcast(count))  # one row
-    inside = F.col("position") - F.col("_d") * F.col("_rows")  # every dimension has all rows
-    placed = placed.withColumn("_b", _bucket(inside, F.col("_rows"), n))
-    buckets = placed.groupBy("_row").agg(*[F.max(F.when(F.col("_d") == d, F.col("_b"))).alias(f"_b{d}") for d in range(len(columns))])
-    joined = base.join(buckets, "_row")
+    ties = {f"_t{i}": t for i, t in enumerate(dict.fromkeys(tie))}
+    long = _ranked_rows(base, dict(enumerate(columns)), kinds, [F.col("_row"), *[F.col(t).alias(o) for o, t in ties.items()]])
+    joined = base.join(_buckets(long, "_row", list(ties), len(kinds), {d: f"_b{d}" for d in range(len(columns))}, n), "_row")
     kept = [c for c in df.columns if c not in scores]
-    return joined.select(*[c for c in df.columns if c in kept], *[F.col(f"_b{columns.index(c)}").alias(o) for o, c in scores.items()])
+    return joined.select(*kept, *[F.col(f"_b{columns.index(c)}").alias(o) for o, c in scores.items()])
+
+
+def ntile_tables(tables: Sequence[tuple[DataFrame, Mapping[str, str]]], key: str, n: int = 5) -> DataFrame:
+    """(key, a bucket column per output) over several tables in one sort.
+
+    Each table comes with its output -> ranked column; a column is ranked among
+    the rows of its own table, ties by ``key``, which must be unique there. A
+    key that a table does not list has NULL in that table's outputs.
+    """
+    named = [(df, out, col) for df, scores in tables for out, col in scores.items()]
+    kinds = _kinds([(df, list(scores.values())) for df, scores in tables])
+    outs = {d: out for d, (_, out, _) in enumerate(named)}
+    parts, at = [], 0
+    for df, scores in tables:
+        parts.append(_ranked_rows(df, dict(enumerate(scores.values(), at)), kinds, [F.col(key)]))
+        at += len(scores)
+    return _buckets(reduce(DataFrame.unionAll, parts), key, [key], len(kinds), outs, n)
 
 
 def rank_global(df: DataFrame, col: str, out: str, desc: bool = True) -> DataFrame:
@@ -72,8 +101,8 @@ def rank_global(df: DataFrame, col: str, out: str, desc: bool = True) -> DataFra
 
     NULLs come last when descending and first when ascending. Equal values are
     counted first, so a value shared by a third of the rows is one row in the
-    ordering step, and its rank is written down before it meets the rows again:
-    both sides of that join are plain shuffles, which the planner may split.
+    ordering step; both sides of the join back are plain shuffles, which the
+    planner may split.
     """
     direction = F.col(col).desc_nulls_last() if desc else F.col(col).asc_nulls_first()
     values = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
@@ -84,5 +113,5 @@ def rank_global(df: DataFrame, col: str, out: str, desc: bool = True) -> DataFra
     first = size.select("_run", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_first"))
     inside = Window.partitionBy("_run").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     ranks = runs.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(F.broadcast(first), "_run")  # a row for each partition
-    ranks = stored(ranks.select(F.col(col).alias("_value"), (F.col("_first") + F.col("_in") + 1).cast("int").alias("_rank")))
+    ranks = ranks.select(F.col(col).alias("_value"), (F.col("_first") + F.col("_in") + 1).cast("int").alias("_rank"))
     return df.join(ranks, df[col].eqNullSafe(ranks["_value"]), "left").select(*[df[c] for c in df.columns if c != out], F.col("_rank").alias(out))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statewatt.functions import composite_score, composite_total, rule_class
-from statewatt.operators import lookup_update, ntile_score, ntile_scores, rank_global
+from statewatt.operators import lookup_update, ntile_tables, rank_global
 from statewatt.plans import config as c
 from statewatt.plans.grid import FUEL
 
@@ -100,8 +100,9 @@ def score_table(
 ) -> DataFrame:
     """Quintile scores per dimension.
 
-    Measures of the base table are ranked among its states; the lookups are
-    ranked among all states they list, before they are joined.
+    Measures of the base table are ranked among its states, those of a lookup
+    among all states it lists; one sort ranks them all and one join brings the
+    buckets to the base table, whose states must be unique.
     """
     ranks = {
         "_cv_gen": "cv_gen",
@@ -115,7 +116,15 @@ def score_table(
         "_growth": "variable_re_growth_pct",
         "_late_renewable": "late_variable_re_pct",
     }
-    ranked = ntile_scores(base, ranks, tie=["state"])
+    lookups = {
+        "industrial_load_score": (industrial, "industrial_pct"),
+        "storage_deployment_score": (storage, "total_discharge_mw"),
+        "reliability_score": (reliable, "saidi_weighted_avg"),
+        "regulatory_receptiveness_score": (receptive, "ee_savings_mwh"),
+    }
+    tables = [(base, ranks), *[(t.select("state", measure), {out: measure}) for out, (t, measure) in lookups.items()]]
+    ranked = base.drop(*lookups).join(ntile_tables(tables, "state"), "state", "left")
+    ranked = ranked.withColumn("storage_deployment_score", F.coalesce("storage_deployment_score", F.lit(1)))
     blends = {
         "grid_stress_score": ["_cv_gen", "_cv_demand", "_ramp", "_demand_ramp"],
         "fossil_dependency_score": ["_fossil", "_hhi"],
@@ -143,22 +152,12 @@ def score_table(
         "late_variable_re_pct",
         "cost_volatility_score",
         *[composite_score(dims).alias(out) for out, dims in blends.items()],
-        *[F.lit(None).cast(SCORE).alias(s) for s in GRID_DIMENSIONS[5:]],
+        *[(F.col(s) if s in lookups else F.lit(None)).cast(SCORE).alias(s) for s in GRID_DIMENSIONS[5:]],
     )
 
     scores = lookup_update(scores, structure, "state", {"market_structure_score": market_structure_score()})
     offered = incentives.select("state", F.col("incentive_score").alias("offered"))
-    scores = lookup_update(scores, offered, "state", {"incentive_score": F.col("offered")})
-    ranked_lookups = [
-        (industrial, "industrial_pct", "industrial_load_score", None),
-        (storage, "total_discharge_mw", "storage_deployment_score", {"storage_deployment_score": 1}),
-        (reliable, "saidi_weighted_avg", "reliability_score", None),
-        (receptive, "ee_savings_mwh", "regulatory_receptiveness_score", None),
-    ]
-    for lookup, measure, target, default in ranked_lookups:
-        quintile = ntile_score(lookup.select("state", measure), measure, "score", tie=["state"])
-        scores = lookup_update(scores, quintile, "state", {target: F.col("score")}, default, check_unique=False)
-    return scores
+    return lookup_update(scores, offered, "state", {"incentive_score": F.col("offered")})
 
 
 def final_grid(scores: DataFrame) -> DataFrame:

@@ -168,13 +168,14 @@ class Models:
 
     @cached_property
     def integration_base(self) -> DataFrame:
-        return integration.base_table(
+        base = integration.base_table(
             self.module_a2_state_hourly_metrics,
             self.module_a_monthly_metrics,
             self.module_b_metrics,
             self.module_b_cost_spread,
             self.module_c_summary,
         )
+        return self.keep("integration_base", base)
 
     @cached_property
     def integration_scores(self) -> DataFrame:

@@ -190,7 +190,7 @@ def test_tables_can_be_kept_by_name(models, spark, tmp_path):
     again = Models(models.inputs, keep)
     got = again["integration_final_grid"].select("state", "composite_score")
     assert got.exceptAll(models["integration_final_grid"].select("state", "composite_score")).count() == 0
-    assert seen == ["module_a_base", "module_a_monthly_metrics", "module_b_metrics", "integration_scores"]
+    assert seen == ["module_a_base", "module_a_monthly_metrics", "module_b_metrics", "integration_base", "integration_scores"]
 
 
 def _square(x, y, w):

@@ -22,6 +22,16 @@ def test_large_ntile_equals_the_window(spark, n, kind):
     assert sorted(map(tuple, got.select("id", "a", "b").collect())) == sorted(map(tuple, expected.select("id", "a", "b").collect()))
 
 
+def test_tables_are_ranked_each_for_itself_in_one_pass(spark):
+    a = spark.range(11).selectExpr("concat('s', id) AS state", "CASE WHEN id % 4 > 0 THEN id * 7 % 5 END AS x", "id / 3 AS y")
+    b = spark.range(4, 40, 3).selectExpr("concat('s', id) AS state", "-id / 2 AS z")
+    got = op.ntile_tables([(a, {"bx": "x", "by": "y"}), (b, {"bz": "z"})], "state")
+    left = a.select("state", *[F.ntile(5).over(Window.orderBy(F.col(c).asc_nulls_first(), "state")).alias(f"b{c}") for c in "xy"])
+    expected = left.join(b.select("state", F.ntile(5).over(Window.orderBy("z", "state")).alias("bz")), "state", "full")
+    assert {tuple(r) for r in got.select("state", "bx", "by", "bz").collect()} == {tuple(r) for r in expected.collect()}
+    assert op.ntile_tables([(a.limit(0), {"bx": "x"})], "state").count() == 0
+
+
 def test_large_ntile_on_a_skewed_column(spark):
     df = spark.range(20000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 5.5D ELSE (id * 7919) % 1000 / 10D END AS x")
     got = op.ntile_score(df, "x", "b", 5, ["id"])
