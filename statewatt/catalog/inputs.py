@@ -9,6 +9,7 @@ are whole numbers: sums are exact in any order.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ class DerivedInputs(Mapping):
     """Input name -> DataFrame over one scale folder, built when asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self._table = lambda name: table(spark, sf_dir, name)
+        self._table = cache(lambda name: table(spark, sf_dir, name))  # each file's schema is read once
 
     def __getitem__(self, name: str) -> DataFrame:
         return _BUILDERS[name](self._table)
