@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -42,7 +44,9 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     if shared:
         sc.setCheckpointDir(shared)
     elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="statewatt-checkpoint-"))
+        folder = tempfile.mkdtemp(prefix="statewatt-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)  # made here, so removed here
+        sc.setCheckpointDir(folder)
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
 
@@ -53,8 +57,9 @@ def stored(df: DataFrame) -> DataFrame:
 
     Used where a result must not change between two passes, or where several
     plans read a small table. The files outlive any executor and, unlike a
-    checkpoint's, have statistics, so the planner sees the size. They are left
-    in place; empty the folder after the run.
+    checkpoint's, have statistics, so the planner sees the size. In a configured
+    folder they are left in place, so empty it after the run; the folder that a
+    local session makes for itself goes when the process ends.
     """
     _ensure_checkpoint_dir(df.sparkSession)
     path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
