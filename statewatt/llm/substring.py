@@ -1,10 +1,17 @@
-"""Repeated passages, by hashed units of text.
+"""Repeated passages, by hashed units of text and by hashed stretches of words.
 
 A unit is a sentence or a line. Units are normalised and digested, digests are
 grouped over all documents, the earliest occurrence by (doc_id, place) stays
 and the others go, as runs of adjacent units with offsets into the original
 text. A run has to hold a least number of words, so a document is not touched
 for a stray short sentence.
+
+Units miss a passage that begins and ends inside sentences. So every stretch of
+``STRETCH`` white-space separated words that stands word for word, case aside,
+at an earlier place goes too. Each such window is known by the least hash of
+its ``ANCHOR``-word runs; adjacent windows of one least hash are a segment, and
+equal windows have equal ones. Only segments whose hash repeats are compared:
+first as wholes, then, where segments of one hash differ, window by window.
 """
 
 from __future__ import annotations
@@ -13,6 +20,7 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +31,10 @@ from statewatt.llm.common import cut, pick
 #: Words a removed run holds at least, and words of a unit that is digested.
 MIN_WORDS = 25
 UNIT_WORDS = 3
+#: Words of a stretch that goes wherever it begins, and of the runs it is known
+#: by; ``_hashes`` is written for these two.
+STRETCH, ANCHOR = 50, 16
+WINDOWS = STRETCH - ANCHOR + 1
 _UNIT = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)|(?=\n)|\Z)", re.S)
 _WORD = re.compile(r"\w+")
 
@@ -43,26 +55,170 @@ def units(text: str) -> Iterator[tuple[int, int, int, bytes]]:
         at = end
 
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_POWERS = [np.cumprod(np.full(64, _BASE, np.uint64))]
+_SPACE = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
+_TABLES: list[np.ndarray] = []
+
+
+def _word_char(points: np.ndarray) -> np.ndarray:
+    """What ``\\w`` matches."""
+    if not _TABLES:
+        _TABLES.append(np.array([chr(c).isalnum() or c == 95 for c in range(0x110000)]))
+    return _TABLES[0][points]
+
+
+class _Words:
+    """The white-space separated words of a text: offsets, hashes, and the
+    number of ``\\w+`` words before each code point."""
+
+    def __init__(self, text: str) -> None:
+        # one code point for each, so that offsets hold: only this letter grows when lower-cased
+        points = np.frombuffer(text.replace("\u0130", "i").lower().encode("utf-32-le", "surrogatepass"), "<u4")
+        inside = _word_char(points)
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        self.before = np.r_[0, np.cumsum(begins)]
+        solid = ~_SPACE[np.minimum(points, len(_SPACE) - 1)]
+        edges = np.flatnonzero(np.diff(np.r_[False, solid, False].astype(np.int8)))
+        self.starts, self.ends = edges[::2], edges[1::2]
+        sizes = self.ends - self.starts
+        if not len(sizes):
+            self.hashes = np.empty(0, np.uint64)
+            return
+        if (longest := int(sizes.max())) > len(_POWERS[0]):
+            _POWERS[0] = np.cumprod(np.full(2 * longest, _BASE, np.uint64))
+        first = np.cumsum(sizes) - sizes
+        place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+        self.hashes = _mix(np.add.reduceat((points[solid].astype(np.uint64) + np.uint64(1)) * _POWERS[0][place], first))
+
+    def _hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """For every window of ``STRETCH`` words: the least hash of its runs, its own hash."""
+        run = self.hashes
+        for n in (1, 2, 4, 8):
+            run = _mix(run[:-n] * _BASE + run[n:])
+        least = run
+        for n in (1, 2, 4, 8, 16):
+            least = np.minimum(least[:-n], least[n:])
+        least = np.minimum(least[: -(WINDOWS - 32)], least[WINDOWS - 32 :])
+        both = _mix(run[:-16] * _BASE + run[16:])
+        return least, _mix(both[: -(STRETCH - 32)] * _BASE + both[STRETCH - 32 :])
+
+    def segments(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First windows and windows behind the last, at most ``WINDOWS`` apart;
+        least hashes and own hashes of all windows."""
+        if len(self.hashes) < STRETCH:
+            return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),) * 2
+        least, grams = self._hashes()
+        at = np.arange(len(least))
+        since = at - np.maximum.accumulate(np.where(np.r_[True, least[1:] != least[:-1]], at, 0))
+        firsts = np.flatnonzero(since % WINDOWS == 0)
+        return firsts, np.r_[firsts[1:], len(least)], least, grams
+
+    def extents(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of windows a to b: start, end, ``\\w+`` words before the start and before the end."""
+        start, end = self.starts[a], self.ends[b + STRETCH - 2]
+        return start, end, self.before[start], self.before[end]
+
+
+def _bytes(rows: np.ndarray, size: int) -> list[bytes]:
+    raw = np.ascontiguousarray(rows).tobytes()
+    return [raw[k : k + size] for k in range(0, len(raw), size)]
+
+
 def _explode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = None
+    """Units (``n`` counts them) and segments (``n`` is the first window, ``whole``
+    tells all words, by the first and the last window and their distance) of
+    (doc_id, key, text)."""
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    names = ["doc_id", "key", "n", "start", "end", "before", "after", "digest", "whole"]
     for batch in batches:
-        kind = batch.schema.field(0).type
-        ids, texts, out = batch.column(0).to_pylist(), batch.column(1), [[] for _ in range(7)]
-        for i, t in zip(ids, texts):
+        own = [batch.schema.field(0).type, *kinds]
+        out = [[] for _ in own]
+        for i, key, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
             text = t.as_py() or ""
-            key = hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest()
-            for n, (start, end, words, digest) in enumerate(units(text)):
-                for column, value in zip(out, (i, key, n, start, end, words, digest)):
-                    column.append(value)
+            if not text:
+                continue
+            words = _Words(text)
+            found = list(units(text))
+            start, end = (np.array([u[k] for u in found], np.int64) for k in (0, 1))
+            a, b, least, grams = words.segments()
+            extents = words.extents(a, b)
+            whole = np.stack([grams[a], _mix(grams[b - 1] + (b - a).astype(np.uint64) * _BASE)], axis=1)
+            both = [np.r_[x, y] for x, y in zip((start, end, words.before[start], words.before[end]), extents)]
+            size = len(found) + len(a)
+            columns = ([i] * size, [key] * size, [*range(len(found)), *a.tolist()], *(x.tolist() for x in both), [u[3] for u in found] + _bytes(least[a], 8), [None] * len(found) + _bytes(whole, 16))
+            for column, values in zip(out, columns):
+                column += values
             if len(out[0]) >= 50_000:
-                yield _batch(out, kind)
-                out = [[] for _ in range(7)]
-        yield _batch(out, kind)
+                yield _batch(out, own, names)
+                out = [[] for _ in own]
+        yield _batch(out, own, names)
+
+
+def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every window of the listed segments of (doc_id, key, text, segments)."""
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64()]
+    names = ["doc_id", "key", "start", "end", "before", "after", "digest", "whole", "gram"]
+    for batch in batches:
+        own = [batch.schema.field(0).type, *kinds]
+        out = [[] for _ in own]
+        for i, key, t, listed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
+            words, listed = _Words(t.as_py()), {s["n"]: s["whole"] for s in listed}
+            firsts, lasts, least, grams = words.segments()
+            for a, b in zip(firsts.tolist(), lasts.tolist()):
+                if a in listed:
+                    at, size = np.arange(a, b), b - a
+                    columns = ([i] * size, [key] * size, *(x.tolist() for x in words.extents(at, at + 1)), [least[a].tobytes()] * size, [listed[a]] * size, grams[a:b].view(np.int64).tolist())
+                    for column, values in zip(out, columns):
+                        column += values
+            if len(out[0]) >= 50_000:
+                yield _batch(out, own, names)
+                out = [[] for _ in own]
+        yield _batch(out, own, names)
+
+
+def _batch(out: list[list], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
 
-def _batch(out: list[list], kind: pa.DataType) -> pa.RecordBatch:
-    kinds = [kind, pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["doc_id", "key", "n", "start", "end", "words", "digest"])
+def _later(rows: DataFrame) -> DataFrame:
+    """Extents of ``rows`` that stand behind the ``first`` of their kind. One that
+    overlaps it, in a text that repeats itself, begins where it ends."""
+    f = F.col("first")
+    own = F.col("doc_id").eqNullSafe(f["doc_id"]) & (F.col("key") == f["key"])
+    gone = rows.where(~own | (F.col("start") != f["start"]))
+    for name, end in (("start", "end"), ("before", "after")):
+        gone = gone.withColumn(name, F.when(own, F.greatest(name, f[end])).otherwise(F.col(name)))
+    return gone.where("start < end").select("doc_id", "key", "start", "end", "before", "after", "kept")
+
+
+def _stretches(few: DataFrame, segments: DataFrame) -> DataFrame:
+    """Extents of repeated windows, from segments whose least hash repeats. Equal
+    segments have the windows of their first, so only firsts are opened."""
+    place = [F.col("doc_id").isNull().alias("none"), *(F.col(c) for c in ("doc_id", "key", "start", "end", "after"))]
+    wholes = cut(segments.groupBy("digest", "whole").agg(F.min(F.struct(*place, "n")).alias("first"), F.count("*").alias("size")))
+    mixed = wholes.groupBy("digest").count().where("count > 1").select("digest")
+    listed = wholes.join(mixed, "digest", "left_semi").groupBy(F.col("first.doc_id").alias("i"), F.col("first.key").alias("k"))
+    listed = listed.agg(F.collect_list(F.struct("first.n", "whole")).alias("segments"))
+    texts = few.join(listed, few["doc_id"].eqNullSafe(listed["i"]) & (few["key"] == listed["k"])).select("doc_id", "key", "text", "segments")
+    fields = [("key", T.LongType()), ("start", T.IntegerType()), ("end", T.IntegerType()), ("before", T.IntegerType()), ("after", T.IntegerType()), ("digest", T.BinaryType()), ("whole", T.BinaryType()), ("gram", T.LongType())]
+    schema = T.StructType([few.schema["doc_id"]] + [T.StructField(n, t) for n, t in fields])
+    grams = texts.mapInArrow(_windows, schema)
+    first = grams.groupBy("digest", "gram").agg(F.min(F.struct(*place)).alias("first"))
+    each = grams.join(first, ["digest", "gram"]).groupBy("digest", "whole", "doc_id", "key")
+    opened = cut(each.agg(F.collect_list(F.struct("start", "end", "before", "after", "first")).alias("windows")))
+    apart = opened.select("doc_id", "key", F.inline("windows")).withColumn("kept", F.array(F.col("first.doc_id")))
+    stays = opened.select("digest", "whole", F.array_distinct(F.transform("windows", lambda w: w["first"]["doc_id"])).alias("stays"))
+    known = wholes.where("size > 1").join(stays, ["digest", "whole"], "left")
+    known = known.select("digest", "whole", "first", F.coalesce("stays", F.array(F.col("first.doc_id"))).alias("kept"))
+    return _later(segments.join(known, ["digest", "whole"])).unionAll(_later(apart))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -70,28 +226,46 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     text, end exclusive), words, kept_doc_id and kept_doc_ids (documents that
     hold the occurrences which stay).
 
+    What goes are runs of repeated units of ``min_words`` words or more, and all
+    stretches of ``STRETCH`` white-space separated words or more that stand at
+    an earlier place; where these overlap they are one run.
+
     Documents are ranked by id, a null id last; rows with one id and one text
     are one document. Null and empty texts have no units. Ties cannot be: the
     place in the text ranks units of one document, so of a passage that repeats
     inside a document the first stays.
     """
     few = pick(docs, id_col, text_col).toDF("doc_id", "text")
-    kind = few.schema["doc_id"].dataType
-    fields = [("key", T.BinaryType()), ("n", T.IntegerType()), ("start", T.IntegerType()), ("end", T.IntegerType()), ("words", T.IntegerType()), ("digest", T.BinaryType())]
-    schema = T.StructType([T.StructField("doc_id", kind)] + [T.StructField(n, t) for n, t in fields])
+    few = few.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    fields = [("key", T.LongType()), ("n", T.IntegerType()), ("start", T.IntegerType()), ("end", T.IntegerType()), ("before", T.IntegerType()), ("after", T.IntegerType()), ("digest", T.BinaryType()), ("whole", T.BinaryType())]
+    schema = T.StructType([T.StructField("doc_id", few.schema["doc_id"].dataType)] + [T.StructField(n, t) for n, t in fields])
     rows = few.mapInArrow(_explode, schema)
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"), F.col("start").alias("start"))
     first = rows.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = cut(first.where(F.col("first") != F.col("last")).select("digest", "first"))
-    gone = rows.join(first, "digest").where(place != F.col("first"))
-    gone = gone.select("doc_id", "key", "n", "start", "end", "words", F.col("first.doc_id").alias("kept")).distinct()
+    again = cut(rows.join(first, "digest"))
+    gone = again.where(F.col("whole").isNull() & (place != F.col("first")))
+    gone = gone.select("doc_id", "key", "n", "start", "end", "before", "after", F.col("first.doc_id").alias("kept")).distinct()
     order = Window.partitionBy("doc_id", "key").orderBy("n")
     runs = gone.withColumn("run", F.col("n") - F.row_number().over(order))
     found = runs.groupBy("doc_id", "key", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.min("kept").alias("kept_doc_id"), F.array_sort(F.collect_set("kept")).alias("kept_doc_ids")
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min("before").alias("before"), F.max("after").alias("after"), F.sum(F.col("after") - F.col("before")).alias("words"), F.collect_set("kept").alias("kept")
+    )
+    found = found.where(F.col("words") >= min_words).drop("run", "words")
+    found = found.unionAll(_stretches(few, again.where(F.col("whole").isNotNull()).drop("first")))
+    return _united(found)
+
+
+def _united(found: DataFrame) -> DataFrame:
+    """Overlapping extents of one text as one run."""
+    order = Window.partitionBy("doc_id", "key").orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = found.withColumn("new", (F.coalesce(reach, F.lit(-1)) < F.col("start")).cast("long")).withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    kept = F.array_sort(F.array_compact(F.array_distinct(F.flatten(F.collect_set("kept")))))
+    found = runs.groupBy("doc_id", "key", "run").agg(
+        F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end"), (F.max("after") - F.min("before")).cast("long").alias("words"), kept.alias("kept_doc_ids")
     )
-    found = found.where(F.col("words") >= min_words)
-    return found.select("doc_id", F.col("start").cast("long"), F.col("end").cast("long"), "words", "kept_doc_id", "kept_doc_ids")
+    return found.select("doc_id", "start", "end", "words", F.array_min("kept_doc_ids").alias("kept_doc_id"), "kept_doc_ids")
 
 
 def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:

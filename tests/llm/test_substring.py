@@ -91,3 +91,68 @@ def test_awkward_rows(spark):
 
 def test_empty_table(spark):
     assert substring.repeated_passages(empty(spark)).count() == 0
+
+
+def words_left(rows, found):
+    """For each (doc, text) the words, and whether each is wholly inside a removed run."""
+    spans = defaultdict(list)
+    for r in found:
+        spans[r["doc_id"]].append((r["start"], r["end"]))
+    for i, text in rows:
+        marks = [(m.group().lower(), any(a <= m.start() and m.end() <= b for a, b in spans[i])) for m in re.finditer(r"\S+", text)]
+        yield i, [w for w, _ in marks], [g for _, g in marks]
+
+
+def spliced():
+    """Passages of 50 to 100 words in the middle of sentences, none with a unit
+    that would do by itself, beside ones of 49 words; a text that repeats itself."""
+    rng = random.Random(9)
+    rows, want = [], {}
+    for n, size in enumerate([49, 50, 51, 64, 77, 99, 100] * 3):
+        gap = (4, 9, 200)[n // 7]  # words between full stops: short units, middling ones, none
+        passage = [f"p{n}x{k}" + ("." if k % gap == gap - 1 else "") for k in range(size)]
+        for copy in range(3):
+            around = [[f"a{n}c{copy}s{side}w{k}" for k in range(rng.randrange(3, 40))] for side in (0, 1)]
+            own = [w.upper() for w in passage] if copy == 1 else passage
+            rows.append((10 * n + copy, rng.choice([" ", "\n"]).join(around[0] + own + around[1])))
+            want[10 * n + copy] = (len(around[0]), len(around[0]) + size) if copy and size >= 50 else None
+    rows.append((900, "Ja " * 400))
+    want[900] = (50, 400)
+    return rows, want
+
+
+def test_passages_spliced_into_sentences(spark):
+    rows, want = spliced()
+    found = substring.repeated_passages(spark.createDataFrame(rows, DOCS).repartition(5)).collect()
+    for i, words, gone in words_left(rows, found):
+        a, b = want[i] or (0, 0)
+        if i // 10 % 7 == 0 and i < 900 and i // 70 < 2:
+            continue  # 49 words: whole units of these may go, by their own rule
+        assert gone == [a <= k < b for k in range(len(words))], i
+    by_doc = {r["doc_id"]: r for r in found}
+    assert by_doc[12]["kept_doc_ids"] == [10] and by_doc[12]["words"] == 50
+
+
+def test_no_shared_stretch_is_left(spark):
+    rng = random.Random(12)
+    source = [f"s{rng.randrange(300)}" + rng.choice(["", "", "", "", ".", ","]) for _ in range(4000)]
+    rows = []
+    for i in range(150):
+        words = []
+        for _ in range(rng.randrange(1, 6)):
+            at = rng.randrange(3900)
+            words += source[at : at + rng.randrange(20, 120)]
+            words += [f"o{rng.randrange(10**6)}" for _ in range(rng.randrange(12))]
+        rows.append((i, rng.choice([" ", "  ", "\n"]).join(words)))
+    found = substring.repeated_passages(spark.createDataFrame(rows, DOCS).repartition(5)).collect()
+    seen, hits = {}, 0
+    for i, words, gone in words_left(rows, found):
+        for k in range(len(words) - 49):
+            gram = tuple(words[k : k + 50])
+            if gram in seen:
+                doc, at = seen[gram]
+                hits += 1
+                assert all(gone[max(k, at + 50) if doc == i else k : k + 50]), (i, k)
+            else:
+                seen[gram] = (i, k)
+    assert hits > 1000
