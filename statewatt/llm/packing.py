@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -43,8 +44,9 @@ class WordTokenizer:
     """Ids of texts by a tokenizer that drops white space and never merges
     across it, so each white-space separated chunk is encoded once and
     remembered. Letters-only chunks share one entry with or without a final
-    full stop or comma, and ASCII ones in either case, as the vocabulary is
-    lower case."""
+    full stop or comma, unless their normal form has combining marks, which
+    the tokenizer joins with it; ASCII ones share it in either case, as the
+    vocabulary is lower case."""
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -77,7 +79,11 @@ class WordTokenizer:
         core, mark = (chunk[:-1], chunk[-1]) if chunk[-1:] in (".", ",") else (chunk, "")
         if not core.isalpha():
             return chunk, ""
-        return (core.lower() if core.isascii() else core), mark
+        if core.isascii():
+            return core.lower(), mark
+        if mark and not unicodedata.normalize("NFC", core).lower().isalpha():
+            return chunk, ""
+        return core, mark
 
     def ids_of(self, chunks: Sequence[str]) -> list[bytes]:
         parts = [self._parts(c) for c in chunks]

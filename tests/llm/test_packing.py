@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -34,6 +35,18 @@ def test_ids_are_the_tokenizer_s(spark):
             assert ids.tolist() == direct(text), text
 
 
+def test_letters_that_normalise_to_a_mark():
+    """All letters whose normal form ends in something that is no letter, before a full stop or comma."""
+    letters = [c for c in map(chr, range(0x80, 0x110000)) if c.isalpha() and not unicodedata.normalize("NFC", c).lower().isalpha()]
+    assert len(letters) > 50 and "İ" in letters
+    texts = [f"{word}{mark}" for c in letters for word in (c, f"geld{c}", f"geld{c}m") for mark in ("", ".", ",")] + ["GELDİ.", "GELDİ", "école.", "ÉCOLE,"]
+    tokenizer = packing.WordTokenizer(PATH)
+    want = {t: tokenizer.tokenizer.encode(t, add_special_tokens=False).ids for t in texts}
+    for _ in range(2):
+        for text, ids in zip(texts, tokenizer.encode(pa.array(texts, pa.string()))):
+            assert ids.tolist() == want[text], text
+
+
 def test_forgetting_does_not_matter(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 50)
     tokenizer = packing.WordTokenizer(PATH)
