@@ -46,7 +46,8 @@ class WordTokenizer:
     remembered. Letters-only chunks share one entry with or without a final
     full stop or comma, unless their normal form has combining marks, which
     the tokenizer joins with it; ASCII ones share it in either case, as the
-    vocabulary is lower case."""
+    vocabulary is lower case. Special tokens written out in a text are plain
+    characters (``encode_special_tokens``)."""
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
