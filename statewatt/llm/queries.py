@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statewatt.llm import exact, extract, line_dedup, mixing, packing, simhash, substring, topk, toxicity, warc
+from statewatt.llm import decontaminate, exact, extract, line_dedup, mining, mixing, packing, simhash, substring, topk, toxicity, warc, zones
+from statewatt.llm.common import integer_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -177,3 +178,107 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.membership(table(spark, sf_dir, "documents"))
+
+
+_WHOLE = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"
+
+
+@query(
+    "op11_hard_negatives",
+    f"""
+    WITH v AS MATERIALIZED (
+      SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_WHOLE}
+    ), s AS MATERIALIZED (
+      SELECT a.rid, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+      FROM v AS a JOIN v AS c ON a.vec_id % 100 = 0 AND a.rid <> c.rid AND len(a.v) = len(c.v)
+    ), p AS (
+      SELECT rid, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS place
+      FROM s WHERE alike
+    ), n AS (
+      SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.rid, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON p.rid = s.rid AND NOT s.alike AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+      WHERE p.place <= 5
+    )
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = integer_vectors(table(spark, sf_dir, "embeddings"), 256.0, "label").where(F.col("vec_id").isNotNull() & F.col("label").isNotNull())
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mining.hard_negatives(vectors.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
+_TERMS = "regexp_extract_all(" + LOWER.format("coalesce(text, '')") + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_NEXT = ", ".join(f"lead(w, {k}) OVER (PARTITION BY rid ORDER BY pos) AS w{k}" for k in range(1, 10))
+
+
+@query(
+    "op12_decontamination",
+    f"""
+    WITH d AS MATERIALIZED (
+      SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS words FROM documents
+    ), b AS (
+      SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_TERMS} AS words FROM benchmark
+    ), i AS (
+      SELECT item, words, least(10, len(words)) AS n, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS s FROM b WHERE len(words) > 0
+    ), g AS MATERIALIZED (
+      SELECT DISTINCT item, n, array_to_string(words[s : s + n - 1], ' ') AS gram FROM i
+    ), t AS (
+      SELECT rid, unnest(words) AS w, unnest(range(len(words))) AS pos FROM d
+    ), r AS (
+      SELECT rid, pos, w, {_NEXT} FROM t
+    ), m AS MATERIALIZED (
+      SELECT DISTINCT r.rid, r.pos, g.n, g.item
+      FROM r JOIN (SELECT DISTINCT n FROM g) AS l ON true JOIN d ON d.rid = r.rid AND r.pos + l.n <= len(d.words)
+      JOIN g ON g.n = l.n AND g.gram = array_to_string([w, w1, w2, w3, w4, w5, w6, w7, w8, w9][1 : l.n], ' ')
+    ), h AS (
+      SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(pos, pos + n)) AS p FROM m) AS x GROUP BY rid
+    ), k AS (
+      SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM m) AS x GROUP BY rid
+    )
+    SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(k.n_items, 0) AS BIGINT) AS n_items,
+           sha256(coalesce(k.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN h ON d.rid = h.rid LEFT JOIN k ON d.rid = k.rid
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    named = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), named.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def _rounds_sql(k: int, rounds: int, dims: int) -> str:
+    """Rounds of exact k-means as one statement: c0 are the first centroids, a
+    round assigns (a) and averages (c); the last a is the result."""
+
+    def assigned(r: int) -> str:
+        near = "list_sum(list_transform(range(1, {0}), lambda i: (v[i] - c[i]) * (v[i] - c[i])))".format(dims + 1)
+        return f"a{r} AS MATERIALIZED (SELECT rid, vec_id, v, arg_min(cluster, [CAST(d AS DOUBLE), CAST(cluster AS DOUBLE)]) AS cluster, min(d) AS distance FROM (SELECT e.*, cluster, {near} AS d FROM e, c{r}) AS x GROUP BY rid, vec_id, v)"
+
+    def averaged(r: int) -> str:
+        mean = "list(m ORDER BY i)"
+        means = f"SELECT cluster, {mean} AS c FROM (SELECT cluster, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) / count(*) AS BIGINT) AS m FROM (SELECT cluster, unnest(v) AS x, unnest(range({dims})) AS i FROM a{r}) AS y GROUP BY cluster, i) AS z GROUP BY cluster"
+        return f"c{r + 1} AS MATERIALIZED (SELECT c{r}.cluster, coalesce(n.c, c{r}.c) AS c FROM c{r} LEFT JOIN ({means}) AS n ON c{r}.cluster = n.cluster)"
+
+    first = f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1 AS cluster, v AS c FROM e ORDER BY sha256('3:' || vec_id) NULLS LAST, v LIMIT {k})"
+    return ",\n".join([first] + [f"{assigned(r)},\n{averaged(r)}" for r in range(rounds)] + [assigned(rounds)])
+
+
+@query(
+    "op13_centroid_clusters",
+    f"""
+    WITH e AS MATERIALIZED (
+      SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings WHERE {_WHOLE} AND len(embedding) = 64
+    ), {_rounds_sql(zones.K, zones.ROUNDS, 64)}
+    SELECT vec_id, CAST(a{zones.ROUNDS}.cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+           CAST(sum(distance) OVER (PARTITION BY a{zones.ROUNDS}.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+           sha256(array_to_string(c, ',')) AS centroid_sha256
+    FROM a{zones.ROUNDS} JOIN c{zones.ROUNDS} ON a{zones.ROUNDS}.cluster = c{zones.ROUNDS}.cluster
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = integer_vectors(table(spark, sf_dir, "embeddings"), 1024.0)
+    return zones.clusters(vectors.where(F.size("v") == 64))

@@ -16,7 +16,7 @@ def test_query_agrees_with_sql(spark, name):
 
 
 def test_a_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name,table", [("op2_simhash_near_dedup", "documents"), ("op6_toxicity", "documents"), ("op7_html_extraction", "pages")])
