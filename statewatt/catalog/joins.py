@@ -214,7 +214,7 @@ def _places(spark, sf):
 
 def _located(spark, sf):
     return op.spatial_join(
-        _places(spark, sf), _territories(spark, sf), "lon", "lat", "shape", ["n_nationkey", "n_name", "n_regionkey"], cell_deg=4.0
+        _places(spark, sf), _territories(spark, sf), "lon", "lat", "shape", ["n_nationkey", "n_name", "n_regionkey"]
     )
 
 

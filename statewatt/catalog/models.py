@@ -935,7 +935,7 @@ attached AS (SELECT firms.*, coalesce(n, 0) AS n, coalesce(area, 0) AS area FROM
 
 
 def _territory(spark, sf, name):
-    return facilities_in_territory(*facility_inputs(spark, sf), cell_deg=8.0)[name]
+    return facilities_in_territory(*facility_inputs(spark, sf))[name]
 
 
 @query(
@@ -973,5 +973,5 @@ UNION ALL SELECT 'unmatched_territories', count(*) FILTER (pick IS NULL) FROM ma
 )
 def territory_report(spark, sf):
     features, atlas, utilities = facility_inputs(spark, sf)
-    matched = facilities_in_territory(features, atlas, utilities, cell_deg=8.0)["territory_matches"]
-    return run_report(features, atlas, matched, cell_deg=8.0)
+    matched = facilities_in_territory(features, atlas, utilities)["territory_matches"]
+    return run_report(features, atlas, matched)

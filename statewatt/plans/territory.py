@@ -21,11 +21,11 @@ from statewatt.sources import feature_filter
 COUNT, AREA = "dc_facility_count", "dc_sqft_in_territory"
 
 
-def _located(features: DataFrame, atlas: DataFrame, srid: int, cell_deg: float, how: str) -> DataFrame:
+def _located(features: DataFrame, atlas: DataFrame, srid: int, how: str) -> DataFrame:
     lands = feature_filter(features, c.TERRITORY_TYPE).select("ordinal", "properties.NAME", "properties.STATE", "polygons")
     lands = normalise_crs(lands, srid, geometry="polygons")
     points = atlas.dropna(subset=["lat", "lon"])
-    return spatial_join(points, lands, "lon", "lat", "polygons", ["ordinal", "NAME", "STATE"], cell_deg, how)
+    return spatial_join(points, lands, "lon", "lat", "polygons", ["ordinal", "NAME", "STATE"], how)
 
 
 def _one_territory_each(inside: DataFrame, order: str) -> DataFrame:
@@ -33,7 +33,7 @@ def _one_territory_each(inside: DataFrame, order: str) -> DataFrame:
 
 
 def facilities_by_territory(
-    features: DataFrame, atlas: DataFrame, order: str = "position", srid: int = 4326, cell_deg: float = 0.25
+    features: DataFrame, atlas: DataFrame, order: str = "position", srid: int = 4326
 ) -> DataFrame:
     """Facility count and area per territory (NAME, STATE).
 
@@ -42,7 +42,7 @@ def facilities_by_territory(
     in a territory, and there in the first feature around it. Facilities outside
     all of them matter to the run report alone, so this join is inner.
     """
-    inside = _located(features, atlas, srid, cell_deg, "inner")
+    inside = _located(features, atlas, srid, "inner")
     return territory_rollup(_one_territory_each(inside, order), ["NAME", "STATE"], "id", "sqft", COUNT, AREA)
 
 
@@ -51,11 +51,11 @@ def _as_metrics(counts: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*pairs)))
 
 
-def territory_report(features: DataFrame, atlas: DataFrame, matched: DataFrame, srid: int = 4326, cell_deg: float = 0.25) -> DataFrame:
+def territory_report(features: DataFrame, atlas: DataFrame, matched: DataFrame, srid: int = 4326) -> DataFrame:
     """Run counts as (metric, value) rows: facilities inside before and after
     each is given one territory, those outside, territories in use, and
     territory names without a match."""
-    located = _located(features, atlas, srid, cell_deg, "left")
+    located = _located(features, atlas, srid, "left")
     known = F.col("NAME").isNotNull()
     per_id = located.groupBy("id").agg(F.count_if(known).alias("_in"), F.count_if(~known).alias("_out"))
     facilities = per_id.agg(
@@ -75,7 +75,6 @@ def facilities_in_territory(
     utilities: DataFrame,
     order: str = "position",
     srid: int = 4326,
-    cell_deg: float = 0.25,
 ) -> dict[str, DataFrame]:
     """Utility list with facility counts, raw and collapsed per utility.
 
@@ -84,7 +83,7 @@ def facilities_in_territory(
     breaks fuzzy ties and decides which name and state a repeated utility keeps.
     """
     # both are one row per territory; the join and the scoring run once for all outputs
-    territories = stored(facilities_by_territory(features, atlas, order, srid, cell_deg))
+    territories = stored(facilities_by_territory(features, atlas, order, srid))
     matched = stored(fuzzy_best_match(territories, "NAME", utilities, "utility_name_eia", order, c.MATCH_THRESHOLD))
     raw = attach_matches(utilities, "utility_name_eia", matched, "match", [COUNT, AREA])
     collapsed = dedup_collapse(raw, "utility_id_eia", ["utility_name_eia", "state"], [COUNT, AREA], [order])

@@ -32,8 +32,9 @@ def lands(spark):
     return spark.createDataFrame(data, f"ordinal long, NAME string, shape {SHAPE}")
 
 
-@pytest.mark.parametrize("cell", [0.3, 1.0, 2.5, 100.0])
-def test_strictly_within(spark, lands, cell, rows):
+@pytest.mark.parametrize("edges", [0, 3, 16])
+def test_strictly_within(spark, lands, edges, rows, monkeypatch):
+    monkeypatch.setattr(geo, "CELL_EDGES", edges)
     points = spark.createDataFrame(
         [
             ("inside", 1.0, 1.0),
@@ -54,7 +55,7 @@ def test_strictly_within(spark, lands, cell, rows):
         ],
         "id string, lon double, lat double",
     )
-    got = rows(op.spatial_join(points, lands, "lon", "lat", "shape", ["ordinal", "NAME"], cell), "id", "ordinal")
+    got = rows(op.spatial_join(points, lands, "lon", "lat", "shape", ["ordinal", "NAME"]), "id", "ordinal")
     assert len(got) == 16
     assert set(got) == (
         {
@@ -76,7 +77,7 @@ def test_strictly_within(spark, lands, cell, rows):
             ("half placed", None),
         }
     )
-    inner = op.spatial_join(points, lands, "lon", "lat", "shape", ["ordinal"], cell, how="inner")
+    inner = op.spatial_join(points, lands, "lon", "lat", "shape", ["ordinal"], how="inner")
     assert inner.count() == 9
 
 
@@ -91,7 +92,7 @@ def winding_inside(rings, x, y):
 
 
 @pytest.mark.parametrize("small", ["10MB", "-1"])
-def test_random_polygons_agree_with_a_plain_scan(spark, small, rows, request):
+def test_random_polygons_agree_with_a_plain_scan(spark, small, rows, request, monkeypatch):
     """With an index that may be sent to the points, and with one that may not."""
     request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
@@ -105,21 +106,64 @@ def test_random_polygons_agree_with_a_plain_scan(spark, small, rows, request):
     expected = sorted((i, p) for i, x, y in pts for p, shape in polys if winding_inside(shape[0], x, y))
     points = spark.createDataFrame(pts, "id long, lon double, lat double")
     lands = spark.createDataFrame(polys, f"land long, shape {SHAPE}")
-    for cell in (0.7, 3.0):
-        joined = op.spatial_join(points, lands, "lon", "lat", "shape", ["land"], cell)
+    for edges in (2, 16):
+        monkeypatch.setattr(geo, "CELL_EDGES", edges)
+        joined = op.spatial_join(points, lands, "lon", "lat", "shape", ["land"])
         assert rows(joined.filter("land IS NOT NULL"), "id", "land") == expected
         assert joined.filter("land IS NULL").count() == len({i for i, _, _ in pts} - {i for i, _ in expected})
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_inner_cells_carry_no_edges_and_outer_cells_vanish(spark):
+def test_inner_cells_carry_no_edges_and_outer_cells_vanish(spark, monkeypatch):
+    monkeypatch.setattr(geo, "CELL_EDGES", 0)
     wide = spark.createDataFrame([(1, [[box(0, 0, 40, 40), box(10, 10, 20, 20)]])], f"land long, shape {SHAPE}")
-    cells = op.polygon_cells(wide, "shape", ["land"], 2.0)
-    assert cells.filter("_full AND size(_edges) > 0").count() == 0
-    assert cells.filter("_full").count() > 0
-    # the middle of the hole holds no cell at all
-    assert cells.filter("_cx BETWEEN 6 AND 13 AND _cy BETWEEN 6 AND 13").count() == 0
+    cells = op.polygon_cells(wide, "shape", ["land"]).collect()
+    for r in cells:
+        w = 4.0**r._level
+        a, b, c, d = r._cx * w, (r._cx + 1) * w, r._cy * w, (r._cy + 1) * w
+        middle = winding_inside([box(0, 0, 40, 40), box(10, 10, 20, 20)], (a + b) / 2, (c + d) / 2)
+        # a cell without edges is inside; the hole and the world around hold none
+        assert middle if not r._edges else all(min(e.x1, e.x2) <= b and max(e.x1, e.x2) >= a for e in r._edges)
+    assert sum(not r._edges for r in cells) > 0 and len({r._level for r in cells}) > 1
+
+
+def test_cells_follow_the_outline_not_the_area(spark, rows):
+    """A country next to a parcel: the country's cells are wide, the parcel's small."""
+    n = 2_000
+    coast = [(10 + (5 + math.sin(40 * a) / 9) * math.cos(a), 50 + (5 + math.sin(40 * a) / 9) * math.sin(a)) for a in (2 * math.pi * k / n for k in range(n))]
+    parcel = box(10.00001, 50.00001, 0.00002, 0.00001)
+    data = [("world", [[box(-180, -90, 360, 180)]]), ("country", [[coast]]), ("parcel", [[parcel]])]
+    lands = spark.createDataFrame(data, f"name string, shape {SHAPE}")
+    cells = op.polygon_cells(lands, "shape", ["name"])
+    counts = {r["name"]: r["count"] for r in cells.groupBy("name").count().collect()}
+    assert counts["world"] < 1000 and counts["parcel"] <= 9 and counts["country"] < n
+    assert cells.selectExpr("max(size(_edges))").first()[0] <= 2 * geo.CELL_EDGES
+    rnd = random.Random(4)
+    spots = [(10.00001 + rnd.uniform(-1, 3) * 1e-5, 50.00001 + rnd.uniform(-1, 2) * 1e-5) for _ in range(100)]
+    spots += [(10 + 5.05 * math.cos(a) + rnd.uniform(-0.1, 0.1), 50 + 5.05 * math.sin(a) + rnd.uniform(-0.1, 0.1)) for a in (rnd.uniform(0, 7) for _ in range(300))]
+    spots += [(rnd.uniform(-200, 200), rnd.uniform(-100, 100)) for _ in range(100)]
+    points = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(spots)], "id long, lon double, lat double")
+    got = rows(op.spatial_join(points, lands, "lon", "lat", "shape", ["name"], how="inner"), "id", "name")
+    assert got == sorted((i, name) for i, (x, y) in enumerate(spots) for name, shape in data if winding_inside(shape[0], x, y))
+
+
+def test_points_on_cell_borders_and_vertices(spark, rows):
+    """Integer shapes and points: ways run through vertices and along edges."""
+    rnd = random.Random(8)
+    polys = []
+    for i in range(40):
+        ring_ = [(float(rnd.randrange(0, 33)), float(rnd.randrange(0, 33))) for _ in range(rnd.randrange(3, 40))]
+        polys.append((i, [[ring_]]))
+    spots = [(x, y) for x in range(0, 33, 2) for y in range(0, 33, 3)] + [(x + 0.25, y + 0.5) for x in range(0, 33, 3) for y in range(0, 33, 4)]
+    points = spark.createDataFrame([(k, float(x), float(y)) for k, (x, y) in enumerate(spots)], "id long, lon double, lat double")
+
+    def on_edge(r, x, y):
+        return any((b - a) * (y - c) == (x - a) * (d - c) and min(a, b) <= x <= max(a, b) and min(c, d) <= y <= max(c, d) for (a, c), (b, d) in zip(r, r[1:] + r[:1]))
+
+    want = sorted((k, i) for k, (x, y) in enumerate(spots) for i, shape in polys if winding_inside(shape[0], x, y) and not on_edge(shape[0][0], x, y))
+    got = rows(op.spatial_join(points, spark.createDataFrame(polys, f"land long, shape {SHAPE}"), "lon", "lat", "shape", ["land"], how="inner"), "id", "land")
+    assert got == want and len(want) > 1000
 
 
 def test_projection_round_trip(spark):

@@ -220,7 +220,6 @@ def test_facilities_from_files_to_files(spark, tmp_path, rows):
         read_geojson(spark, str(tmp_path / "lands.geojson"), GEO_PROPERTIES, "document"),
         read_csv(spark, str(tmp_path / "atlas.csv"), SCHEMAS["data_center_atlas"], position="position"),
         listed,
-        cell_deg=1.0,
     )
     matched = rows(out["territory_matches"], "NAME", "dc_facility_count", "dc_sqft_in_territory", "match")
     # b lies in both territories and counts in the first; ids without a value are one facility that no count sees, with its first row's area
@@ -233,7 +232,6 @@ def test_facilities_from_files_to_files(spark, tmp_path, rows):
         read_geojson(spark, str(tmp_path / "lands.geojson"), GEO_PROPERTIES, "document"),
         read_csv(spark, str(tmp_path / "atlas.csv"), SCHEMAS["data_center_atlas"], position="position"),
         out["territory_matches"],
-        cell_deg=1.0,
     )
     assert dict(rows(counts)) == {"inside_rows": 10, "inside_facilities": 6, "outside_rows": 1, "territories": 3, "unmatched_territories": 1}
     raw = rows(out["dc_in_coop_territory"], "utility_name_eia", "dc_facility_count")
@@ -257,7 +255,7 @@ def test_the_first_row_of_a_facility_counts(spark):
     shape = "ordinal long, properties struct<TYPE: string, NAME: string, STATE: string>, polygons array<array<array<struct<x: double, y: double>>>>"
     lands = spark.createDataFrame([(0, ("COOPERATIVE", "P0", "TX"), ring(0.0)), (1, ("COOPERATIVE", "P1", "TX"), ring(10.0))], shape)
     atlas = spark.createDataFrame([("a", 1.0, 11.0, 20.0, 0), ("a", 1.0, 1.0, 10.0, 1)], "id string, lat double, lon double, sqft double, position long")
-    got = [tuple(r) for r in facilities_by_territory(lands, atlas, cell_deg=1.0).collect()]
+    got = [tuple(r) for r in facilities_by_territory(lands, atlas).collect()]
     assert got == [("P1", "TX", 1, 20)]
 
 
