@@ -112,6 +112,44 @@ def test_blocks_do_not_change_the_result(spark, monkeypatch, rows):
     assert rows(op.fuzzy_best_match(left, "name", choices, "firm", "place")) == whole
 
 
+def random_names(rnd, n, words):
+    names = []
+    for _ in range(n):
+        text = list(" ".join(rnd.choices(words, k=rnd.choice([1, 2, 3, 3, 4]))))
+        for _ in range(rnd.choice([0, 0, 1, 3])):
+            text[rnd.randrange(len(text))] = rnd.choice("abcdefghijklmnopqrstuvwxyz ")
+        names.append("".join(text))
+    return names
+
+
+@pytest.mark.parametrize("threshold", [60.0, 80.0, 92.5, 100.0, 101.0])
+def test_signatures_lose_no_match(spark, threshold, rows):
+    rnd = random.Random(int(threshold))
+    words = ["".join(rnd.choices("aaeeiioobcdfghklmnprstuvwxyz", k=rnd.randrange(1, 9))) for _ in range(40)]
+    names = random_names(rnd, 150, words) + ["a", "b", "ab", "", " ", "x" * 300, "xy" * 40, "ab " * 30]
+    firms = random_names(rnd, 200, words) + ["a", "ba", "abc", "c", "", "x" * 290, "xy" * 41, "yx" * 30, "ba " * 25]
+    left = spark.createDataFrame([(n,) for n in names], "name string")
+    choices = spark.createDataFrame([(f, i) for i, f in enumerate(firms)], "firm string, place long")
+    for name, match, score in rows(op.fuzzy_best_match(left, "name", choices, "firm", "place", threshold)):
+        best = max((similarity(plain_sorted(name), plain_sorted(f)), -i, f) for i, f in enumerate(firms))
+        want = (best[2].strip().upper(), best[0]) if best[0] >= threshold else (None, None)
+        assert (match, score) == want, name
+
+
+def test_few_pairs_meet(spark):
+    """At 80 the pairs that are looked at are a small share of names times choices."""
+    rnd = random.Random(11)
+    words = ["".join(rnd.choices("eeeeaaaiiooottnnssrrhhlldcumfpgwybvkxjqz", k=rnd.randrange(3, 10))) for _ in range(4000)]
+    looked = {}
+    for n in (400, 1600):
+        sides = []
+        for column in ("name", "choice"):
+            texts = [(" ".join(sorted(rnd.choices(words, k=3))).upper(),) for _ in range(n)]
+            sides.append(spark.createDataFrame(texts, f"{column} string").selectExpr("*", f"{column} AS sorted"))
+        looked[n] = fuzzy.candidate_pairs(*sides, 80.0)[0].count() / n**2
+    assert max(looked.values()) < 0.1
+
+
 def test_report_and_attachment(spark, rows):
     matched = spark.createDataFrame([("a", "X", 3, 7.9), ("b", "X", 1, None), ("c", None, 9, 9.0)], "name string, match string, n long, area double")
     assert rows(op.match_report(matched, "name", "match")) == sorted(
