@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statewatt import operators as op
+from statewatt.operators import ranking
 from statewatt.functions import access_gap_flag, composite_score, composite_total, constraint_points, rule_class, signal_tier, value_map
 from statewatt.plans import commercial, integration, residential
 
@@ -41,6 +42,22 @@ def test_large_ntile_on_a_skewed_column(spark):
     assert sizes == [4000] * 5
 
 
+@pytest.mark.parametrize("kind", ["spread", "two values", "text"])
+def test_cuts_are_found_in_several_passes(spark, monkeypatch, kind):
+    monkeypatch.setattr(ranking, "HELD", 300)
+    monkeypatch.setattr(ranking, "SAMPLE", 200)
+    x = {"spread": "CASE WHEN id % 7 = 0 THEN NULL WHEN id % 3 = 0 THEN 5.5D ELSE (id * 7919) % 1000 / 10D END", "two values": "id % 100 < 1", "text": "concat('name ', (id * 31) % 700)"}[kind]
+    df = spark.range(3000).selectExpr("id", f"{x} AS x", "CAST(id AS DECIMAL(10, 2)) * (id % 5) AS y")
+    got = op.ntile_scores(df, {"a": "x", "b": "y"}, 3, ["id"])
+    expected = df.withColumns({"ea": F.ntile(3).over(Window.orderBy(F.col("x").asc_nulls_first(), "id")), "eb": F.ntile(3).over(Window.orderBy("y", "id"))})
+    assert got.join(expected, "id").filter("a != ea OR b != eb").count() == 0 and got.count() == 3000
+    # without a tie the buckets have their sizes and follow the values
+    alone = op.ntile_score(df.select("x"), "x", "b", 3)
+    assert sorted(r["count"] for r in alone.groupBy("b").count().collect()) == [1000, 1000, 1000]
+    ends = alone.groupBy("b").agg(F.min("x"), F.max("x")).orderBy("b").collect()
+    assert all(b[1] is None or (a[2] is None or a[2] <= b[1]) for a, b in zip(ends, ends[1:]))
+
+
 @pytest.mark.parametrize("desc", [True, False])
 def test_large_rank_equals_the_window(spark, desc):
     df = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 5 WHEN id % 50 = 1 THEN NULL ELSE (id * 31) % 997 END AS x")
