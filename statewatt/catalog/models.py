@@ -211,10 +211,11 @@ _CTES |= {
   FROM c_half e JOIN c_half l ON e.state = l.state AND e.half = 'early' AND l.half = 'late'""",
     "c_sum": f"""SELECT state, hhi_concentration, fuel_type_count, dominant_fuel_type, round(dominant_fuel_share * 100, 1) AS dominant_fuel_pct,
   {', '.join(f'round(CAST({a} AS DECIMAL(9,4)) * 100, 1) AS {b}' for a, b in _PCT_OF.items())},
-  CASE WHEN fossil_share_change < 0 THEN CASE WHEN variable_re_growth >= 0.05 THEN 'rapid_transition' WHEN variable_re_growth >= 0.02 THEN 'moderate_transition'
-       WHEN variable_re_growth < 0.02 THEN 'slow_transition' ELSE 'fossil_entrenched' END
-       WHEN fossil_share_change >= 0 AND variable_re_growth >= 0.02 THEN 'renewable_adding_not_replacing' ELSE 'fossil_entrenched' END AS transition_status,
-  CASE WHEN hhi_concentration >= 0.7 THEN 'highly_concentrated' WHEN hhi_concentration >= 0.4 THEN 'moderately_concentrated' ELSE 'diversified' END
+  CASE WHEN variable_re_growth >= {config.RAPID_GROWTH} AND fossil_share_change < 0 THEN 'rapid_transition'
+       WHEN variable_re_growth >= {config.MODERATE_GROWTH} AND fossil_share_change < 0 THEN 'moderate_transition'
+       WHEN variable_re_growth >= {config.MODERATE_GROWTH} AND fossil_share_change >= 0 THEN 'renewable_adding_not_replacing'
+       WHEN variable_re_growth < {config.MODERATE_GROWTH} AND fossil_share_change < 0 THEN 'slow_transition' ELSE 'fossil_entrenched' END AS transition_status,
+  CASE WHEN hhi_concentration >= {config.HIGH_CONCENTRATION} THEN 'highly_concentrated' WHEN hhi_concentration >= {config.MODERATE_CONCENTRATION} THEN 'moderately_concentrated' ELSE 'diversified' END
     AS concentration_class FROM c_conc JOIN c_trend USING (state)""",
     "c_fuel": "SELECT state, fuel_type_code_pudl, round(total_gen_mwh, 0) AS total_fuel_gen_mwh, fuel_share FROM a_month",
     "d_ind": f"""SELECT state, round(i, 0) AS industrial_mwh, round(t, 0) AS total_mwh, round(i / nullif(t, 0) * 100, 2) AS industrial_pct FROM (
@@ -261,8 +262,9 @@ _CTES |= {
     "i_score": f"""SELECT i.* EXCLUDE (industrial_load_score, incentive_score, market_structure, iso_rto), {_exact('n1 + n2 + n3 + n4', '4.0')} AS grid_stress_score,
   n5 AS cost_volatility_score, {_exact('n6 + n7', '2.0')} AS fossil_dependency_score, {_exact('n8 + n9 + n5', '3.0')} AS fossil_backup_dependency_score,
   {_exact('n9 + n10', '2.0')} AS transition_opportunity_score,
-  CASE WHEN k.state IS NULL THEN NULL WHEN iso = 'ERCOT' THEN 5 WHEN iso <> 'non_ISO' THEN CASE kind WHEN 'deregulated' THEN 5 WHEN 'restricted' THEN 4 ELSE 3 END
-       WHEN iso = 'non_ISO' THEN CASE kind WHEN 'restricted' THEN 3 ELSE 2 END ELSE 2 END AS market_structure_score,
+  CASE WHEN k.state IS NULL THEN NULL WHEN iso = 'ERCOT' THEN 5
+       WHEN kind = 'deregulated' AND iso <> 'non_ISO' THEN 5 WHEN kind = 'restricted' AND iso <> 'non_ISO' THEN 4 WHEN kind = 'regulated' AND iso <> 'non_ISO' THEN 3
+       WHEN kind = 'restricted' AND iso = 'non_ISO' THEN 3 WHEN kind = 'regulated' AND iso = 'non_ISO' THEN 2 ELSE 2 END AS market_structure_score,
   d.n AS industrial_load_score, coalesce(t.n, 1) AS storage_deployment_score, r.n AS reliability_score, e.n AS regulatory_receptiveness_score,
   CAST(points AS DOUBLE) AS incentive_score
   FROM i_rank i LEFT JOIN market k USING (state) LEFT JOIN (SELECT state, {_five('industrial_pct')} AS n FROM d_ind) d USING (state)
@@ -284,7 +286,7 @@ _CTES |= {
   FROM centers c JOIN market USING (state)""",
     "f_dc": f"""SELECT state, sites AS dc_facilities, twh AS dc_twh_per_year, k * 3 AS dc_inventory_mw, usd AS dc_announced_investment_usd_b,
   f1 AS dc_grid_constraint_flag, f2 AS dc_fossil_delay_flag, f3 AS dc_onsite_gen_flag, n_name AS major_hubs, n_name || ' operators' AS major_operators,
-  CASE WHEN state IN ('VA', 'IL', 'NJ', 'WA', 'IA') THEN 'High' WHEN state = 'CA' THEN 'Medium' WHEN coalesce(usd, 0) >= 5 OR mw >= 500 OR flags >= 2 THEN 'High'
+  CASE {' '.join(f"WHEN state = '{s}' THEN '{flag}'" for s, flag in config.GROWTH_OVERRIDES)} WHEN coalesce(usd, 0) >= 5 OR mw >= 500 OR flags >= 2 THEN 'High'
        WHEN coalesce(usd, 0) BETWEEN 1 AND 4.9 OR flags = 1 THEN 'Medium' ELSE 'Low' END AS dc_growth_flag,
   n1 AS dc_capacity_score, n2 AS dc_facilities_score, n3 AS dc_power_constraint_score, {_exact('n1 + n2 + n3', '3.0')} AS dc_composite_score
   FROM (SELECT *, {_five('twh')} AS n1, {_five('sites')} AS n2, {_five('raw')} AS n3 FROM f_raw)""",
@@ -307,7 +309,8 @@ _CTES |= {
   CASE WHEN choice >= 50 THEN 5 WHEN choice >= 30 THEN 4 WHEN choice >= 15 THEN 3 WHEN choice >= 5 THEN 2 ELSE 1 END AS ci_access_score
   FROM f_mkt JOIN (SELECT state, reliability_score FROM i_score) i USING (state) JOIN market USING (state)
   JOIN (SELECT state, dc_composite_score AS dc_opportunity_score, dc_growth_flag FROM f_dc) d USING (state)""",
-    "f_score": f"""SELECT *, CASE WHEN reliability_score IS NOT NULL THEN CAST(floor((CAST(round(dc_opportunity_score * 100) AS BIGINT)
+    # in whole hundredths, since DuckDB divides decimals as doubles and a half could round down
+    "f_score": """SELECT *, CASE WHEN reliability_score IS NOT NULL THEN CAST(floor((CAST(round(dc_opportunity_score * 100) AS BIGINT)
   + 100 * (ci_price_score + ci_market_size_score + ci_consumption_score + reliability_score + ci_access_score)) / 6.0 + 0.5) AS DOUBLE) / 100 END
   AS ci_composite_score FROM f_join""",
 }
@@ -326,210 +329,6 @@ _GRID = [
     "incentive_score",
 ]
 _GRID_SUM = " + ".join(f"coalesce(CAST({d} AS DECIMAL(18,4)), 0)" for d in _GRID)
-_CTES |= {
-    "a_base": """SELECT state, gen.fuel AS fuel_type_code_pudl, strftime(day, '%Y-%m') AS period, sum(mwh) AS monthly_gen_mwh
-  FROM gen JOIN ops USING (plant, day) WHERE day >= DATE '2019-01-01' AND state IS NOT NULL GROUP BY ALL""",
-    "a_vol": f"""SELECT state, fuel_type_code_pudl, sum(monthly_gen_mwh) AS total_gen_mwh, avg(monthly_gen_mwh) AS avg_monthly_gen_mwh,
-  max(monthly_gen_mwh) AS max_monthly_gen_mwh, min(monthly_gen_mwh) AS min_monthly_gen_mwh, stddev_pop(monthly_gen_mwh) AS std_dev_gen_mwh,
-  max(monthly_gen_mwh) - min(monthly_gen_mwh) AS range_gen_mwh, {_cv('monthly_gen_mwh')} AS coefficient_of_variation FROM a_base GROUP BY ALL""",
-    "a_tot": f"""SELECT state, sum(total_gen_mwh) AS t, coalesce(sum(total_gen_mwh) FILTER (fuel_type_code_pudl IN {_RE}), 0) AS r,
-  coalesce(sum(total_gen_mwh) FILTER (fuel_type_code_pudl IN {_VRE}), 0) AS v, coalesce(sum(total_gen_mwh) FILTER (fuel_type_code_pudl IN {_FOS}), 0) AS f
-  FROM a_vol GROUP BY state""",
-    "a_cap": "SELECT state, fuel AS fuel_type_code_pudl, avg(cf) AS avg_capacity_factor FROM ops WHERE day >= DATE '2019-01-01' GROUP BY ALL",
-    "a_month": """SELECT a_vol.*, total_gen_mwh / t AS fuel_share, r / t AS renewable_share, v / t AS variable_renewable_share, f / t AS fossil_share,
-  avg_capacity_factor FROM a_vol JOIN a_tot USING (state) LEFT JOIN a_cap USING (state, fuel_type_code_pudl) WHERE fuel_type_code_pudl IS NOT NULL""",
-    "ba_map": "SELECT DISTINCT ba AS balancing_authority_code_eia, state FROM ops WHERE ba IS NOT NULL",
-    "steps": """SELECT ba, lag(g) OVER w AS pg, abs(g - lag(g) OVER w) AS sg, abs(d - lag(d) OVER w) AS sd, abs(x - lag(x) OVER w) AS sx
-  FROM hours WINDOW w AS (PARTITION BY ba ORDER BY tick)""",
-    "ramp_g": f"SELECT ba AS balancing_authority_code_eia, {_ramp('sg', 'ramp_rate', 'stddev_pop')} FROM steps WHERE pg IS NOT NULL GROUP BY ba",
-    "ramp_dx": f"""SELECT ba AS balancing_authority_code_eia, {_ramp('sd', 'demand_ramp', 'stddev_samp')}, {_ramp('sx', 'interchange_ramp', 'stddev_samp')}
-  FROM steps WHERE ba IS NOT NULL GROUP BY ba""",
-    "a_prof": f"""SELECT ba AS balancing_authority_code_eia, avg(g) AS avg_hourly_gen_mwh, stddev_pop(g) AS std_dev_gen_mwh, max(g) AS max_hourly_gen_mwh,
-  min(g) AS min_hourly_gen_mwh, max(g) - min(g) AS range_gen_mwh, {_cv('g')} AS cv_gen, avg(d) AS avg_hourly_demand_mwh, stddev_pop(d) AS std_dev_demand_mwh,
-  max(d) AS max_hourly_demand_mwh, min(d) AS min_hourly_demand_mwh, {_cv('d')} AS cv_demand, avg(g - d) AS avg_gap_mwh, stddev_pop(g - d) AS std_dev_gap_mwh,
-  max(g - d) AS max_surplus_mwh, min(g - d) AS max_deficit_mwh, {_cv('g - d', 'd')} AS cv_gap, avg(x) AS avg_interchange_mwh,
-  stddev_pop(x) AS std_dev_interchange_mwh, max(x) AS max_interchange_mwh, min(x) AS min_interchange_mwh, {_cv('x')} AS cv_interchange FROM hours GROUP BY ba""",
-    "a_hour": """SELECT *, CAST(avg_hourly_gen_mwh IS NULL AS BIGINT) + CAST(avg_hourly_demand_mwh IS NULL AS BIGINT) + CAST(avg_gap_mwh IS NULL AS BIGINT)
-  + CAST(avg_ramp_rate_mwh IS NULL AS BIGINT) + CAST(avg_demand_ramp_mwh IS NULL AS BIGINT) AS null_count
-  FROM a_prof LEFT JOIN ramp_g USING (balancing_authority_code_eia) LEFT JOIN ramp_dx USING (balancing_authority_code_eia)""",
-}
-
-_MEAN_COLS = [
-    "avg_hourly_gen_mwh",
-    "avg_hourly_demand_mwh",
-    "avg_gap_mwh",
-    "avg_interchange_mwh",
-    "avg_ramp_rate_mwh",
-    "avg_demand_ramp_mwh",
-    "avg_interchange_ramp_mwh",
-    "std_dev_gen_mwh",
-    "std_dev_demand_mwh",
-    "std_dev_gap_mwh",
-    "std_dev_interchange_mwh",
-    "std_dev_ramp_rate_mwh",
-    "std_dev_demand_ramp_mwh",
-    "std_dev_interchange_ramp_mwh",
-]
-_MAX_COLS = [
-    "max_hourly_gen_mwh",
-    "max_hourly_demand_mwh",
-    "max_surplus_mwh",
-    "max_interchange_mwh",
-    "max_ramp_rate_mwh",
-    "max_demand_ramp_mwh",
-    "max_interchange_ramp_mwh",
-]
-_MIN_COLS = ["min_hourly_gen_mwh", "min_hourly_demand_mwh", "max_deficit_mwh", "min_interchange_mwh"]
-_W = "avg_hourly_gen_mwh"
-_CTES |= {
-    "a2_sums": "SELECT state, "
-    + ", ".join(f"sum({m} * {_W}) / nullif(sum({_W}), 0) AS {m}" for m in _MEAN_COLS)
-    + ", "
-    + ", ".join(f"max({m}) AS {m}" for m in _MAX_COLS)
-    + ", "
-    + ", ".join(f"min({m}) AS {m}" for m in _MIN_COLS)
-    + ", min(null_count) AS min_null_count FROM a_hour JOIN ba_map USING (balancing_authority_code_eia) WHERE state IS NOT NULL GROUP BY state",
-    "a2": """SELECT *, max_hourly_gen_mwh - min_hourly_gen_mwh AS range_gen_mwh, std_dev_gen_mwh / nullif(avg_hourly_gen_mwh, 0) AS cv_gen,
-  std_dev_demand_mwh / nullif(avg_hourly_demand_mwh, 0) AS cv_demand, std_dev_gap_mwh / nullif(avg_hourly_demand_mwh, 0) AS cv_gap FROM a2_sums""",
-    "b_base": """SELECT state, fuel AS fuel_type_code_pudl, strftime(day, '%Y-%m') AS period, sum(cost) / nullif(sum(burnt), 0) AS avg_cost_per_mmbtu,
-  min(unit) AS min_cost_per_mmbtu, max(unit) AS max_cost_per_mmbtu, sum(burnt) AS total_fuel_consumed_mmbtu, sum(cost) AS total_fuel_cost,
-  count(*) AS record_count, count(*) FILTER (unit IS NULL) AS null_cost_count
-  FROM receipts WHERE day >= DATE '2019-01-01' AND state IS NOT NULL GROUP BY ALL""",
-    "b_cost": """SELECT *, round(CAST(null_cost_count AS DECIMAL(18,1)) * 100 / record_count, 1) AS null_pct,
-  h AS benchmark_heat_rate, avg_cost_per_mmbtu * h AS est_cost_per_mwh
-  FROM (SELECT *, CASE fuel_type_code_pudl WHEN 'gas' THEN 7.0::DOUBLE WHEN 'coal' THEN 10.5 WHEN 'oil' THEN 11.0 END AS h FROM b_base)
-  WHERE avg_cost_per_mmbtu IS NOT NULL""",
-    "b_stat": f"""SELECT state, fuel_type_code_pudl, count(*) AS month_count, round(avg(c), 2) AS avg_cost_per_mwh, round(min(c), 2) AS min_cost_per_mwh,
-  round(max(c), 2) AS max_cost_per_mwh, round(stddev_pop(c), 2) AS std_dev_cost_per_mwh, round(max(c) - min(c), 2) AS cost_range_per_mwh,
-  round({_cv('c')}, 4) AS cv_cost, round(avg(null_pct), 1) AS avg_null_pct, CAST(avg(null_pct) >= 40 AS BIGINT) AS high_null_flag
-  FROM (SELECT *, est_cost_per_mwh AS c FROM b_cost) WHERE c > 0 GROUP BY ALL""",
-    "b_spread": """SELECT g.state, g.avg_cost_per_mwh AS gas_avg_cost_per_mwh, k.avg_cost_per_mwh AS coal_avg_cost_per_mwh, o.avg_cost_per_mwh AS oil_avg_cost_per_mwh,
-  round(g.avg_cost_per_mwh - k.avg_cost_per_mwh, 2) AS gas_coal_spread, round(g.avg_cost_per_mwh - o.avg_cost_per_mwh, 2) AS gas_oil_spread,
-  round(o.avg_cost_per_mwh - k.avg_cost_per_mwh, 2) AS oil_coal_spread,
-  CASE WHEN 1 IN (coalesce(g.high_null_flag, 0), coalesce(k.high_null_flag, 0), coalesce(o.high_null_flag, 0)) THEN 1 ELSE 0 END AS any_high_null_flag
-  FROM (SELECT * FROM b_stat WHERE fuel_type_code_pudl = 'gas') g LEFT JOIN (SELECT * FROM b_stat WHERE fuel_type_code_pudl = 'coal') k USING (state)
-  LEFT JOIN (SELECT * FROM b_stat WHERE fuel_type_code_pudl = 'oil') o USING (state)""",
-    "c_conc": """SELECT state, round(sum(fuel_share ** 2), 4) AS hhi_concentration, count(fuel_type_code_pudl) AS fuel_type_count,
-  max(fuel_share) AS dominant_fuel_share, arg_max(fuel_type_code_pudl, (fuel_share, fuel_type_code_pudl)) AS dominant_fuel_type FROM a_month GROUP BY state""",
-    "c_year": f"""SELECT state, left(period, 4) AS yr, sum(monthly_gen_mwh) AS t, coalesce(sum(monthly_gen_mwh) FILTER (fuel_type_code_pudl IN {_VRE}), 0) AS v,
-  coalesce(sum(monthly_gen_mwh) FILTER (fuel_type_code_pudl IN {_RE}), 0) AS r, coalesce(sum(monthly_gen_mwh) FILTER (fuel_type_code_pudl IN {_FOS}), 0) AS f
-  FROM a_base GROUP BY ALL""",
-    "c_half": """SELECT state, CASE WHEN yr <= '2021' THEN 'early' ELSE 'late' END AS half, avg(round(v / nullif(t, 0), 4)) AS v,
-  avg(round(r / nullif(t, 0), 4)) AS r, avg(round(f / nullif(t, 0), 4)) AS f FROM c_year WHERE yr BETWEEN '2019' AND '2024' GROUP BY ALL""",
-    "c_trend": """SELECT e.state, round(e.v, 4) AS early_variable_re_share, round(l.v, 4) AS late_variable_re_share, round(l.v - e.v, 4) AS variable_re_growth,
-  round(e.r, 4) AS early_total_re_share, round(l.r, 4) AS late_total_re_share, round(l.r - e.r, 4) AS total_re_growth,
-  round(e.f, 4) AS early_fossil_share, round(l.f, 4) AS late_fossil_share, round(l.f - e.f, 4) AS fossil_share_change
-  FROM c_half e JOIN c_half l ON e.state = l.state AND e.half = 'early' AND l.half = 'late'""",
-    "c_sum": f"""SELECT state, hhi_concentration, fuel_type_count, dominant_fuel_type, round(dominant_fuel_share * 100, 1) AS dominant_fuel_pct,
-  {', '.join(f'round(CAST({a} AS DECIMAL(9,4)) * 100, 1) AS {b}' for a, b in _PCT_OF.items())},
-  CASE WHEN fossil_share_change < 0 THEN CASE WHEN variable_re_growth >= 0.05 THEN 'rapid_transition' WHEN variable_re_growth >= 0.02 THEN 'moderate_transition'
-       WHEN variable_re_growth < 0.02 THEN 'slow_transition' ELSE 'fossil_entrenched' END
-       WHEN fossil_share_change >= 0 AND variable_re_growth >= 0.02 THEN 'renewable_adding_not_replacing' ELSE 'fossil_entrenched' END AS transition_status,
-  CASE WHEN hhi_concentration >= 0.7 THEN 'highly_concentrated' WHEN hhi_concentration >= 0.4 THEN 'moderately_concentrated' ELSE 'diversified' END
-    AS concentration_class FROM c_conc JOIN c_trend USING (state)""",
-    "c_fuel": "SELECT state, fuel_type_code_pudl, round(total_gen_mwh, 0) AS total_fuel_gen_mwh, fuel_share FROM a_month",
-    "d_ind": f"""SELECT state, round(i, 0) AS industrial_mwh, round(t, 0) AS total_mwh, round(i / nullif(t, 0) * 100, 2) AS industrial_pct FROM (
-  SELECT state, coalesce(sum(mwh) FILTER (cls = 'industrial'), 0) AS i, coalesce(sum(mwh) FILTER (cls IN {_in(config.CUSTOMER_CLASSES)}), 0) AS t
-  FROM sales WHERE yr = 2024 AND state NOT IN {_FAR} GROUP BY state)""",
-    "d_sto": f"""SELECT state, count(*) AS storage_units, round(sum(mw), 0) AS total_discharge_mw, sum(f1) AS units_arbitrage, sum(f2) AS units_freq_reg,
-  sum(f3) AS units_peak_shaving, sum(f4) AS units_backup_power, sum(f5) AS units_spinning_reserve,
-  coalesce(sum(f1), 0) + coalesce(sum(f2), 0) + coalesce(sum(f3), 0) + coalesce(sum(f4), 0) + coalesce(sum(f5), 0) AS total_use_case_activations
-  FROM units JOIN (SELECT DISTINCT plant, state FROM ops) USING (plant) WHERE yr = 2024 AND state NOT IN {_FAR} GROUP BY state""",
-    "d_rel": f"""SELECT state, round(sum(minutes * customers) / nullif(sum(customers), 0), 1) AS saidi_weighted_avg, sum(customers) AS total_customers,
-  count(DISTINCT yr) AS years_covered FROM outages WHERE customers > 0 AND yr BETWEEN 2019 AND 2024 AND state NOT IN {_FAR} GROUP BY state""",
-    "d_reg": f"""SELECT e.state, round(sum(e.mwh), 0) AS ee_savings_mwh, round(sum(e.mw), 0) AS ee_peak_reduction_mw,
-  coalesce(round(sum(r.mw), 0), 0) AS dr_peak_reduction_mw, coalesce(round(sum(r.mwh), 0), 0) AS dr_savings_mwh
-  FROM saved e LEFT JOIN saved r ON e.state = r.state AND e.yr = r.yr AND e.utility = r.utility AND r.kind = 'R'
-  WHERE e.kind = 'A' AND e.yr = 2024 AND e.state NOT IN {_FAR} GROUP BY e.state""",
-    "coops": """SELECT state, round(pc * 100, 1) AS cooperative_customer_pct, round(pm * 100, 1) AS cooperative_mwh_pct, saidi_weighted_avg FROM (
-  SELECT state, coalesce(sum(customers) FILTER (coop), 0) / sum(customers) AS pc, coalesce(sum(mwh) FILTER (coop), 0) / nullif(sum(mwh), 0) AS pm
-  FROM sales WHERE yr = 2024 AND state <> 'US' GROUP BY state HAVING sum(customers) > 0) JOIN d_rel USING (state)""",
-    "i_base": """SELECT a2.state, cv_gen, cv_demand, avg_ramp_rate_mwh, max_ramp_rate_mwh, avg_demand_ramp_mwh, max_demand_ramp_mwh, avg_interchange_mwh,
-  max_deficit_mwh, fossil_share, renewable_share, variable_renewable_share, g.avg_cost_per_mwh AS gas_avg_cost_per_mwh, g.cv_cost AS gas_cv_cost,
-  g.high_null_flag AS gas_high_null_flag, o.avg_cost_per_mwh AS oil_avg_cost_per_mwh, o.cv_cost AS oil_cv_cost, gas_coal_spread, oil_coal_spread,
-  hhi_concentration, dominant_fuel_type, dominant_fuel_pct, variable_re_growth_pct, late_fossil_pct, late_variable_re_pct, transition_status, concentration_class,
-  CAST(NULL AS VARCHAR) AS market_structure, CAST(NULL AS VARCHAR) AS iso_rto, CAST(NULL AS BIGINT) AS industrial_load_score, CAST(NULL AS DOUBLE) AS incentive_score
-  FROM a2 JOIN (SELECT DISTINCT state, fossil_share, renewable_share, variable_renewable_share FROM a_month) m ON a2.state = m.state
-  JOIN c_sum ON c_sum.state = a2.state LEFT JOIN b_stat g ON g.state = a2.state AND g.fuel_type_code_pudl = 'gas'
-  LEFT JOIN b_stat o ON o.state = a2.state AND o.fuel_type_code_pudl = 'oil' LEFT JOIN b_spread s ON s.state = a2.state""",
-    "i_rank": "SELECT *, "
-    + ", ".join(
-        f"{_five(col)} AS {out}"
-        for out, col in {
-            "n1": "cv_gen",
-            "n2": "cv_demand",
-            "n3": "avg_ramp_rate_mwh",
-            "n4": "avg_demand_ramp_mwh",
-            "n5": "gas_cv_cost",
-            "n6": "fossil_share",
-            "n7": "hhi_concentration",
-            "n8": "late_fossil_pct",
-            "n9": "variable_re_growth_pct",
-            "n10": "late_variable_re_pct",
-        }.items()
-    )
-    + " FROM i_base",
-    "i_score": f"""SELECT i.* EXCLUDE (industrial_load_score, incentive_score, market_structure, iso_rto), {_exact('n1 + n2 + n3 + n4', '4.0')} AS grid_stress_score,
-  n5 AS cost_volatility_score, {_exact('n6 + n7', '2.0')} AS fossil_dependency_score, {_exact('n8 + n9 + n5', '3.0')} AS fossil_backup_dependency_score,
-  {_exact('n9 + n10', '2.0')} AS transition_opportunity_score,
-  CASE WHEN k.state IS NULL THEN NULL WHEN iso = 'ERCOT' THEN 5 WHEN iso <> 'non_ISO' THEN CASE kind WHEN 'deregulated' THEN 5 WHEN 'restricted' THEN 4 ELSE 3 END
-       WHEN iso = 'non_ISO' THEN CASE kind WHEN 'restricted' THEN 3 ELSE 2 END ELSE 2 END AS market_structure_score,
-  d.n AS industrial_load_score, coalesce(t.n, 1) AS storage_deployment_score, r.n AS reliability_score, e.n AS regulatory_receptiveness_score,
-  CAST(points AS DOUBLE) AS incentive_score
-  FROM i_rank i LEFT JOIN market k USING (state) LEFT JOIN (SELECT state, {_five('industrial_pct')} AS n FROM d_ind) d USING (state)
-  LEFT JOIN (SELECT state, {_five('total_discharge_mw')} AS n FROM d_sto) t USING (state)
-  LEFT JOIN (SELECT state, {_five('saidi_weighted_avg')} AS n FROM d_rel) r USING (state)
-  LEFT JOIN (SELECT state, {_five('ee_savings_mwh')} AS n FROM d_reg) e USING (state) LEFT JOIN offers USING (state)""",
-    "access": f"""SELECT state, {_listed('state', config.RESIDENTIAL_ACCESS, config.RESIDENTIAL_ACCESS_DEFAULT)} AS residential_access_score,
-  {_listed('iso', config.WHOLESALE_COMPLEXITY, config.WHOLESALE_COMPLEXITY_DEFAULT)} AS wholesale_complexity_score, choice, iso, kind FROM market""",
-    "e_mkt": f"""SELECT state, round(sum(customers), 0) AS residential_customers, round(sum(mwh), 0) AS residential_mwh, round(sum(revenue), 0) AS residential_revenue,
-  round(sum(revenue) / nullif(sum(mwh), 0), 2) AS avg_retail_price_per_mwh, round(sum(mwh) / nullif(sum(customers), 0), 2) AS avg_mwh_per_customer
-  FROM sales WHERE yr = 2024 AND cls = 'residential' AND state NOT IN {_FAR} GROUP BY state""",
-    "e_join": f"""SELECT *, {_five('avg_retail_price_per_mwh')} AS residential_price_score, {_five('residential_customers')} AS residential_market_size_score,
-  {_five('avg_mwh_per_customer')} AS residential_consumption_score
-  FROM e_mkt JOIN (SELECT state, reliability_score, market_structure_score FROM i_score) i USING (state) JOIN access USING (state)""",
-    "e_score": f"""SELECT *, {_exact('residential_price_score + residential_market_size_score + residential_consumption_score + reliability_score + market_structure_score + residential_access_score + wholesale_complexity_score', '7.0')}
-  AS residential_composite_score FROM e_join""",
-    "f_raw": """SELECT c.*, coalesce(f1, 0) + coalesce(f2, 0) + coalesce(f3, 0) AS flags, CASE WHEN twh < 0.5 THEN 0 ELSE coalesce(f1, 0) * 3 + coalesce(f2, 0) * 2
-  + coalesce(f3, 0) * 2 + CASE WHEN iso = 'PJM' THEN 2 WHEN iso IN ('MISO', 'ISO_NE', 'NYISO') THEN 1 ELSE 0 END END AS raw
-  FROM centers c JOIN market USING (state)""",
-    "f_dc": f"""SELECT state, sites AS dc_facilities, twh AS dc_twh_per_year, k * 3 AS dc_inventory_mw, usd AS dc_announced_investment_usd_b,
-  f1 AS dc_grid_constraint_flag, f2 AS dc_fossil_delay_flag, f3 AS dc_onsite_gen_flag, n_name AS major_hubs, n_name || ' operators' AS major_operators,
-  CASE WHEN state IN ('VA', 'IL', 'NJ', 'WA', 'IA') THEN 'High' WHEN state = 'CA' THEN 'Medium' WHEN coalesce(usd, 0) >= 5 OR mw >= 500 OR flags >= 2 THEN 'High'
-       WHEN coalesce(usd, 0) BETWEEN 1 AND 4.9 OR flags = 1 THEN 'Medium' ELSE 'Low' END AS dc_growth_flag,
-  n1 AS dc_capacity_score, n2 AS dc_facilities_score, n3 AS dc_power_constraint_score, {_exact('n1 + n2 + n3', '3.0')} AS dc_composite_score
-  FROM (SELECT *, {_five('twh')} AS n1, {_five('sites')} AS n2, {_five('raw')} AS n3 FROM f_raw)""",
-    "f_sum": "SELECT state, "
-    + ", ".join(
-        f"coalesce(sum({m}) FILTER (cls IN {_in(cs)}), 0) AS {n}_{m}"
-        for n, cs in (("commercial", ["commercial"]), ("industrial", ["industrial"]), ("ci", config.BUSINESS_CLASSES))
-        for m in ("customers", "mwh", "revenue")
-    )
-    + " FROM sales WHERE yr = 2024 AND state <> 'US' GROUP BY state HAVING state IN (SELECT state FROM i_score)",
-    "f_mkt": "SELECT *, "
-    + ", ".join(
-        f"CASE WHEN {n}_mwh > 0 THEN {n}_revenue / {n}_mwh END AS avg_{n}_price_per_mwh, "
-        f"CASE WHEN {n}_customers > 0 THEN {n}_mwh / {n}_customers END AS avg_mwh_per_{n}_customer"
-        for n in ("commercial", "industrial", "ci")
-    )
-    + " FROM f_sum",
-    "f_join": f"""SELECT *, {_five('avg_ci_price_per_mwh')} AS ci_price_score, {_five('ci_customers')} AS ci_market_size_score,
-  {_five('avg_mwh_per_ci_customer')} AS ci_consumption_score,
-  CASE WHEN choice >= 50 THEN 5 WHEN choice >= 30 THEN 4 WHEN choice >= 15 THEN 3 WHEN choice >= 5 THEN 2 ELSE 1 END AS ci_access_score
-  FROM f_mkt JOIN (SELECT state, reliability_score FROM i_score) i USING (state) JOIN market USING (state)
-  JOIN (SELECT state, dc_composite_score AS dc_opportunity_score, dc_growth_flag FROM f_dc) d USING (state)""",
-    "f_score": f"""SELECT *, CASE WHEN reliability_score IS NOT NULL THEN CAST(floor((CAST(round(dc_opportunity_score * 100) AS BIGINT)
-  + 100 * (ci_price_score + ci_market_size_score + ci_consumption_score + reliability_score + ci_access_score)) / 6.0 + 0.5) AS DOUBLE) / 100 END
-  AS ci_composite_score FROM f_join""",
-}
-
-_GRID_SUM = " + ".join(
-    f"coalesce(CAST({d} AS DECIMAL(18,4)), 0)"
-    for d in (
-        "grid_stress_score cost_volatility_score fossil_dependency_score fossil_backup_dependency_score transition_opportunity_score market_structure_score "
-        "industrial_load_score storage_deployment_score reliability_score regulatory_receptiveness_score incentive_score"
-    ).split()
-)
 _CTES |= {
     "final_g": f"""SELECT *, round(total / 11.0, 2) AS composite_score, rank() OVER (ORDER BY total DESC) AS opportunity_rank
   FROM (SELECT *, {_GRID_SUM} AS total FROM i_score)""",
