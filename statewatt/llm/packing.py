@@ -14,10 +14,10 @@ from __future__ import annotations
 
 import heapq
 import os
-import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +32,13 @@ LENGTH = 4096
 END = 2
 #: Tokens a window gathers before it is packed, bytes of text tokenised at once.
 WINDOW = 1024 * LENGTH
-SLICE_BYTES = 2 << 20
-#: Words whose ids a Python worker remembers, from task to task: two generations
-#: of half as many; a word that is met again moves to the younger one.
+SLICE_BYTES = 6 << 20
+#: Chunks whose ids a Python worker remembers, from task to task; beyond that
+#: it keeps those of the slice at hand.
 REMEMBERED = 800_000
+#: Letters below this code point have a lower case of one letter and no other normal
+#: form, but for the dotted capital I.
+LATIN, LAST_LATIN, DOTTED = 0x180, "\u0180", "\u0130"
 #: Cost of a token by itself, and of a token against another of its document.
 LINEAR, QUADRATIC = 1.0, 1.0 / LENGTH
 
@@ -43,90 +46,92 @@ LINEAR, QUADRATIC = 1.0, 1.0 / LENGTH
 class WordTokenizer:
     """Ids of texts by a tokenizer that drops white space and never merges
     across it, so each white-space separated chunk is encoded once and
-    remembered. Letters-only chunks share one entry with or without a final
-    full stop or comma, unless their normal form has combining marks, which
-    the tokenizer joins with it; ASCII ones share it in either case, as the
-    vocabulary is lower case. Special tokens written out in a text are plain
-    characters (``encode_special_tokens``)."""
+    remembered by a number into one array of ids.
+
+    A chunk of Latin letters, with or without a final full stop or comma, is one
+    word to the vocabulary: its lower-case bytes go to the model itself. All other
+    chunks go through the tokenizer as a whole, as it was loaded."""
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        # the same vocabulary for words that need no normalising or splitting: lower-case ASCII letters
-        self.plain = Tokenizer(self.tokenizer.model)
-        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.marks = {m: self._encode([m])[0] for m in ".,"}
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(chunks, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _encode_words(self, words: list[str], tokenizer) -> list[bytes]:
-        """Letters-only chunks, in one text: each is one pre-token."""
-        e = tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids, of = np.array(e.ids, "<u4"), np.array([-1 if w is None else w for w in e.word_ids], np.int64)
-        cuts = np.flatnonzero(of[1:] != of[:-1]) + 1
-        if len(cuts) + 1 != len(words) or (of < 0).any():
-            return self._encode(words)
-        return [part.tobytes() for part in np.split(ids, cuts)]
-
-    @staticmethod
-    def _parts(chunk: str) -> tuple[str, str]:
-        core, mark = (chunk[:-1], chunk[-1]) if chunk[-1:] in (".", ",") else (chunk, "")
-        if not core.isalpha():
-            return chunk, ""
-        if core.isascii():
-            return core.lower(), mark
-        if mark and not unicodedata.normalize("NFC", core).lower().isalpha():
-            return chunk, ""
-        return core, mark
-
-    def ids_of(self, chunks: Sequence[str]) -> list[bytes]:
-        parts = [self._parts(c) for c in chunks]
-        cores = dict.fromkeys(core for core, _ in parts)
-        known, older = self.known, self.older
-        new = [c for c in cores if c not in known]
-        if len(known) + len(new) > REMEMBERED // 2:
-            # what this call needs is carried over, whatever the bound
-            self.known, self.older = {c: known[c] for c in cores if c in known}, known
-            known, older = self.known, self.older
-        known.update((c, older[c]) for c in new if c in older)
-        new = [c for c in new if c not in known]
-        ascii_words = [c for c in new if c.isascii() and c.isalpha()]
-        words = [c for c in new if not c.isascii() and c.isalpha()]
-        others = [c for c in new if not c.isalpha()]
-        for own, tokenizer in ((ascii_words, self.plain), (words, self.tokenizer)):
-            for at in range(0, len(own), 2000):
-                known.update(zip(own[at : at + 2000], self._encode_words(own[at : at + 2000], tokenizer)))
-        known.update(zip(others, self._encode(others)))
-        marks = self.marks
-        return [known[core] + marks[mark] if mark else known[core] for core, mark in parts]
+        self.model = self.tokenizer.model
+        # how the model spells a letter: the characters that stand for the bytes of
+        # its lower case. The dotted capital I becomes two characters, so it is none.
+        spelling = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [c for c in map(chr, range(LATIN)) if c.isalpha() and c != DOTTED]
+        self.spelled = {ord(c): spelling.pre_tokenize_str(c.lower())[0][0] for c in letters}
+        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in ".,"}
+        self.numbers: dict[str, int] = {}
+        self.first = self.size = np.empty(0, np.int64)
+        self.pool = np.empty(0, "<u4")
+
+    def _encode(self, chunks: list[str]) -> list[list[int]]:
+        out, odd = [], []
+        tokenize, spelled, marks = self.model.tokenize, self.spelled, self.marks
+        for chunk in chunks:
+            core, end = (chunk[:-1], marks[chunk[-1]]) if chunk.endswith((".", ",")) else (chunk, [])
+            if core.isalpha() and (core.isascii() or max(core) < LAST_LATIN and DOTTED not in core):
+                out.append([t.id for t in tokenize(core.translate(spelled))] + end)
+            else:
+                odd.append(len(out))
+                out.append([])
+        for at in range(0, len(odd), 10_000):
+            few = odd[at : at + 10_000]
+            for i, e in zip(few, self.tokenizer.encode_batch([chunks[i] for i in few], add_special_tokens=False)):
+                out[i] = e.ids
+        return out
+
+    def _forget(self, chunks: list[str]) -> None:
+        """Keeps of what is remembered the chunks at hand alone."""
+        kept = {c: n for c in chunks if (n := self.numbers.get(c)) is not None}
+        rows = np.fromiter(kept.values(), np.int64, len(kept))
+        size = self.size[rows]
+        self.pool = self.pool[_ranges(self.first[rows], size)]
+        self.first, self.size = np.cumsum(size) - size, size
+        self.numbers = {c: i for i, c in enumerate(kept)}
+
+    def numbers_of(self, chunks: list[str]) -> np.ndarray:
+        """The numbers of distinct chunks, new ones learned."""
+        new = [c for c in chunks if c not in self.numbers]
+        if new and len(self.numbers) + len(new) > REMEMBERED:
+            self._forget(chunks)
+        if new:
+            found = self._encode(new)
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))
+            self.first = np.r_[self.first, len(self.pool) + np.cumsum(size) - size]
+            self.size, self.pool = np.r_[self.size, size], np.r_[self.pool, ids]
+            self.numbers.update(zip(new, range(len(self.numbers), len(self.size))))
+        return np.fromiter(map(self.numbers.__getitem__, chunks), np.int64, len(chunks))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; null is empty."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words, ends = pc.list_flatten(lists), np.cumsum(np.asarray(pc.list_value_length(lists)))
+        # the cut leaves empty chunks at white space at either end of a text
         counts, parts = np.zeros(len(words) + 1, np.int64), []
-        for at in range(0, len(words), 400_000):
-            coded = words.slice(at, 400_000).dictionary_encode()
+        for at in range(0, len(words), 1_000_000):
+            coded = words.slice(at, 1_000_000).dictionary_encode()
             coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
-            index = np.asarray(coded.indices)
-            found = self.ids_of(coded.dictionary.to_pylist())
-            flat = np.frombuffer(b"".join(found), "<u4")
-            sizes = np.array([len(f) // 4 for f in found], np.int64)
-            n, first = sizes[index], (np.cumsum(sizes) - sizes)[index]
-            counts[at + 1 : at + 1 + len(index)] = n
-            parts.append(flat[np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)])
+            rows = self.numbers_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[np.asarray(coded.indices)]
+            size = self.size[rows]
+            counts[at + 1 : at + 1 + len(rows)] = size
+            parts.append(self.pool[_ranges(self.first[rows], size)])
         tokens = np.concatenate([*parts, np.empty(0, "<u4")]).astype("<u4")
         bounds = np.cumsum(counts)[np.r_[0, ends].astype(np.int64)]
         return [tokens[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, … of each of several ranges, one after the other."""
+    out = np.arange(int(size.sum()))
+    out += np.repeat(first - (np.cumsum(size) - size), size)
+    return out
+
+
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 

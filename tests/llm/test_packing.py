@@ -14,18 +14,17 @@ from cases import awkward, awkward_rows, clashing, empty
 from statewatt.llm import packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+TOKENIZER = Tokenizer.from_file(PATH)
 
 
 def direct(text):
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids
 
 
 def test_ids_are_the_tokenizer_s(spark):
     odd = [
         None, "", "  ", "Hello, WORLD. it's we'll I'D don't.", "a.b,c..", "İstanbul ΣΑΣ. straße ﬁn Å é é", "x y z \u0085 \x1c\x1f", "1234 5,6. ..",
-        "<|endoftext|> a<|startoftext|>b", "😀😀 中文字, ok", "﻿bom", "ａｂｃ", "tab\tline\r\n\x0bform\x0c", "'s 's. 'S", "ǅ ᾼ", "́a", "IDIOT!!", "a" * 300 + ".",
+        "<|endoftext|> a<|startoftext|>b", "end <|endoftext|> of.<|endoftext|>, <|END|> ª º µ ß ŉ ſ ſs. ǰ ŒUVRE, ñÑ.", "😀😀 中文字, ok", "﻿bom", "ａｂｃ", "tab\tline\r\n\x0bform\x0c", "'s 's. 'S", "ǅ ᾼ", "́a", "IDIOT!!", "a" * 300 + ".",
     ]
     rng = random.Random(3)
     odd += ["".join(rng.choice("abCD.,' \n'éÉ1!") for _ in range(200)) for _ in range(60)]
@@ -52,7 +51,14 @@ def test_forgetting_does_not_matter(monkeypatch):
     tokenizer = packing.WordTokenizer(PATH)
     texts = [r[1] for r in awkward_rows()][:12]
     assert [i.tolist() for i in tokenizer.encode(pa.array(texts, pa.string()))] == [direct(t) for t in texts]
-    assert len(tokenizer.known) + len(tokenizer.older) < 20_000
+    assert len(tokenizer.numbers) < 20_000 and len(tokenizer.pool) == tokenizer.size.sum()
+
+
+def test_every_latin_letter(spark):
+    letters = [c for c in map(chr, range(0x250)) if c.isalpha()]
+    texts = [f"{a}{b}{mark}" for a in letters for b in ("", "a", "É", letters[-1]) for mark in ("", ".", ",")]
+    for text, ids in zip(texts, packing.WordTokenizer(PATH).encode(pa.array(texts))):
+        assert ids.tolist() == direct(text), text
 
 
 def check(rows, docs, length):
