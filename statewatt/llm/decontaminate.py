@@ -25,8 +25,8 @@ TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Words of a window; terms whose lists are intersected before the comparison.
 WINDOW = 10
 RAREST = 3
-#: Up to so many test terms go to every executor (some 100 MB); more are joined
-#: by a shuffle.
+#: Up to so many test terms, or rows that hold a candidate, go to every executor
+#: (some 100 MB); more are joined by a shuffle.
 SENT_TERMS = 1_000_000
 
 
@@ -50,7 +50,7 @@ def _each(words: DataFrame) -> DataFrame:
 
 
 def _sent(terms: DataFrame) -> DataFrame:
-    """``terms`` for a join with all words: sent along if they are few enough."""
+    """``terms``, or row numbers, for a join with all words: sent along if they are few."""
     return F.broadcast(terms) if terms.count() <= SENT_TERMS else terms
 
 
@@ -111,7 +111,8 @@ def phrase_matches(words: DataFrame, phrases: DataFrame, rarest: int = RAREST) -
     starts = stored(found).join(ranked, "probe").select("phrase", "row", (F.col("at") - F.col("offset")).alias("start")).where("start >= 0")
     starts = stored(starts.join(phrases.select("phrase", F.col("words").alias("own")), "phrase"))
     same = F.slice("words", F.col("start") + 1, F.size("own")) == F.col("own")
-    exact = words.select("row", "words").join(starts, "row").where(same)
+    few = words.select("row", "words").join(_sent(starts.select("row").distinct()), "row", "left_semi")
+    exact = few.join(starts, "row").where(same)
     return exact.select("phrase", "row", "start", F.size("own").alias("length"))
 
 
