@@ -19,6 +19,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,9 +27,12 @@ from pyspark.sql import functions as F
 
 from statewatt.llm.common import cut, pick
 
-#: Records of one archive file; entries a merging task holds before it spills.
+#: Records of one archive file; entries a merging task holds before it spills, runs
+#: it merges at once and entries of a run it reads at once.
 FILE_RECORDS = 2_000
 HELD_ENTRIES = 200_000
+FAN_IN = 64
+RUN_BATCH = 1_000
 #: The capture time of page 0; a page follows a second after the one with the id before.
 FIRST_CAPTURE = "2024-01-01 00:00:00"
 #: What ends a WARC record.
@@ -198,36 +202,51 @@ def _runs_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _batch(run)
 
 
-def merge_runs(batches: Iterable[pa.RecordBatch], held: int = HELD_ENTRIES) -> Iterator[pa.RecordBatch]:
-    """One task's range in order. Entries are gathered by run and written to a
-    scratch file of the task beyond ``held`` of them; the tree reads on from there."""
-    with tempfile.TemporaryFile() as scratch:
-        spilled: dict[str, list[int]] = {}
+class _Scratch:
+    """Sorted runs in a scratch file of the task, written and read a batch at a time."""
+
+    def __init__(self, file, batch: int) -> None:
+        self.file, self.batch = file, batch
+
+    def write(self, entries: Iterable[tuple]) -> list[int]:
+        """The places of the run's batches."""
+        places, entries = [], iter(entries)
+        while part := list(islice(entries, self.batch)):
+            places.append(self.file.seek(0, 2))
+            pickle.dump(part, self.file)
+        return places
+
+    def read(self, places: list[int]) -> Iterator[tuple]:
+        for at in places:
+            self.file.seek(at)
+            yield from pickle.load(self.file)
+
+
+def merge_runs(batches: Iterable[pa.RecordBatch], held: int = HELD_ENTRIES, fan_in: int = FAN_IN, batch: int = RUN_BATCH) -> Iterator[pa.RecordBatch]:
+    """One task's range in order. Entries are gathered by archive file; beyond
+    ``held`` of them the tree merges those at hand into one run on scratch. At the
+    end it merges the runs, at most ``fan_in`` at once, of each of which one
+    batch is in memory; more runs than that are merged in passes."""
+    with tempfile.TemporaryFile() as file:
+        scratch, runs = _Scratch(file, batch), []
         memory: dict[str, list[tuple]] = {}
         count = 0
 
-        def spill() -> None:
-            for run, entries in memory.items():
-                spilled.setdefault(run, []).append(scratch.seek(0, 2))
-                pickle.dump(sorted(entries, key=_order), scratch)
-            memory.clear()
+        def at_hand() -> list[Iterator[tuple]]:
+            return [iter(sorted(entries, key=_order)) for entries in memory.values()]
 
-        for batch in batches:
-            for entry in zip(*(c.to_pylist() for c in batch.columns)):
+        for records in batches:
+            for entry in zip(*(c.to_pylist() for c in records.columns)):
                 memory.setdefault(entry[8], []).append(entry)
-            count += batch.num_rows
+            count += records.num_rows
             if count > held:
-                spill()
+                runs.append(scratch.write(LoserTree(at_hand())))
+                memory.clear()
                 count = 0
-
-        def part(at: int) -> Iterator[tuple]:
-            scratch.seek(at)
-            yield from pickle.load(scratch)
-
-        runs = [part(at) for parts in spilled.values() for at in parts]
-        runs += [iter(sorted(entries, key=_order)) for entries in memory.values()]
+        while len(runs) > fan_in:
+            runs = runs[fan_in:] + [scratch.write(LoserTree([scratch.read(r) for r in runs[:fan_in]]))]
         out = []
-        for entry in LoserTree(runs):
+        for entry in LoserTree([scratch.read(r) for r in runs] + at_hand()):
             out.append(entry)
             if len(out) == 10_000:
                 yield _batch(out)

@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import os
 import random
+import tracemalloc
 
 import pytest
 
@@ -85,3 +86,26 @@ def test_url_keys():
 
 def test_empty_table(spark):
     assert warc.archive(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_the_merge_holds_few_entries():
+    """Peak memory follows what may be held, not the range; passes keep the order."""
+
+    def batches(n):
+        for k in range(n // 500):
+            rows = [(f"org,h{(k * 7919 + j * 31) % 997})/", f"t{j:05d}", k * 500 + j, "http://h.org/" + "x" * 100, 1, "d" * 32, "response", None, f"f{k % 40}", j, 1) for j in range(500)]
+            yield warc._batch(rows)
+
+    peaks = []
+    for n in (20_000, 80_000):
+        tracemalloc.start()
+        last, count = None, 0
+        for b in warc.merge_runs(batches(n), held=4_000, fan_in=4, batch=100):
+            for entry in zip(*(c.to_pylist() for c in b.columns)):
+                key = warc._order(entry)
+                assert last is None or last <= key
+                last, count = key, count + 1
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert count == n
+    assert peaks[1] < 1.3 * peaks[0]
