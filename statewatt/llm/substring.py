@@ -12,6 +12,10 @@ at an earlier place goes too. Each such window is known by the least hash of
 its ``ANCHOR``-word runs; adjacent windows of one least hash are a segment, and
 equal windows have equal ones. Only segments whose hash repeats are compared:
 first as wholes, then, where segments of one hash differ, window by window.
+
+Texts are read twice. The first time only 64 bits of each digest move, to be
+counted; what may repeat is noted in a table of bits of fixed size, so that the
+second time little more than the repeated units and segments move.
 """
 
 from __future__ import annotations
@@ -26,32 +30,41 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statewatt.llm.common import cut, pick
+from statewatt.llm.common import pick
+from statewatt.session import stored
 
-#: Words a removed run holds at least, and words of a unit that is digested.
+#: Words a removed run of units holds at least.
 MIN_WORDS = 25
-UNIT_WORDS = 3
 #: Words of a stretch that goes wherever it begins, and of the runs it is known
 #: by; ``_hashes`` is written for these two.
 STRETCH, ANCHOR = 50, 16
 WINDOWS = STRETCH - ANCHOR + 1
-_UNIT = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)|(?=\n)|\Z)", re.S)
-_WORD = re.compile(r"\w+")
+#: Bits of the table that tells which digests may repeat: 32 MB whatever the input.
+#: Full, it lets all rows pass, so it decides what moves, never what is found.
+TABLE_BITS = 28
+#: Characters that are written without spaces count as a word each, and their
+#: sentences end without one.
+_SOLID = "\u0e00-\u0eff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+_UNIT = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)|[\u3002\uff01\uff1f]+|(?=\n)|\Z)", re.S)
+_WORD = re.compile(rf"[{_SOLID}]|[^\W{_SOLID}]+")
 
 
 def units(text: str) -> Iterator[tuple[int, int, int, bytes]]:
-    """(start, end, words, digest) of every unit with at least ``UNIT_WORDS``
-    words: up to a full stop, question or exclamation mark before white space,
-    or a line end. The digest is of the words alone, lower-cased."""
+    """(start, end, words, digest) of every unit: up to a full stop, question or
+    exclamation mark before white space, or a line end. The digest is of the words
+    alone, lower-cased; of a unit without words of its characters. White space
+    alone is no unit, so a run goes on across empty lines, and at any other unit
+    that does not repeat, however short, it ends."""
     at, size = 0, len(text)
     while at < size:
         end = _UNIT.match(text, at).end()
         if end == at:
             end = at + 1
-        words = _WORD.findall(text[at:end].lower())
-        if len(words) >= UNIT_WORDS:
-            start = at + len(text[at:end]) - len(text[at:end].lstrip())
-            yield start, end, len(words), hashlib.blake2b(" ".join(words).encode("utf-8", "replace"), digest_size=16).digest()
+        unit = text[at:end]
+        if solid := unit.lstrip():
+            words = _WORD.findall(unit.lower())
+            own = " ".join(words) if words else "\0" + solid.rstrip()
+            yield end - len(solid), end, len(words), hashlib.blake2b(own.encode("utf-8", "replace"), digest_size=16).digest()
         at = end
 
 
@@ -68,9 +81,12 @@ _TABLES: list[np.ndarray] = []
 
 
 def _word_char(points: np.ndarray) -> np.ndarray:
-    """What ``\\w`` matches."""
+    """What ``\\w`` matches, and twice that where a character is a word by itself."""
     if not _TABLES:
-        _TABLES.append(np.array([chr(c).isalnum() or c == 95 for c in range(0x110000)]))
+        inside = np.array([chr(c).isalnum() or c == 95 for c in range(0x110000)], np.int8)
+        for a, b in re.findall("(.)-(.)", _SOLID):
+            inside[ord(a) : ord(b) + 1] = 2
+        _TABLES.append(inside)
     return _TABLES[0][points]
 
 
@@ -82,8 +98,8 @@ class _Words:
         # one code point for each, so that offsets hold: only this letter grows when lower-cased
         points = np.frombuffer(text.replace("\u0130", "i").lower().encode("utf-32-le", "surrogatepass"), "<u4")
         inside = _word_char(points)
-        begins = inside.copy()
-        begins[1:] &= ~inside[:-1]
+        begins = inside > 0
+        begins[1:] &= (inside[1:] == 2) | (inside[:-1] != 1)
         self.before = np.r_[0, np.cumsum(begins)]
         solid = ~_SPACE[np.minimum(points, len(_SPACE) - 1)]
         edges = np.flatnonzero(np.diff(np.r_[False, solid, False].astype(np.int8)))
@@ -123,6 +139,8 @@ class _Words:
 
     def extents(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
         """Of windows a to b: start, end, ``\\w+`` words before the start and before the end."""
+        if not len(a):
+            return (np.empty(0, np.int64),) * 4
         start, end = self.starts[a], self.ends[b + STRETCH - 2]
         return start, end, self.before[start], self.before[end]
 
@@ -132,34 +150,80 @@ def _bytes(rows: np.ndarray, size: int) -> list[bytes]:
     return [raw[k : k + size] for k in range(0, len(raw), size)]
 
 
-def _explode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class _Text:
+    """The units and segments of a text, in one order, and 64 bits of each one's digest."""
+
+    def __init__(self, text: str) -> None:
+        self.words, self.found = _Words(text), list(units(text))
+        self.a, self.b, self.least, self.grams = self.words.segments()
+        heads = np.frombuffer(b"".join(u[3][:8] for u in self.found), np.int64)
+        self.hashes = np.r_[heads, self.least[self.a].view(np.int64)]
+
+
+def _hashes_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        parts = [_Text(text).hashes for t in batch.column(0) if (text := t.as_py())]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *parts]))], ["hash"])
+
+
+def _repeated(few: DataFrame) -> np.ndarray:
+    """A bit for each value of the last ``TABLE_BITS`` bits of a hash: whether some
+    hash with them occurs twice or more."""
+    counts = few.select("text").mapInArrow(_hashes_of, "hash long").groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    place = F.col("hash").bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
+    parts = counts.groupBy(F.shiftright(place, 15).alias("part")).agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
+    out = np.zeros((1 << TABLE_BITS) // 8, np.uint8)
+    for r in parts.toLocalIterator():  # at most 2 ** (TABLE_BITS - 15) rows of 4 KB
+        out[r["part"] << 12 : (r["part"] + 1) << 12] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def _explode(batches: Iterable[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Units (``n`` counts them) and segments (``n`` is the first window, ``whole``
     tells all words, by the first and the last window and their distance) of
-    (doc_id, key, text)."""
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    (doc_id, key, text), those whose digest may repeat."""
     names = ["doc_id", "key", "n", "start", "end", "before", "after", "digest", "whole"]
     for batch in batches:
-        own = [batch.schema.field(0).type, *kinds]
-        out = [[] for _ in own]
-        for i, key, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+        own = batch.schema.field(0).type
+        rows: list[int] = []
+        parts: list[np.ndarray] = []
+        digests: list[bytes] = []
+        wholes: list[bytes | None] = []
+
+        def drain() -> pa.RecordBatch:
+            at = np.repeat(rows, [p.shape[1] for p in parts]) if parts else np.empty(0, np.int64)
+            numbers = np.concatenate([np.empty((5, 0), np.int64), *parts], axis=1)
+            columns = [c.take(pa.array(at, pa.int64())) for c in batch.columns[:2]]
+            columns[0] = columns[0].cast(own)
+            columns += [pa.array(c, pa.int32()) for c in numbers.astype(np.int32)]
+            out = pa.RecordBatch.from_arrays([*columns, pa.array(digests, pa.binary()), pa.array(wholes, pa.binary())], names)
+            for held in (rows, parts, digests, wholes):
+                held.clear()
+            return out
+
+        for i, t in enumerate(batch.column(2)):
             text = t.as_py() or ""
             if not text:
                 continue
-            words = _Words(text)
-            found = list(units(text))
+            own_text = _Text(text)
+            place = own_text.hashes & np.int64(8 * len(bits) - 1)
+            again = bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0
+            if not again.any():
+                continue
+            words, n = own_text.words, np.flatnonzero(again[: len(own_text.found)])
+            found = [own_text.found[k] for k in n.tolist()]
+            segment = again[len(own_text.found) :]
+            a, b = own_text.a[segment], own_text.b[segment]
             start, end = (np.array([u[k] for u in found], np.int64) for k in (0, 1))
-            a, b, least, grams = words.segments()
-            extents = words.extents(a, b)
-            whole = np.stack([grams[a], _mix(grams[b - 1] + (b - a).astype(np.uint64) * _BASE)], axis=1)
-            both = [np.r_[x, y] for x, y in zip((start, end, words.before[start], words.before[end]), extents)]
-            size = len(found) + len(a)
-            columns = ([i] * size, [key] * size, [*range(len(found)), *a.tolist()], *(x.tolist() for x in both), [u[3] for u in found] + _bytes(least[a], 8), [None] * len(found) + _bytes(whole, 16))
-            for column, values in zip(out, columns):
-                column += values
-            if len(out[0]) >= 50_000:
-                yield _batch(out, own, names)
-                out = [[] for _ in own]
-        yield _batch(out, own, names)
+            both = [np.r_[x, y] for x, y in zip((start, end, words.before[start], words.before[end]), words.extents(a, b))]
+            rows.append(i)
+            parts.append(np.stack([np.r_[n, a], *both]))
+            digests += [u[3] for u in found] + _bytes(own_text.least[a], 8)
+            whole = np.stack([own_text.grams[a], _mix(own_text.grams[b - 1] + (b - a).astype(np.uint64) * _BASE)], axis=1)
+            wholes += [None] * len(found) + _bytes(whole, 16)
+            if len(digests) >= 50_000:
+                yield drain()
+        yield drain()
 
 
 def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,10 +264,10 @@ def _later(rows: DataFrame) -> DataFrame:
 
 
 def _stretches(few: DataFrame, segments: DataFrame) -> DataFrame:
-    """Extents of repeated windows, from segments whose least hash repeats. Equal
+    """Extents of repeated windows, from segments whose least hash may repeat. Equal
     segments have the windows of their first, so only firsts are opened."""
     place = [F.col("doc_id").isNull().alias("none"), *(F.col(c) for c in ("doc_id", "key", "start", "end", "after"))]
-    wholes = cut(segments.groupBy("digest", "whole").agg(F.min(F.struct(*place, "n")).alias("first"), F.count("*").alias("size")))
+    wholes = stored(segments.groupBy("digest", "whole").agg(F.min(F.struct(*place, "n")).alias("first"), F.count("*").alias("size")))
     mixed = wholes.groupBy("digest").count().where("count > 1").select("digest")
     listed = wholes.join(mixed, "digest", "left_semi").groupBy(F.col("first.doc_id").alias("i"), F.col("first.key").alias("k"))
     listed = listed.agg(F.collect_list(F.struct("first.n", "whole")).alias("segments"))
@@ -213,7 +277,7 @@ def _stretches(few: DataFrame, segments: DataFrame) -> DataFrame:
     grams = texts.mapInArrow(_windows, schema)
     first = grams.groupBy("digest", "gram").agg(F.min(F.struct(*place)).alias("first"))
     each = grams.join(first, ["digest", "gram"]).groupBy("digest", "whole", "doc_id", "key")
-    opened = cut(each.agg(F.collect_list(F.struct("start", "end", "before", "after", "first")).alias("windows")))
+    opened = stored(each.agg(F.collect_list(F.struct("start", "end", "before", "after", "first")).alias("windows")))
     apart = opened.select("doc_id", "key", F.inline("windows")).withColumn("kept", F.array(F.col("first.doc_id")))
     stays = opened.select("digest", "whole", F.array_distinct(F.transform("windows", lambda w: w["first"]["doc_id"])).alias("stays"))
     known = wholes.where("size > 1").join(stays, ["digest", "whole"], "left")
@@ -231,7 +295,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     an earlier place; where these overlap they are one run.
 
     Documents are ranked by id, a null id last; rows with one id and one text
-    are one document. Null and empty texts have no units. Ties cannot be: the
+    are one document. Null and empty texts have no units. A unit that stands nowhere
+    before is never part of a run of units, whatever its length. Ties cannot be: the
     place in the text ranks units of one document, so of a passage that repeats
     inside a document the first stays.
     """
@@ -239,12 +304,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     few = few.select("doc_id", F.xxhash64("text").alias("key"), "text")
     fields = [("key", T.LongType()), ("n", T.IntegerType()), ("start", T.IntegerType()), ("end", T.IntegerType()), ("before", T.IntegerType()), ("after", T.IntegerType()), ("digest", T.BinaryType()), ("whole", T.BinaryType())]
     schema = T.StructType([T.StructField("doc_id", few.schema["doc_id"].dataType)] + [T.StructField(n, t) for n, t in fields])
-    rows = few.mapInArrow(_explode, schema)
+    bits = few.sparkSession.sparkContext.broadcast(_repeated(few))
+    rows = stored(few.mapInArrow(lambda batches: _explode(batches, bits.value), schema))
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"), F.col("start").alias("start"))
-    first = rows.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = cut(first.where(F.col("first") != F.col("last")).select("digest", "first"))
-    again = cut(rows.join(first, "digest"))
-    gone = again.where(F.col("whole").isNull() & (place != F.col("first")))
+    single = rows.where(F.col("whole").isNull()).drop("whole")
+    first = single.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("size")).where("size > 1").select("digest", "first")
+    gone = single.join(first, "digest").where(place != F.col("first"))
     gone = gone.select("doc_id", "key", "n", "start", "end", "before", "after", F.col("first.doc_id").alias("kept")).distinct()
     order = Window.partitionBy("doc_id", "key").orderBy("n")
     runs = gone.withColumn("run", F.col("n") - F.row_number().over(order))
@@ -252,7 +317,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.min("start").alias("start"), F.max("end").alias("end"), F.min("before").alias("before"), F.max("after").alias("after"), F.sum(F.col("after") - F.col("before")).alias("words"), F.collect_set("kept").alias("kept")
     )
     found = found.where(F.col("words") >= min_words).drop("run", "words")
-    found = found.unionAll(_stretches(few, again.where(F.col("whole").isNotNull()).drop("first")))
+    found = found.unionAll(_stretches(few, rows.where(F.col("whole").isNotNull())))
     return _united(found)
 
 

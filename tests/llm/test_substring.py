@@ -44,9 +44,9 @@ def brute(rows, min_words=25):
         at = 0
         for piece in re.split(r"(?<=[.!?])(?=\s)|(?=\n)", text):
             words = re.findall(r"\w+", piece.lower())
-            if len(words) >= 3:
+            if piece.strip():
                 start = at + len(piece) - len(piece.lstrip())
-                key = " ".join(words)
+                key = " ".join(words) or piece.strip()
                 if key in seen:
                     run.append((start, at + len(piece), len(words), seen[key]))
                 else:
@@ -156,3 +156,31 @@ def test_no_shared_stretch_is_left(spark):
             else:
                 seen[gram] = (i, k)
     assert hits > 1000
+
+
+def test_what_stands_once_stays(spark):
+    """Short units inside a repeated run: words that differ stay, all of them."""
+    rng = random.Random(21)
+    rows, own = [], {}
+    for i in range(120):
+        a, b = (" ".join(f"r{i // 3}x{k}y{j}" for k in range(20)) + "." for j in range(2))
+        middle = rng.choice(["Yes.", "No!", "Well?", "***", "Ja ja.", f"Only {i}."])
+        rows.append((i, rng.choice([" ", "\n", "\n\n"]).join([a, middle, b])))
+        own[i] = middle
+    found = substring.repeated_passages(spark.createDataFrame(rows, DOCS).repartition(5)).collect()
+    spans = defaultdict(list)
+    for r in found:
+        spans[r["doc_id"]].append((r["start"], r["end"]))
+    seen = {}
+    for i, text in rows:
+        at = text.index(own[i])
+        gone = any(a <= at < b for a, b in spans[i])
+        assert not gone or own[i] in seen, (i, own[i])
+        seen.setdefault(own[i], i)
+
+
+def test_scripts_without_spaces(spark):
+    passage = "".join(chr(0x4E00 + k * 7 % 5000) + ("\u3002" if k % 15 == 14 else "") for k in range(60))
+    rows = [(1, "\u7532\u3002" + passage + "\u4e59\u3002"), (2, "\u4e19\u3002" + passage + "\u4e01\u3002")]
+    found = substring.repeated_passages(spark.createDataFrame(rows, DOCS)).collect()
+    assert [(r["doc_id"], r["start"], r["end"], r["words"]) for r in found] == [(2, 2, 66, 60)]
