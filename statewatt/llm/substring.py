@@ -45,27 +45,24 @@ TABLE_BITS = 28
 #: Characters that are written without spaces count as a word each, and their
 #: sentences end without one.
 _SOLID = "\u0e00-\u0eff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
-_UNIT = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)|[\u3002\uff01\uff1f]+|(?=\n)|\Z)", re.S)
 _WORD = re.compile(rf"[{_SOLID}]|[^\W{_SOLID}]+")
+#: Characters of texts that are cut together; a longer text is cut by itself.
+CHUNK = 1 << 18
+
+#: Classes of characters, as bits.
+_LETTER, _ALONE, _SPACE, _STOP, _WIDE_STOP = 1, 2, 4, 8, 16
+_TABLES: list[np.ndarray] = []
 
 
-def units(text: str) -> Iterator[tuple[int, int, int, bytes]]:
-    """(start, end, words, digest) of every unit: up to a full stop, question or
-    exclamation mark before white space, or a line end. The digest is of the words
-    alone, lower-cased; of a unit without words of its characters. White space
-    alone is no unit, so a run goes on across empty lines, and at any other unit
-    that does not repeat, however short, it ends."""
-    at, size = 0, len(text)
-    while at < size:
-        end = _UNIT.match(text, at).end()
-        if end == at:
-            end = at + 1
-        unit = text[at:end]
-        if solid := unit.lstrip():
-            words = _WORD.findall(unit.lower())
-            own = " ".join(words) if words else "\0" + solid.rstrip()
-            yield end - len(solid), end, len(words), hashlib.blake2b(own.encode("utf-8", "replace"), digest_size=16).digest()
-        at = end
+def _classes(points: np.ndarray) -> np.ndarray:
+    if not _TABLES:
+        table = np.array([(_LETTER if chr(c).isalnum() or c == 95 else 0) | (_SPACE if chr(c).isspace() else 0) for c in range(0x110000)], np.uint8)
+        for a, b in re.findall("(.)-(.)", _SOLID):
+            table[ord(a) : ord(b) + 1] = _ALONE
+        for stops, bit in ((".!?", _STOP), ("\u3002\uff01\uff1f", _WIDE_STOP)):
+            table[[ord(c) for c in stops]] |= bit
+        _TABLES.append(table)
+    return _TABLES[0][points]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -76,73 +73,128 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = [np.cumprod(np.full(64, _BASE, np.uint64))]
-_SPACE = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
-_TABLES: list[np.ndarray] = []
 
 
-def _word_char(points: np.ndarray) -> np.ndarray:
-    """What ``\\w`` matches, and twice that where a character is a word by itself."""
-    if not _TABLES:
-        inside = np.array([chr(c).isalnum() or c == 95 for c in range(0x110000)], np.int8)
-        for a, b in re.findall("(.)-(.)", _SOLID):
-            inside[ord(a) : ord(b) + 1] = 2
-        _TABLES.append(inside)
-    return _TABLES[0][points]
-
-
-class _Words:
-    """The white-space separated words of a text: offsets, hashes, and the
-    number of ``\\w+`` words before each code point."""
+def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each run of ``values``; no run is empty."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    sizes = ends - starts
+    if (longest := int(sizes.max())) > len(_POWERS[0]):
+        _POWERS[0] = np.cumprod(np.full(2 * longest, _BASE, np.uint64))
+    first = np.cumsum(sizes) - sizes
+    at = np.arange(int(sizes.sum()))
+    return _mix(np.add.reduceat(values[at + np.repeat(starts - first, sizes)] * _POWERS[0][at - np.repeat(first, sizes)], first))
+
+
+def _window_hashes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every window of ``STRETCH`` words: the least hash of its runs, its own hash."""
+    run = words
+    for n in (1, 2, 4, 8):
+        run = _mix(run[:-n] * _BASE + run[n:])
+    least = run
+    for n in (1, 2, 4, 8, 16):
+        least = np.minimum(least[:-n], least[n:])
+    least = np.minimum(least[: -(WINDOWS - 32)], least[WINDOWS - 32 :])
+    both = _mix(run[:-16] * _BASE + run[16:])
+    return least, _mix(both[: -(STRETCH - 32)] * _BASE + both[STRETCH - 32 :])
+
+
+class _Texts:
+    """The units and the segments of several texts, cut as one array of characters.
+
+    A unit ends at a full stop, question or exclamation mark before white space,
+    at a wide one anywhere, or at a line end. Its hash is of its words alone,
+    lower-cased; of a unit without words, of its characters. White space alone is
+    no unit, so a run goes on across empty lines, and at any other unit that does
+    not repeat, however short, it ends.
+
+    ``unit`` and ``segment`` have a row each of text, number in the text, start
+    and end in the array; ``hashes`` 64 bits of each one's digest, units first.
+    """
 
-    def __init__(self, text: str) -> None:
+    def __init__(self, texts: list[str]) -> None:
+        sizes = np.array([len(t) + 1 for t in texts])
+        self.offsets = np.cumsum(sizes) - sizes
         # one code point for each, so that offsets hold: only this letter grows when lower-cased
-        points = np.frombuffer(text.replace("\u0130", "i").lower().encode("utf-32-le", "surrogatepass"), "<u4")
-        inside = _word_char(points)
-        begins = inside > 0
-        begins[1:] &= (inside[1:] == 2) | (inside[:-1] != 1)
+        self.low = "\n".join(texts).replace("\u0130", "i").lower()
+        points = np.frombuffer(self.low.encode("utf-32-le", "surrogatepass"), "<u4")
+        kinds = _classes(points)
+        letter, solid = kinds & _LETTER > 0, kinds & _SPACE == 0
+        joined = letter[1:] & letter[:-1]
+        inside = kinds & (_LETTER | _ALONE) > 0
+        begins, closes = inside.copy(), inside.copy()
+        begins[1:] &= ~joined
+        closes[:-1] &= ~joined
         self.before = np.r_[0, np.cumsum(begins)]
-        solid = ~_SPACE[np.minimum(points, len(_SPACE) - 1)]
+        values = points.astype(np.uint64) + np.uint64(1)
+        self._units(points, kinds, solid, values, _spans(values, np.flatnonzero(begins), np.flatnonzero(closes) + 1))
         edges = np.flatnonzero(np.diff(np.r_[False, solid, False].astype(np.int8)))
         self.starts, self.ends = edges[::2], edges[1::2]
-        sizes = self.ends - self.starts
-        if not len(sizes):
-            self.hashes = np.empty(0, np.uint64)
-            return
-        if (longest := int(sizes.max())) > len(_POWERS[0]):
-            _POWERS[0] = np.cumprod(np.full(2 * longest, _BASE, np.uint64))
-        first = np.cumsum(sizes) - sizes
-        place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
-        self.hashes = _mix(np.add.reduceat((points[solid].astype(np.uint64) + np.uint64(1)) * _POWERS[0][place], first))
-
-    def _hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        """For every window of ``STRETCH`` words: the least hash of its runs, its own hash."""
-        run = self.hashes
-        for n in (1, 2, 4, 8):
-            run = _mix(run[:-n] * _BASE + run[n:])
-        least = run
-        for n in (1, 2, 4, 8, 16):
-            least = np.minimum(least[:-n], least[n:])
-        least = np.minimum(least[: -(WINDOWS - 32)], least[WINDOWS - 32 :])
-        both = _mix(run[:-16] * _BASE + run[16:])
-        return least, _mix(both[: -(STRETCH - 32)] * _BASE + both[STRETCH - 32 :])
-
-    def segments(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """First windows and windows behind the last, at most ``WINDOWS`` apart;
-        least hashes and own hashes of all windows."""
-        if len(self.hashes) < STRETCH:
-            return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),) * 2
-        least, grams = self._hashes()
-        at = np.arange(len(least))
-        since = at - np.maximum.accumulate(np.where(np.r_[True, least[1:] != least[:-1]], at, 0))
-        firsts = np.flatnonzero(since % WINDOWS == 0)
-        return firsts, np.r_[firsts[1:], len(least)], least, grams
-
-    def extents(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of windows a to b: start, end, ``\\w+`` words before the start and before the end."""
+        self._segments(_spans(values, self.starts, self.ends))
+        self.hashes = np.r_[self.unit_hashes, self.least[self.a]].view(np.int64)
+
+    def _numbered(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of ordered places: the text of each and its number there."""
+        text = np.searchsorted(self.offsets, starts, "right") - 1
+        return text, np.arange(len(text)) - np.searchsorted(text, text)
+
+    def _units(self, points: np.ndarray, kinds: np.ndarray, solid: np.ndarray, values: np.ndarray, words: np.ndarray) -> None:
+        size = len(points)
+        line, wide = points == 10, kinds & _WIDE_STOP > 0
+        cuts = np.zeros(size + 1, bool)
+        cuts[1:size] = (kinds[:-1] & _STOP > 0) & ~solid[1:] | wide[:-1] & ~wide[1:]
+        cuts[:size] |= line
+        cuts[1:] |= line
+        cuts[0], cuts[size] = False, True
+        ends = np.flatnonzero(cuts)
+        starts = np.r_[0, ends[:-1]]
+        places = np.flatnonzero(solid)
+        first, behind = np.searchsorted(places, starts), np.searchsorted(places, ends)
+        real = first < behind
+        starts, ends, self.solid_ends = places[first[real]], ends[real], places[behind[real] - 1] + 1
+        a, b = self.before[starts], self.before[ends]
+        hashes, some = np.empty(len(starts), np.uint64), a < b
+        hashes[some] = _spans(words, a[some], b[some])
+        hashes[~some] = _mix(~_spans(values, starts[~some], self.solid_ends[~some]))
+        self.unit_hashes = hashes
+        self.unit = np.stack([*self._numbered(starts), starts, ends])
+
+    def _segments(self, words: np.ndarray) -> None:
+        """``a`` and ``b`` are first windows and those behind the last, at most
+        ``WINDOWS`` apart; ``least`` and ``grams`` the hashes of all windows."""
+        if len(words) < STRETCH:
+            self.a = self.b = self.window = np.empty(0, np.int64)
+            self.least = self.grams = np.empty(0, np.uint64)
+        else:
+            text, number = self._numbered(self.starts)
+            self.window = np.flatnonzero(text[: len(text) - STRETCH + 1] == text[STRETCH - 1 :])
+            self.least, self.grams = (h[self.window] for h in _window_hashes(words))
+            text, at = text[self.window], np.arange(len(self.window))
+            new = np.r_[True, (self.least[1:] != self.least[:-1]) | (text[1:] != text[:-1])][: len(at)]
+            self.a = np.flatnonzero((at - np.maximum.accumulate(np.where(new, at, 0))) % WINDOWS == 0)
+            self.b = np.r_[self.a[1:], len(at)][: len(self.a)]
+            self.text, self.number = text, number
+        self.segment = self.extents(self.a, self.b)
+
+    def extents(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Text, number of the first word, start and end of windows a to b."""
         if not len(a):
-            return (np.empty(0, np.int64),) * 4
-        start, end = self.starts[a], self.ends[b + STRETCH - 2]
-        return start, end, self.before[start], self.before[end]
+            return np.empty((4, 0), np.int64)
+        first, last = self.window[a], self.window[b - 1] + STRETCH - 1
+        return np.stack([self.text[a], self.number[first], self.starts[first], self.ends[last]])
+
+    def rows(self, found: np.ndarray) -> np.ndarray:
+        """n, start, end, words before the start and before the end, within the text."""
+        text, n, start, end = found
+        offset = self.offsets[text]
+        return np.stack([n, start - offset, end - offset, self.before[start] - self.before[offset], self.before[end] - self.before[offset]])
+
+    def digest(self, unit: int) -> bytes:
+        a, b = int(self.unit[2, unit]), int(self.solid_ends[unit])
+        words = _WORD.findall(self.low, a, b)
+        own = " ".join(words) if words else "\0" + self.low[a:b]
+        return hashlib.blake2b(own.encode("utf-8", "replace"), digest_size=16).digest()
 
 
 def _bytes(rows: np.ndarray, size: int) -> list[bytes]:
@@ -150,20 +202,27 @@ def _bytes(rows: np.ndarray, size: int) -> list[bytes]:
     return [raw[k : k + size] for k in range(0, len(raw), size)]
 
 
-class _Text:
-    """The units and segments of a text, in one order, and 64 bits of each one's digest."""
-
-    def __init__(self, text: str) -> None:
-        self.words, self.found = _Words(text), list(units(text))
-        self.a, self.b, self.least, self.grams = self.words.segments()
-        heads = np.frombuffer(b"".join(u[3][:8] for u in self.found), np.int64)
-        self.hashes = np.r_[heads, self.least[self.a].view(np.int64)]
+def _chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[list[int], _Texts]]:
+    """Places of non-empty texts and the texts, up to ``limit`` characters at a time."""
+    places: list[int] = []
+    held: list[str] = []
+    size = 0
+    for i, t in enumerate(column):
+        if text := t.as_py():
+            if held and size + len(text) > limit:
+                yield places, _Texts(held)
+                places, held, size = [], [], 0
+            places.append(i)
+            held.append(text)
+            size += len(text)
+    if held:
+        yield places, _Texts(held)
 
 
 def _hashes_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        parts = [_Text(text).hashes for t in batch.column(0) if (text := t.as_py())]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *parts]))], ["hash"])
+        for _, texts in _chunks(batch.column(0)):
+            yield pa.RecordBatch.from_arrays([pa.array(texts.hashes)], ["hash"])
 
 
 def _repeated(few: DataFrame) -> np.ndarray:
@@ -184,46 +243,19 @@ def _explode(batches: Iterable[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa
     (doc_id, key, text), those whose digest may repeat."""
     names = ["doc_id", "key", "n", "start", "end", "before", "after", "digest", "whole"]
     for batch in batches:
-        own = batch.schema.field(0).type
-        rows: list[int] = []
-        parts: list[np.ndarray] = []
-        digests: list[bytes] = []
-        wholes: list[bytes | None] = []
-
-        def drain() -> pa.RecordBatch:
-            at = np.repeat(rows, [p.shape[1] for p in parts]) if parts else np.empty(0, np.int64)
-            numbers = np.concatenate([np.empty((5, 0), np.int64), *parts], axis=1)
-            columns = [c.take(pa.array(at, pa.int64())) for c in batch.columns[:2]]
-            columns[0] = columns[0].cast(own)
-            columns += [pa.array(c, pa.int32()) for c in numbers.astype(np.int32)]
-            out = pa.RecordBatch.from_arrays([*columns, pa.array(digests, pa.binary()), pa.array(wholes, pa.binary())], names)
-            for held in (rows, parts, digests, wholes):
-                held.clear()
-            return out
-
-        for i, t in enumerate(batch.column(2)):
-            text = t.as_py() or ""
-            if not text:
-                continue
-            own_text = _Text(text)
-            place = own_text.hashes & np.int64(8 * len(bits) - 1)
+        for places, texts in _chunks(batch.column(2)):
+            place = texts.hashes & np.int64(8 * len(bits) - 1)
             again = bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0
-            if not again.any():
-                continue
-            words, n = own_text.words, np.flatnonzero(again[: len(own_text.found)])
-            found = [own_text.found[k] for k in n.tolist()]
-            segment = again[len(own_text.found) :]
-            a, b = own_text.a[segment], own_text.b[segment]
-            start, end = (np.array([u[k] for u in found], np.int64) for k in (0, 1))
-            both = [np.r_[x, y] for x, y in zip((start, end, words.before[start], words.before[end]), words.extents(a, b))]
-            rows.append(i)
-            parts.append(np.stack([np.r_[n, a], *both]))
-            digests += [u[3] for u in found] + _bytes(own_text.least[a], 8)
-            whole = np.stack([own_text.grams[a], _mix(own_text.grams[b - 1] + (b - a).astype(np.uint64) * _BASE)], axis=1)
-            wholes += [None] * len(found) + _bytes(whole, 16)
-            if len(digests) >= 50_000:
-                yield drain()
-        yield drain()
+            unit = np.flatnonzero(again[: texts.unit.shape[1]])
+            segment = np.flatnonzero(again[texts.unit.shape[1] :])
+            a, b = texts.a[segment], texts.b[segment]
+            found = np.concatenate([texts.unit[:, unit], texts.segment[:, segment]], axis=1)
+            at = pa.array(np.array(places, np.int64)[found[0]], pa.int64())
+            columns = [c.take(at) for c in batch.columns[:2]] + [pa.array(c, pa.int32()) for c in texts.rows(found).astype(np.int32)]
+            whole = np.stack([texts.grams[a], _mix(texts.grams[b - 1] + (b - a).astype(np.uint64) * _BASE)], axis=1)
+            columns.append(pa.array([texts.digest(k) for k in unit.tolist()] + _bytes(texts.least[a], 8), pa.binary()))
+            columns.append(pa.array([None] * len(unit) + _bytes(whole, 16), pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,12 +266,11 @@ def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = [batch.schema.field(0).type, *kinds]
         out = [[] for _ in own]
         for i, key, t, listed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
-            words, listed = _Words(t.as_py()), {s["n"]: s["whole"] for s in listed}
-            firsts, lasts, least, grams = words.segments()
-            for a, b in zip(firsts.tolist(), lasts.tolist()):
-                if a in listed:
+            texts, listed = _Texts([t.as_py()]), {s["n"]: s["whole"] for s in listed}
+            for n, a, b in zip(texts.segment[1].tolist(), texts.a.tolist(), texts.b.tolist()):
+                if n in listed:
                     at, size = np.arange(a, b), b - a
-                    columns = ([i] * size, [key] * size, *(x.tolist() for x in words.extents(at, at + 1)), [least[a].tobytes()] * size, [listed[a]] * size, grams[a:b].view(np.int64).tolist())
+                    columns = ([i] * size, [key] * size, *(x.tolist() for x in texts.rows(texts.extents(at, at + 1))[1:]), [texts.least[a].tobytes()] * size, [listed[n]] * size, texts.grams[a:b].view(np.int64).tolist())
                     for column, values in zip(out, columns):
                         column += values
             if len(out[0]) >= 50_000:

@@ -4,6 +4,9 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
+
 from cases import awkward, clashing, empty
 from statewatt.llm import substring
 
@@ -184,3 +187,41 @@ def test_scripts_without_spaces(spark):
     rows = [(1, "\u7532\u3002" + passage + "\u4e59\u3002"), (2, "\u4e19\u3002" + passage + "\u4e01\u3002")]
     found = substring.repeated_passages(spark.createDataFrame(rows, DOCS)).collect()
     assert [(r["doc_id"], r["start"], r["end"], r["words"]) for r in found] == [(2, 2, 66, 60)]
+
+
+def test_texts_cut_together_are_cut_as_by_the_rule():
+    rng = random.Random(31)
+    parts = ["a", "b1", "\u03a3", "\u0130x", "_", "\u4e00", "\u0e01", ".", "!", "?!", "\u3002", "\uff01\uff1f", " ", "  ", "\n", "\x1c", "\u2003", "\u0307", "-", "\U0001f600"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 60))) for _ in range(400)]
+    texts += [" ".join(f"w{rng.randrange(3)}" for _ in range(rng.randrange(40, 200))) for _ in range(30)] + [" ", "\n", "x" * 5000]
+    rule = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)|[\u3002\uff01\uff1f]+|(?=\n)|\Z)", re.S)
+    want = []
+    for i, text in enumerate(texts):
+        at, n, low = 0, 0, text.replace("\u0130", "i").lower()
+        while at < len(text):
+            end = max(rule.match(text, at).end(), at + 1)
+            if solid := low[at:end].lstrip():
+                words = substring._WORD.findall(solid)
+                want.append((i, n, end - len(solid), end, len(words), " ".join(words) if words else "\0" + solid.rstrip()))
+                n += 1
+            at = end
+    whole = None
+    for limit in (1, 300, 1 << 18):
+        got, hashes, segments = [], [], []
+        for places, cut in substring._chunks(pa.array(["", *texts, None]), limit):
+            for part, into in ((cut.unit, got), (cut.segment, segments)):
+                for text, row in zip(part[0].tolist(), cut.rows(part).T.tolist()):
+                    into.append((places[text] - 1, row[0], row[1], row[2], row[4] - row[3]))
+            hashes += [(h, cut.digest(k)) for k, h in enumerate(cut.unit_hashes.tolist())]
+            segments += cut.hashes[cut.unit.shape[1] :].tolist()
+        assert got == [w[:5] for w in want]
+        # equal words, equal hashes and digests, and only those
+        assert len({w[5] for w in want}) == len(set(hashes)) == len(set(zip(hashes, (w[5] for w in want)))) == len({h for h, _ in hashes})
+        whole = whole or sorted(map(str, segments))
+        assert sorted(map(str, segments)) == whole and len(whole) > 30
+
+
+def test_a_window_lies_in_one_text():
+    cut = substring._Texts(["a " * 49, "b " * 50, "c " * 30, "d " * 21 + "e " * 40])
+    assert set(cut.segment[0].tolist()) == {1, 3} and len(cut.window) == 13
+    assert np.all(np.diff(cut.starts) > 0)
