@@ -2,21 +2,27 @@
 
 Pages are ordered by host and URL path; a page is compared with the one before
 and the one after it there. Text lines are aligned by longest common
-subsequence, and lines that it shares with each of them are template and go.
-The mark-up corrects both errors of a difference: lines inside menus, headers,
+subsequence, and lines that a page shares with each neighbour are template.
+Where a page has no article element they go. Where it has one, template runs
+go that lead from outside into the article: a share bar, a byline strip or a
+sign-up blurb that the frame of the site continues with. Template lines with
+the article's own lines on both sides are text that articles quote alike, and
+stay; so does all of an article whose copy lies next door, since a neighbour
+that shares half of the article's lines says nothing about the template.
+
+The mark-up corrects what a difference cannot see: lines inside menus, headers,
 footers, sidebars, notices, adverts, forms and comments go although no
-neighbour has them, and lines inside the article element stay although a copy
-of the article lies next to it.
+neighbour has them.
 
-The order is laid out as blocks of neighbouring pages; each block also gets
-the page before it and the page after it, so a host of any size is shared out
-and every page meets its neighbours. Texts move once.
+The order is laid out as blocks of neighbouring pages, of some size in bytes;
+each block also gets the page before it and the page after it, so a host of
+any size is shared out and every page meets its neighbours. Texts move once.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from html import unescape
 from itertools import groupby
@@ -30,8 +36,9 @@ from pyspark.sql import types as T
 from statewatt.llm.common import pick
 from statewatt.operators.ordering import with_position
 
-#: Blocks for each shuffle partition, so that their sizes even out.
-BLOCKS = 4
+#: Bytes of html in a block, on average, and blocks at most; a block is read in
+#: order and never held, so beyond that many they grow.
+BLOCK_BYTES, BLOCKS = 16 << 20, 100_000
 #: Bits of alignment rows that are held at once.
 ALIGN_BITS = 1 << 28
 
@@ -40,7 +47,9 @@ BLOCK_TAGS = frozenset(
     "header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style textarea title noscript iframe template svg math object canvas".split())
+RAW_TAGS = frozenset("script style textarea title noscript iframe template svg canvas".split())
+#: Of these, what takes the rest of a page if it is never closed.
+ENDLESS_TAGS = frozenset("script style textarea title".split())
 FURNITURE_TAGS = frozenset("nav footer aside form menu dialog button select head".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 FURNITURE_NAMES = frozenset(
@@ -48,7 +57,9 @@ FURNITURE_NAMES = frozenset(
     "newsletter subscribe subscription signup login sidebar aside comment comments disqus replies respond nav navbar navigation menu topmenu breadcrumb breadcrumbs "
     "footer header masthead topbar related recommended share sharing social widget widgets toolbar pagination pager skip copyright disclaimer".split()
 )
-CLOSES_P = BLOCK_TAGS - {"body", "html", "head"}
+#: What may stand beside such a name in one that is wholly furniture, as in ad-slot.
+NEUTRAL_NAMES = frozenset("area article articles bar block box button buttons container content entry form group inner item items label links list outer page panel post posts reader readers section site slot top unit user wrap wrapper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/><]*)[^><]*\Z|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -57,6 +68,16 @@ _NAME = re.compile(r"[a-z]+")
 ARTICLE, FURNITURE = 1, 2
 
 
+def _named(word: str, inside: bool) -> bool:
+    """Whether a class or id names furniture: by its first or last part, and
+    inside an article as a whole, so that ``related-work`` does not."""
+    parts = _NAME.findall(word)
+    if not inside:
+        return bool(FURNITURE_NAMES.intersection(parts[:1] + parts[-1:]))
+    own = FURNITURE_NAMES.intersection(parts) - {"header"}
+    return bool(own) and own | NEUTRAL_NAMES >= set(parts)
+
+
 def _furniture(tag: str, attributes: str, inside: bool) -> bool:
     if tag in FURNITURE_TAGS or tag == "header" and not inside:
         return True
@@ -68,7 +89,7 @@ def _furniture(tag: str, attributes: str, inside: bool) -> bool:
             return True
         if name == "role" and value.strip() in FURNITURE_ROLES:
             return True
-        if name in ("class", "id") and any(FURNITURE_NAMES.intersection(_NAME.findall(word)[:1] + _NAME.findall(word)[-1:]) for word in value.split()):
+        if name in ("class", "id") and not (inside and tag in HEADINGS) and any(_named(word, inside) for word in value.split()):
             return True
     return False
 
@@ -108,8 +129,10 @@ def text_lines(html: str | None) -> tuple[list[str], list[int]]:
             continue
         if not ends and tag in RAW_TAGS:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(html, at)
-            if not (m[3] or "").rstrip().endswith("/") or tag in ("script", "style", "textarea", "title"):
+            if tag in ENDLESS_TAGS:
                 at = close.end() if close else size
+            elif close and not (m[3] or "").rstrip().endswith("/"):
+                at = close.end()
             continue
         if block:
             flush()
@@ -211,17 +234,27 @@ def _lengths(x: list[str], y: list[str]) -> np.ndarray:
 
 
 def main_text(lines: list[str], marks: list[int], neighbours: list[list[str]]) -> str:
-    """What differencing leaves, corrected by the mark-up. Where a page has an
-    article its lines are the text; elsewhere lines stay that some neighbour
-    lacks, and all do if there is no neighbour or none would stay."""
-    own = [i for i, m in enumerate(marks) if not m & FURNITURE]
-    inside = [i for i in own if marks[i] & ARTICLE]
-    template = np.zeros(len(lines), bool)
-    if neighbours:
-        template[:] = True
-        for other in neighbours:
-            template &= shared_lines(lines, other)
-    chosen = inside or [i for i in own if not template[i]] or own
+    """What differencing leaves, corrected by the mark-up.
+
+    Without an article, lines stay that some neighbour lacks; all do if there is
+    no neighbour or none would stay. With one, its lines stay but for template
+    runs that reach into it from outside; neighbours that share half of its lines
+    or more are copies and not asked. Furniture never stays.
+    """
+    own = np.array([not m & FURNITURE for m in marks], bool)
+    article = own & np.array([m & ARTICLE > 0 for m in marks], bool)
+    shared = [shared_lines(lines, other) for other in neighbours]
+    if article.any():
+        shared = [s for s in shared if 2 * (s & article).sum() < article.sum()]
+        own = article
+    template = np.logical_and.reduce(shared) if shared else np.zeros(len(lines), bool)
+    if article.any():
+        run = np.cumsum(~template)  # lines of one template run share a number
+        framed = np.isin(run, run[template & ~article])
+        template &= framed
+    chosen = np.flatnonzero(own & ~template)
+    if not len(chosen):
+        chosen = np.flatnonzero(own)
     return "\n\n".join(lines[i] for i in chosen)
 
 
@@ -234,34 +267,36 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Text blocks are joined by two line feeds; a page without any has an empty
     text, so has a null one. Pages with a null or odd URL form a host of their
     own. Rows alike in host, path and id are ordered by a hash of their html;
-    rows alike in that too are each other's neighbours.
+    rows alike in that too are each other's neighbours, and where they fill more
+    than one block are dealt over those in turn.
     """
     few = pick(pages, id_col, url_col, html_col).toDF("page_id", "url", "html")
     kind = few.schema["page_id"].dataType
     spark = few.sparkSession
     host, path = (F.coalesce(F.regexp_extract("url", _URL, i), F.lit("")) for i in (1, 2))
-    few = few.select("page_id", "url", "html", F.lower(host).alias("host"), path.alias("path"), F.xxhash64("html").alias("tie"))
+    few = few.select("page_id", "url", "html", F.lower(host).alias("host"), path.alias("path"), F.xxhash64("html").alias("tie"), F.octet_length("html").alias("bytes"))
     key = ["host", "path", "page_id", "tie"]
-    placed = with_position(few.select(*key), key)
-    rows = placed.select(*key, "position")
-    blocks = BLOCKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = F.lit(max(1, -(-rows.count() // blocks)))
-    block = F.floor(F.col("position") / size).cast("long")
+    rows = with_position(few.select(*key, "bytes"), key)
+    whole = rows.agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).first()
+    blocks = min(BLOCKS, whole["n"], (whole["bytes"] or 0) // BLOCK_BYTES + 2 * spark.sparkContext.defaultParallelism)
+    block = F.floor(F.col("position") / max(1, -(-whole["n"] // max(1, blocks)))).cast("long")
     ends = rows.groupBy(block.alias("block")).agg(F.min(F.struct("position", *key)).alias("first"), F.max(F.struct("position", *key)).alias("last"))
     edges = sorted((r["block"], _key(r["first"]), _key(r["last"])) for r in ends.collect())  # a row for each block
     firsts, lasts = [e[1] for e in edges], [e[2] for e in edges]
+    few = few.drop("bytes")
     fields = [T.StructField("page_id", kind), *(T.StructField(n, T.StringType()) for n in ("url", "host", "path"))]
     schema = T.StructType([*fields, T.StructField("tie", T.LongType()), T.StructField("block", T.LongType()), T.StructField("guest", T.BooleanType()), T.StructField("lines", T.ArrayType(T.StringType())), T.StructField("marks", T.ArrayType(T.IntegerType()))])
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = None
+        out, turn = None, 0
         for batch in batches:
             out = out or [batch.schema.field(0).type, pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int32())]
             found = []
             for page_id, url, html, host, path, tie in zip(*(c.to_pylist() for c in batch.columns)):
                 own = _key({"host": host, "path": path, "page_id": page_id, "tie": tie})
                 lines, marks = text_lines(html)
-                at = bisect_right(firsts, own) - 1
+                low, high = bisect_left(lasts, own), bisect_right(firsts, own)
+                at, turn = low + turn % (high - low), turn + 1
                 for to, guest in ((at, False), (at - 1, True), (at + 1, True)):
                     if to < 0 or to >= len(firsts) or guest and own != (firsts[at] if to < at else lasts[at]):
                         continue
@@ -270,7 +305,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     names = schema.names
     order = ["block", "host", "path", "page_id", "tie", "guest"]
-    dealt = few.mapInArrow(parse, schema).repartition("block").sortWithinPartitions(*order)
+    dealt = few.mapInArrow(parse, schema).repartitionById(max(1, len(edges)), F.col("block").cast("int")).sortWithinPartitions(*order)
     return dealt.mapInArrow(_difference, T.StructType([T.StructField("page_id", kind), T.StructField("url", T.StringType()), T.StructField("text", T.StringType())]))
 
 

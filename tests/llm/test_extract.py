@@ -23,6 +23,9 @@ def page(i, body, host="h.example.org"):
         ("<!-- ad <p>no</p> --><article><p>a<!-- x -->b</p><script>document.write('<p>no</p>')</script><table><tr><td>c</td><td>d</td></tr></table></article>", "ab\n\nc\n\nd"),
         ("<article><p>cut &am", "cut &am"),
         ("<article><p>5 < 6 and 7 > 6</p><p attr='a>b'>x</p>", "5 < 6 and 7 > 6\n\nx"),
+        ("<article><h2 id='related-work'>Related work</h2><div class='entry-header'>Kept</div><section id='social-science'><p>Kept too</p></section></article>", "Related work\n\nKept\n\nKept too"),
+        ("<article><h2 id='comments'>On comments</h2><p>x</p><div class='ad-slot'>Buy</div><div class='box user-comments'>Nice</div><div id='cookie-notice'>C</div></article>", "On comments\n\nx"),
+        ("<article><p>a <math><mi>x</mi></math> <object data=f>b</object><svg><text>s</text></svg></p><svg><p>rest</p><noscript>c</article>", "a x b\n\nrest\n\nc"),
         ("<div role=banner>B</div><div hidden>H</div><p>Only text</p>", "Only text"),
         ("<article></article><nav>n</nav>", ""),
         ("", ""),
@@ -55,6 +58,82 @@ def test_a_copied_article_next_door_stays(spark):
     assert {r["text"] for r in extract.extract(spark.createDataFrame(rows, PAGES)).collect()} == {"Title & more\n\nFirst para graph goes on\n\nSecond <one> éA"}
 
 
+def hosts(rng):
+    """Pages as (host, path, [(where, line)]): a frame, of which some lines reach into
+    the article, a line that all articles quote, own lines, some pages twice."""
+    pages = []
+    for h in range(12):
+        head, tail = [f"h{h} top {k}" for k in range(3)], [f"h{h} end {k}" for k in range(4)]
+        for n in range(rng.randrange(1, 14)):
+            body = [f"h{h} p{n} own {k}" for k in range(rng.randrange(1, 7))]
+            if h % 2:
+                lines = [("out", x) for x in head] + [("out", x) for x in body] + [("out", x) for x in tail]
+            else:
+                quote = [("in", f"h{h} quoted")] if rng.random() < 0.7 else []
+                middle = [("in", body[0])] + quote + [("in", x) for x in body[1:] + [f"h{h} p{n} last"]]
+                blurb = rng.random() < 0.8
+                lines = [("out", head[0]), ("furniture", head[1]), ("in", head[2])] + middle + [("in", tail[0])] * blurb + [("out", tail[1]), ("furniture", f"h{h} p{n} menu"), ("out", tail[2])]
+            pages.append((h, n, lines))
+            if rng.random() < 0.2:
+                pages.append((h, n + 0.5, lines))
+    return pages
+
+
+def restated(pages):
+    out = []
+    for i, (h, n, lines) in enumerate(pages):
+        near = [{x for _, x in pages[j][2]} for j in (i - 1, i + 1) if 0 <= j < len(pages) and pages[j][0] == h]
+        inside = [x for w, x in lines if w == "in"]
+        if inside:
+            near = [o for o in near if len(o.intersection(inside)) * 2 < len(inside)]
+        template = [bool(near) and all(x in o for o in near) for _, x in lines]
+        kept = []
+        for k, (w, x) in enumerate(lines):
+            a = b = k
+            while a > 0 and template[a - 1]:
+                a -= 1
+            while b + 1 < len(lines) and template[b + 1]:
+                b += 1
+            framed = template[k] and (not inside or any(lines[j][0] != "in" for j in range(a, b + 1)))
+            if w == ("in" if inside else "out") and not framed:
+                kept.append(x)
+        out.append("\n\n".join(kept or inside or [x for w, x in lines if w == "out"]))
+    return out
+
+
+def test_is_the_plain_rule_on_random_hosts(spark):
+    pages = hosts(random.Random(23))
+    rows, want = [], restated(pages)
+    for i, (h, n, lines) in enumerate(pages):
+        body, was = "", "out"
+        for w, x in lines:
+            body += "</article>" if was == "in" != w else "<article>" if w == "in" != was else ""
+            body += {"in": f"<p>{x}</p>", "out": f"<div>{x}</div>", "furniture": f"<nav>{x}</nav>"}[w]
+            was = w
+        rows.append((i, f"http://h{h:02d}.example.org/{n:06.1f}", body))
+    for parts in (1, 5):
+        found = {r["page_id"]: r["text"] for r in extract.extract(spark.createDataFrame(rows, PAGES).repartition(parts)).collect()}
+        assert found == dict(enumerate(want))
+    articles = [i for i, p in enumerate(pages) if p[0] % 2 == 0]
+    assert any("quoted" in want[i] for i in articles) and sum(" top 2" not in want[i] for i in articles) > 10 and any(" top 2" in want[i] for i in articles)
+
+
+def test_an_article_changes_with_its_neighbours(spark):
+    def one(n, blurb):
+        return n, f"http://h/{n}", f"<div>Site</div><article><p>{blurb}</p><p>own {n}</p><p>more {n}</p><p>rest {n}</p></article>"
+
+    alike = {r["page_id"]: r["text"] for r in extract.extract(spark.createDataFrame([one(n, "Share this") for n in range(3)], PAGES)).collect()}
+    apart = {r["page_id"]: r["text"] for r in extract.extract(spark.createDataFrame([one(n, f"Share this {n}") for n in range(3)], PAGES)).collect()}
+    assert alike[1] == "own 1\n\nmore 1\n\nrest 1" and apart[1] == "Share this 1\n\n" + alike[1]
+
+
+def test_many_rows_alike_in_everything(spark):
+    rows = [(1, "http://h/a", "<p>A</p><p>B</p>")] + [(2, "http://h/b", "<p>A</p><p>C</p>")] * 300 + [(3, "http://h/c", "<p>A</p><p>D</p>")]
+    found = [(r["page_id"], r["text"]) for r in extract.extract(spark.createDataFrame(rows, PAGES).repartition(4)).collect()]
+    assert len(found) == 302 and set(found) <= {(1, "B"), (2, "A\n\nC"), (2, "C"), (3, "D")}
+    assert (1, "B") in found and (3, "D") in found
+
+
 def test_awkward_rows(spark):
     rows = [(1, None, None), (2, "", ""), (None, "no url", "<p>x</p>"), (None, "no url", "<p>x</p>"), (4, "http://[odd", "plain text"), (5, "http://a/", "<p>" + "long " * 50_000 + "</p>"), (5, "http://a/", "<p>" * 3000 + "deep")]
     df = spark.createDataFrame(rows, PAGES).selectExpr("*", "1 as host", "2 as text", "'x' as URL", "3 as block")
