@@ -4,7 +4,10 @@ A unit is a sentence or a line. Units are normalised and digested, digests are
 grouped over all documents, the earliest occurrence by (doc_id, place) stays
 and the others go, as runs of adjacent units with offsets into the original
 text. A run has to hold a least number of words, so a document is not touched
-for a stray short sentence.
+for a stray short sentence. A unit under ``UNIT_WORDS`` words tells nothing by
+itself: it is digested with the unit before it, and with the one before that if
+that is short too. So "No!" behind a repeated sentence goes only where "No!"
+stood behind that sentence, and a list of common words is no passage.
 
 Units miss a passage that begins and ends inside sentences. So every stretch of
 ``STRETCH`` white-space separated words that stands word for word, case aside,
@@ -13,9 +16,10 @@ its ``ANCHOR``-word runs; adjacent windows of one least hash are a segment, and
 equal windows have equal ones. Only segments whose hash repeats are compared:
 first as wholes, then, where segments of one hash differ, window by window.
 
-Texts are read twice. The first time only 64 bits of each digest move, to be
-counted; what may repeat is noted in a table of bits of fixed size, so that the
-second time little more than the repeated units and segments move.
+Texts never move. They are read once to count 64 bits of each digest; what may
+repeat is noted in a table of bits of fixed size, so that the second time little
+more than the repeated units and segments move. Which segments have to be opened
+is noted in such a table as well, and their texts are read where they lie.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ from statewatt.session import stored
 
 #: Words a removed run of units holds at least.
 MIN_WORDS = 25
+#: Words of a unit that is told by itself.
+UNIT_WORDS = 3
 #: Words of a stretch that goes wherever it begins, and of the runs it is known
 #: by; ``_hashes`` is written for these two.
 STRETCH, ANCHOR = 50, 16
@@ -105,8 +111,8 @@ class _Texts:
 
     A unit ends at a full stop, question or exclamation mark before white space,
     at a wide one anywhere, or at a line end. Its hash is of its words alone,
-    lower-cased; of a unit without words, of its characters. White space alone is
-    no unit, so a run goes on across empty lines, and at any other unit that does
+    lower-cased; of a unit without words, of its characters; a short one's is also
+    of the units before it. White space alone is no unit, so a run goes on across empty lines, and at any other unit that does
     not repeat, however short, it ends.
 
     ``unit`` and ``segment`` have a row each of text, number in the text, start
@@ -157,8 +163,15 @@ class _Texts:
         hashes, some = np.empty(len(starts), np.uint64), a < b
         hashes[some] = _spans(words, a[some], b[some])
         hashes[~some] = _mix(~_spans(values, starts[~some], self.solid_ends[~some]))
-        self.unit_hashes = hashes
-        self.unit = np.stack([*self._numbered(starts), starts, ends])
+        text, n = self._numbered(starts)
+        self.unit = np.stack([text, n, starts, ends])
+        # how many units before it a unit is told by
+        short = b - a < UNIT_WORDS
+        self.context = np.where(short, np.minimum(n, 1 + np.r_[0, short[:-1]]), 0)
+        self.unit_hashes = np.where(short, _mix(hashes + _BASE), hashes)
+        for k in (1, 2):
+            more = np.flatnonzero(self.context >= k)
+            self.unit_hashes[more] = _mix(self.unit_hashes[more] * _BASE + hashes[more - k])
 
     def _segments(self, words: np.ndarray) -> None:
         """``a`` and ``b`` are first windows and those behind the last, at most
@@ -184,16 +197,27 @@ class _Texts:
         first, last = self.window[a], self.window[b - 1] + STRETCH - 1
         return np.stack([self.text[a], self.number[first], self.starts[first], self.ends[last]])
 
+    def wholes(self, segments: np.ndarray) -> list[bytes]:
+        """What tells all words of a segment: its first and last window and their distance."""
+        a, b = self.a[segments], self.b[segments]
+        return _bytes(np.stack([self.grams[a], _mix(self.grams[b - 1] + (b - a).astype(np.uint64) * _BASE)], axis=1), 16)
+
     def rows(self, found: np.ndarray) -> np.ndarray:
         """n, start, end, words before the start and before the end, within the text."""
         text, n, start, end = found
         offset = self.offsets[text]
         return np.stack([n, start - offset, end - offset, self.before[start] - self.before[offset], self.before[end] - self.before[offset]])
 
+    def plain(self, unit: int) -> str:
+        """The normalised unit, behind those that it is told by."""
+        parts = []
+        for k in range(unit - int(self.context[unit]), unit + 1):
+            a, b = int(self.unit[2, k]), int(self.solid_ends[k])
+            parts.append(" ".join(_WORD.findall(self.low, a, b)) or "\0" + self.low[a:b])
+        return "\1".join(parts)
+
     def digest(self, unit: int) -> bytes:
-        a, b = int(self.unit[2, unit]), int(self.solid_ends[unit])
-        words = _WORD.findall(self.low, a, b)
-        own = " ".join(words) if words else "\0" + self.low[a:b]
+        own = self.plain(unit)
         return hashlib.blake2b(own.encode("utf-8", "replace"), digest_size=16).digest()
 
 
@@ -225,62 +249,56 @@ def _hashes_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(texts.hashes)], ["hash"])
 
 
-def _repeated(few: DataFrame) -> np.ndarray:
-    """A bit for each value of the last ``TABLE_BITS`` bits of a hash: whether some
-    hash with them occurs twice or more."""
-    counts = few.select("text").mapInArrow(_hashes_of, "hash long").groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
-    place = F.col("hash").bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
-    parts = counts.groupBy(F.shiftright(place, 15).alias("part")).agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
+def _bits(hashes: DataFrame) -> np.ndarray:
+    """A bit for each value of the last ``TABLE_BITS`` bits of a long: whether some
+    row of the one column has them."""
+    place = hashes[hashes.columns[0]].bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
+    parts = hashes.groupBy(F.shiftright(place, 15).alias("part")).agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
     out = np.zeros((1 << TABLE_BITS) // 8, np.uint8)
     for r in parts.toLocalIterator():  # at most 2 ** (TABLE_BITS - 15) rows of 4 KB
         out[r["part"] << 12 : (r["part"] + 1) << 12] = np.frombuffer(r["bits"], np.uint8)
     return out
 
 
+def _noted(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes & np.int64(8 * len(bits) - 1)
+    return bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0
+
+
 def _explode(batches: Iterable[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Units (``n`` counts them) and segments (``n`` is the first window, ``whole``
-    tells all words, by the first and the last window and their distance) of
-    (doc_id, key, text), those whose digest may repeat."""
+    tells all words) of (doc_id, key, text), those whose digest may repeat."""
     names = ["doc_id", "key", "n", "start", "end", "before", "after", "digest", "whole"]
     for batch in batches:
         for places, texts in _chunks(batch.column(2)):
-            place = texts.hashes & np.int64(8 * len(bits) - 1)
-            again = bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0
+            again = _noted(bits, texts.hashes)
             unit = np.flatnonzero(again[: texts.unit.shape[1]])
             segment = np.flatnonzero(again[texts.unit.shape[1] :])
-            a, b = texts.a[segment], texts.b[segment]
             found = np.concatenate([texts.unit[:, unit], texts.segment[:, segment]], axis=1)
             at = pa.array(np.array(places, np.int64)[found[0]], pa.int64())
             columns = [c.take(at) for c in batch.columns[:2]] + [pa.array(c, pa.int32()) for c in texts.rows(found).astype(np.int32)]
-            whole = np.stack([texts.grams[a], _mix(texts.grams[b - 1] + (b - a).astype(np.uint64) * _BASE)], axis=1)
-            columns.append(pa.array([texts.digest(k) for k in unit.tolist()] + _bytes(texts.least[a], 8), pa.binary()))
-            columns.append(pa.array([None] * len(unit) + _bytes(whole, 16), pa.binary()))
+            columns.append(pa.array([texts.digest(k) for k in unit.tolist()] + _bytes(texts.least[texts.a[segment]], 8), pa.binary()))
+            columns.append(pa.array([None] * len(unit) + texts.wholes(segment), pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of the listed segments of (doc_id, key, text, segments)."""
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64()]
+def _windows(batches: Iterable[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Every window of the noted segments of (doc_id, key, text)."""
     names = ["doc_id", "key", "start", "end", "before", "after", "digest", "whole", "gram"]
     for batch in batches:
-        own = [batch.schema.field(0).type, *kinds]
-        out = [[] for _ in own]
-        for i, key, t, listed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
-            texts, listed = _Texts([t.as_py()]), {s["n"]: s["whole"] for s in listed}
-            for n, a, b in zip(texts.segment[1].tolist(), texts.a.tolist(), texts.b.tolist()):
-                if n in listed:
-                    at, size = np.arange(a, b), b - a
-                    columns = ([i] * size, [key] * size, *(x.tolist() for x in texts.rows(texts.extents(at, at + 1))[1:]), [texts.least[a].tobytes()] * size, [listed[n]] * size, texts.grams[a:b].view(np.int64).tolist())
-                    for column, values in zip(out, columns):
-                        column += values
-            if len(out[0]) >= 50_000:
-                yield _batch(out, own, names)
-                out = [[] for _ in own]
-        yield _batch(out, own, names)
-
-
-def _batch(out: list[list], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+        keys = batch.column(1).to_numpy()
+        for row in np.flatnonzero(_noted(bits, keys)).tolist():
+            if not (text := batch.column(2)[row].as_py()):
+                continue
+            texts = _Texts([text])
+            listed = np.flatnonzero(_noted(bits, keys[row] ^ texts.segment[1] << 5))
+            sizes = texts.b[listed] - texts.a[listed]
+            at = np.arange(int(sizes.sum())) + np.repeat(texts.a[listed] - np.cumsum(sizes) + sizes, sizes)
+            which = pa.array(np.repeat(np.arange(len(listed)), sizes))
+            alike = pa.array(np.full(len(at), row))
+            columns = [c.take(alike) for c in batch.columns[:2]] + [pa.array(c, pa.int32()) for c in texts.rows(texts.extents(at, at + 1))[1:].astype(np.int32)]
+            columns += [pa.array(v, pa.binary()).take(which) for v in (_bytes(texts.least[texts.a[listed]], 8), texts.wholes(listed))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts.grams[at].view(np.int64))], names)
 
 
 def _later(rows: DataFrame) -> DataFrame:
@@ -300,12 +318,12 @@ def _stretches(few: DataFrame, segments: DataFrame) -> DataFrame:
     place = [F.col("doc_id").isNull().alias("none"), *(F.col(c) for c in ("doc_id", "key", "start", "end", "after"))]
     wholes = stored(segments.groupBy("digest", "whole").agg(F.min(F.struct(*place, "n")).alias("first"), F.count("*").alias("size")))
     mixed = wholes.groupBy("digest").count().where("count > 1").select("digest")
-    listed = wholes.join(mixed, "digest", "left_semi").groupBy(F.col("first.doc_id").alias("i"), F.col("first.key").alias("k"))
-    listed = listed.agg(F.collect_list(F.struct("first.n", "whole")).alias("segments"))
-    texts = few.join(listed, few["doc_id"].eqNullSafe(listed["i"]) & (few["key"] == listed["k"])).select("doc_id", "key", "text", "segments")
+    listed = wholes.join(mixed, "digest", "left_semi").select(F.col("first.key").alias("key"), F.col("first.n").cast("long").alias("n"))
+    noted = listed.select(F.explode(F.array("key", F.col("key").bitwiseXOR(F.shiftleft("n", 5)))).alias("hash"))
+    bits = few.sparkSession.sparkContext.broadcast(_bits(noted))
     fields = [("key", T.LongType()), ("start", T.IntegerType()), ("end", T.IntegerType()), ("before", T.IntegerType()), ("after", T.IntegerType()), ("digest", T.BinaryType()), ("whole", T.BinaryType()), ("gram", T.LongType())]
     schema = T.StructType([few.schema["doc_id"]] + [T.StructField(n, t) for n, t in fields])
-    grams = texts.mapInArrow(_windows, schema)
+    grams = few.mapInArrow(lambda batches: _windows(batches, bits.value), schema)
     first = grams.groupBy("digest", "gram").agg(F.min(F.struct(*place)).alias("first"))
     each = grams.join(first, ["digest", "gram"]).groupBy("digest", "whole", "doc_id", "key")
     opened = stored(each.agg(F.collect_list(F.struct("start", "end", "before", "after", "first")).alias("windows")))
@@ -332,16 +350,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     inside a document the first stays.
     """
     few = pick(docs, id_col, text_col).toDF("doc_id", "text")
-    few = few.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    few = few.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
     fields = [("key", T.LongType()), ("n", T.IntegerType()), ("start", T.IntegerType()), ("end", T.IntegerType()), ("before", T.IntegerType()), ("after", T.IntegerType()), ("digest", T.BinaryType()), ("whole", T.BinaryType())]
     schema = T.StructType([T.StructField("doc_id", few.schema["doc_id"].dataType)] + [T.StructField(n, t) for n, t in fields])
-    bits = few.sparkSession.sparkContext.broadcast(_repeated(few))
+    counts = few.select("text").mapInArrow(_hashes_of, "hash long").groupBy("hash").agg(F.count("*").alias("n"))
+    bits = few.sparkSession.sparkContext.broadcast(_bits(counts.where("n > 1").select("hash")))
     rows = stored(few.mapInArrow(lambda batches: _explode(batches, bits.value), schema))
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"), F.col("start").alias("start"))
     single = rows.where(F.col("whole").isNull()).drop("whole")
     first = single.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("size")).where("size > 1").select("digest", "first")
     gone = single.join(first, "digest").where(place != F.col("first"))
-    gone = gone.select("doc_id", "key", "n", "start", "end", "before", "after", F.col("first.doc_id").alias("kept")).distinct()
+    unit = F.struct("n", "start", "end", "before", "after", F.col("first.doc_id").alias("kept"))
+    gone = gone.groupBy("doc_id", "key").agg(F.collect_set(unit).alias("units")).select("doc_id", "key", F.inline("units"))
     order = Window.partitionBy("doc_id", "key").orderBy("n")
     runs = gone.withColumn("run", F.col("n") - F.row_number().over(order))
     found = runs.groupBy("doc_id", "key", "run").agg(

@@ -202,7 +202,11 @@ def test_texts_cut_together_are_cut_as_by_the_rule():
             end = max(rule.match(text, at).end(), at + 1)
             if solid := low[at:end].lstrip():
                 words = substring._WORD.findall(solid)
-                want.append((i, n, end - len(solid), end, len(words), " ".join(words) if words else "\0" + solid.rstrip()))
+                own = " ".join(words) if words else "\0" + solid.rstrip()
+                before = [] if len(words) >= 3 else [w for w in want[-2:] if w[0] == i][-1:]
+                if before and before[0][4] < 3:
+                    before = [w for w in want[-2:] if w[0] == i]
+                want.append((i, n, end - len(solid), end, len(words), "\1".join([w[6] for w in before] + [own]), own))
                 n += 1
             at = end
     whole = None
@@ -225,3 +229,13 @@ def test_a_window_lies_in_one_text():
     cut = substring._Texts(["a " * 49, "b " * 50, "c " * 30, "d " * 21 + "e " * 40])
     assert set(cut.segment[0].tolist()) == {1, 3} and len(cut.window) == 13
     assert np.all(np.diff(cut.starts) > 0)
+
+
+def test_short_units_are_told_by_what_stands_before(spark):
+    rng = random.Random(41)
+    words = [f"c{k}" for k in range(40)]
+    lists = [(i, "\n".join(rng.choice(words) for _ in range(120))) for i in range(20)]
+    tale = [" ".join(f"s{k}x{j}" for j in range(12)) + "." for k in range(3)]
+    rows = lists + [(50, " ".join([tale[0], "Yes.", tale[1], "So.", "Ja!", tale[2]])), (51, " ".join(["Own.", tale[0], "Yes.", tale[1], "So.", "Ja!", tale[2]])), (52, " ".join([tale[0], "Yes.", tale[1], "So.", "No!", tale[2]]))]
+    found = {(r["doc_id"], r["start"], r["end"], r["words"]) for r in substring.repeated_passages(spark.createDataFrame(rows, DOCS)).collect()}
+    assert found == {(51, 5, len(rows[-2][1]), 39), (52, 0, rows[-1][1].index(" No!"), 26)}
