@@ -26,11 +26,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +56,11 @@ _WORD = re.compile(rf"[{_SOLID}]|[^\W{_SOLID}]+")
 #: Characters of texts that are cut together; a longer text is cut by itself.
 CHUNK = 1 << 18
 
+#: A unit whose hash ends in that many zero bits ends a block of units, and so does
+#: the ``BLOCK``-th; blocks decide how many rows move, never what is found.
+BLOCK_BITS, BLOCK = 4, 64
+_UNIT = T.StructType([T.StructField(c, T.IntegerType()) for c in ("start", "end", "before", "after")] + [T.StructField("digest", T.BinaryType())])
+
 #: Classes of characters, as bits.
 _LETTER, _ALONE, _SPACE, _STOP, _WIDE_STOP = 1, 2, 4, 8, 16
 _TABLES: list[np.ndarray] = []
@@ -197,6 +203,15 @@ class _Texts:
         first, last = self.window[a], self.window[b - 1] + STRETCH - 1
         return np.stack([self.text[a], self.number[first], self.starts[first], self.ends[last]])
 
+    def blocks(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Adjacent ones of ``units`` as blocks, which end by what the units hold, so
+        that texts which share a run share its blocks: first units and those behind the last."""
+        at = np.arange(len(units))
+        cut = (self.unit_hashes[units] & np.uint64((1 << BLOCK_BITS) - 1)) == 0
+        new = np.r_[True, (units[1:] != units[:-1] + 1) | (self.unit[0, units[1:]] != self.unit[0, units[:-1]]) | cut[:-1]][: len(at)]
+        a = np.flatnonzero((at - np.maximum.accumulate(np.where(new, at, 0))) % BLOCK == 0)
+        return a, np.r_[a[1:], len(at)][: len(a)]
+
     def wholes(self, segments: np.ndarray) -> list[bytes]:
         """What tells all words of a segment: its first and last window and their distance."""
         a, b = self.a[segments], self.b[segments]
@@ -249,15 +264,19 @@ def _hashes_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(texts.hashes)], ["hash"])
 
 
-def _bits(hashes: DataFrame) -> np.ndarray:
+def _bits(hashes: DataFrame) -> bytes:
     """A bit for each value of the last ``TABLE_BITS`` bits of a long: whether some
-    row of the one column has them."""
+    row of the one column has them. Compressed, so that few rows send little."""
     place = hashes[hashes.columns[0]].bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
     parts = hashes.groupBy(F.shiftright(place, 15).alias("part")).agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
     out = np.zeros((1 << TABLE_BITS) // 8, np.uint8)
     for r in parts.toLocalIterator():  # at most 2 ** (TABLE_BITS - 15) rows of 4 KB
         out[r["part"] << 12 : (r["part"] + 1) << 12] = np.frombuffer(r["bits"], np.uint8)
-    return out
+    return zlib.compress(out, 1)
+
+
+def _table(bits: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(bits), np.uint8)
 
 
 def _noted(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -265,43 +284,74 @@ def _noted(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0
 
 
-def _explode(batches: Iterable[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Units (``n`` counts them) and segments (``n`` is the first window, ``whole``
-    tells all words) of (doc_id, key, text), those whose digest may repeat."""
-    names = ["doc_id", "key", "n", "start", "end", "before", "after", "digest", "whole"]
+def _spot(key: Column | np.ndarray, n: Column | np.ndarray) -> Column | np.ndarray:
+    """64 bits for the n-th thing of a text, alike in Spark and numpy."""
+    return key.bitwiseXOR(F.shiftleft(n.cast("long"), 5)) if isinstance(key, Column) else key ^ n.astype(np.int64) << 5
+
+
+def _listed(rows: DataFrame, *columns: str, hashes: DataFrame) -> DataFrame:
+    """``rows`` whose hash, of one column or the spot of two, is one of ``hashes``; a few others pass."""
+    bits = rows.sparkSession.sparkContext.broadcast(_bits(hashes))
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _table(bits.value)
+        for batch in batches:
+            values = [batch.column(c).to_numpy() for c in columns]
+            yield batch.filter(pa.array(_noted(table, values[0] if len(values) == 1 else _spot(*values))))
+
+    return rows.mapInArrow(keep, rows.schema)
+
+
+def _explode(batches: Iterable[pa.RecordBatch], bits: bytes) -> Iterator[pa.RecordBatch]:
+    """Blocks of units and segments of windows of (doc_id, key, text), those whose
+    digest may repeat. ``n`` counts units or is the first word's number, ``m`` is how
+    many units or windows there are; ``whole`` tells all words of a segment, ``units``
+    holds what a block is made of."""
+    names = ["doc_id", "key", "n", "start", "end", "before", "after", "m", "digest", "whole", "units"]
+    table = _table(bits)
     for batch in batches:
         for places, texts in _chunks(batch.column(2)):
-            again = _noted(bits, texts.hashes)
+            again = _noted(table, texts.hashes)
             unit = np.flatnonzero(again[: texts.unit.shape[1]])
             segment = np.flatnonzero(again[texts.unit.shape[1] :])
-            found = np.concatenate([texts.unit[:, unit], texts.segment[:, segment]], axis=1)
+            a, b = texts.blocks(unit)
+            digests = [texts.digest(k) for k in unit.tolist()]
+            blocks = np.stack([*texts.unit[:3, unit[a]], texts.unit[3, unit[b - 1]]])
+            found = np.concatenate([blocks, texts.segment[:, segment]], axis=1)
             at = pa.array(np.array(places, np.int64)[found[0]], pa.int64())
             columns = [c.take(at) for c in batch.columns[:2]] + [pa.array(c, pa.int32()) for c in texts.rows(found).astype(np.int32)]
-            columns.append(pa.array([texts.digest(k) for k in unit.tolist()] + _bytes(texts.least[texts.a[segment]], 8), pa.binary()))
-            columns.append(pa.array([None] * len(unit) + texts.wholes(segment), pa.binary()))
+            columns.append(pa.array(np.r_[b - a, texts.b[segment] - texts.a[segment]], pa.int32()))
+            own = [hashlib.blake2b(b"".join(digests[i:j]), digest_size=16).digest() for i, j in zip(a.tolist(), b.tolist())]
+            columns.append(pa.array(own + _bytes(texts.least[texts.a[segment]], 8), pa.binary()))
+            columns.append(pa.array([None] * len(a) + texts.wholes(segment), pa.binary()))
+            parts = [pa.array(c, pa.int32()) for c in texts.rows(texts.unit[:, unit])[1:].astype(np.int32)]
+            parts = pa.StructArray.from_arrays([*parts, pa.array(digests, pa.binary())], [f.name for f in _UNIT])
+            columns.append(pa.ListArray.from_arrays(pa.array(np.r_[0, b, np.full(len(segment), len(unit))], pa.int32()), parts))
             yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def _windows(batches: Iterable[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _windows(batches: Iterable[pa.RecordBatch], bits: bytes) -> Iterator[pa.RecordBatch]:
     """Every window of the noted segments of (doc_id, key, text)."""
-    names = ["doc_id", "key", "start", "end", "before", "after", "digest", "whole", "gram"]
+    names = ["doc_id", "key", "n", "m", "start", "end", "before", "after", "least", "gram"]
+    table = _table(bits)
     for batch in batches:
         keys = batch.column(1).to_numpy()
-        for row in np.flatnonzero(_noted(bits, keys)).tolist():
+        for row in np.flatnonzero(_noted(table, keys)).tolist():
             if not (text := batch.column(2)[row].as_py()):
                 continue
             texts = _Texts([text])
-            listed = np.flatnonzero(_noted(bits, keys[row] ^ texts.segment[1] << 5))
+            listed = np.flatnonzero(_noted(table, _spot(keys[row], texts.segment[1])))
             sizes = texts.b[listed] - texts.a[listed]
             at = np.arange(int(sizes.sum())) + np.repeat(texts.a[listed] - np.cumsum(sizes) + sizes, sizes)
-            which = pa.array(np.repeat(np.arange(len(listed)), sizes))
             alike = pa.array(np.full(len(at), row))
-            columns = [c.take(alike) for c in batch.columns[:2]] + [pa.array(c, pa.int32()) for c in texts.rows(texts.extents(at, at + 1))[1:].astype(np.int32)]
-            columns += [pa.array(v, pa.binary()).take(which) for v in (_bytes(texts.least[texts.a[listed]], 8), texts.wholes(listed))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts.grams[at].view(np.int64))], names)
+            columns = [c.take(alike) for c in batch.columns[:2]]
+            columns += [pa.array(np.repeat(c, sizes), pa.int32()) for c in (texts.segment[1, listed], sizes)]
+            columns += [pa.array(c, pa.int32()) for c in texts.rows(texts.extents(at, at + 1))[1:].astype(np.int32)]
+            columns += [pa.array(h[at].view(np.int64)) for h in (texts.least, texts.grams)]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def _later(rows: DataFrame) -> DataFrame:
+def _later(rows: DataFrame, *others: str) -> DataFrame:
     """Extents of ``rows`` that stand behind the ``first`` of their kind. One that
     overlaps it, in a text that repeats itself, begins where it ends."""
     f = F.col("first")
@@ -309,29 +359,69 @@ def _later(rows: DataFrame) -> DataFrame:
     gone = rows.where(~own | (F.col("start") != f["start"]))
     for name, end in (("start", "end"), ("before", "after")):
         gone = gone.withColumn(name, F.when(own, F.greatest(name, f[end])).otherwise(F.col(name)))
-    return gone.where("start < end").select("doc_id", "key", "start", "end", "before", "after", "kept")
+    return gone.where("start < end").select("doc_id", "key", "start", "end", "before", "after", "kept", *others)
+
+
+def _known(kinds: DataFrame, later: DataFrame, part: str) -> DataFrame:
+    """``kinds`` of which there are several, with the documents that keep them: those
+    that keep the ``later`` parts of the ``first``, and its own unless all parts go."""
+    per = later.groupBy(*[F.col(c).alias("_" + c) for c in ("doc_id", "key", "n")]).agg(F.collect_set("kept").alias("others"), F.size(F.collect_set(part)).alias("parts"))
+    first = F.col("first")
+    joined = kinds.where("size > 1").join(per, first["doc_id"].eqNullSafe(F.col("_doc_id")) & (first["key"] == F.col("_key")) & (first["n"] == F.col("_n")), "left")
+    own, others = F.array(first["doc_id"]), F.col("others")
+    return joined.withColumn("kept", F.when(others.isNull(), own).when(F.col("parts") < first["m"], F.concat(others, own)).otherwise(others)).drop("others", "parts", "_doc_id", "_key", "_n")
 
 
 def _stretches(few: DataFrame, segments: DataFrame) -> DataFrame:
     """Extents of repeated windows, from segments whose least hash may repeat. Equal
-    segments have the windows of their first, so only firsts are opened."""
+    segments have the windows of their first, so only firsts are opened, and of their
+    windows only those that may repeat move."""
     place = [F.col("doc_id").isNull().alias("none"), *(F.col(c) for c in ("doc_id", "key", "start", "end", "after"))]
-    wholes = stored(segments.groupBy("digest", "whole").agg(F.min(F.struct(*place, "n")).alias("first"), F.count("*").alias("size")))
+    wholes = stored(segments.groupBy("digest", "whole").agg(F.min(F.struct(*place, "n", "m")).alias("first"), F.count("*").alias("size")))
     mixed = wholes.groupBy("digest").count().where("count > 1").select("digest")
-    listed = wholes.join(mixed, "digest", "left_semi").select(F.col("first.key").alias("key"), F.col("first.n").cast("long").alias("n"))
-    noted = listed.select(F.explode(F.array("key", F.col("key").bitwiseXOR(F.shiftleft("n", 5)))).alias("hash"))
+    listed = wholes.join(mixed, "digest", "left_semi").select("first.key", "first.n")
+    noted = listed.select(F.explode(F.array("key", _spot(F.col("key"), F.col("n")))).alias("hash"))
     bits = few.sparkSession.sparkContext.broadcast(_bits(noted))
-    fields = [("key", T.LongType()), ("start", T.IntegerType()), ("end", T.IntegerType()), ("before", T.IntegerType()), ("after", T.IntegerType()), ("digest", T.BinaryType()), ("whole", T.BinaryType()), ("gram", T.LongType())]
-    schema = T.StructType([few.schema["doc_id"]] + [T.StructField(n, t) for n, t in fields])
-    grams = few.mapInArrow(lambda batches: _windows(batches, bits.value), schema)
-    first = grams.groupBy("digest", "gram").agg(F.min(F.struct(*place)).alias("first"))
-    each = grams.join(first, ["digest", "gram"]).groupBy("digest", "whole", "doc_id", "key")
-    opened = stored(each.agg(F.collect_list(F.struct("start", "end", "before", "after", "first")).alias("windows")))
-    apart = opened.select("doc_id", "key", F.inline("windows")).withColumn("kept", F.array(F.col("first.doc_id")))
-    stays = opened.select("digest", "whole", F.array_distinct(F.transform("windows", lambda w: w["first"]["doc_id"])).alias("stays"))
-    known = wholes.where("size > 1").join(stays, ["digest", "whole"], "left")
-    known = known.select("digest", "whole", "first", F.coalesce("stays", F.array(F.col("first.doc_id"))).alias("kept"))
-    return _later(segments.join(known, ["digest", "whole"])).unionAll(_later(apart))
+    numbers = [T.StructField(c, T.IntegerType()) for c in ("n", "m", "start", "end", "before", "after")]
+    schema = T.StructType([*few.schema.fields[:2], *numbers, T.StructField("least", T.LongType()), T.StructField("gram", T.LongType())])
+    grams = stored(few.mapInArrow(lambda batches: _windows(batches, bits.value), schema))
+    twice = _listed(grams, "gram", hashes=grams.groupBy("gram").count().where("count > 1").select("gram"))
+    first = twice.groupBy("least", "gram").agg(F.min(F.struct(*place)).alias("first"), F.count("*").alias("size")).where("size > 1").drop("size")
+    later = twice.join(first, ["least", "gram"]).withColumn("kept", F.col("first.doc_id"))
+    later = stored(_later(later, "n"))
+    known = _known(wholes, later, "end")
+    return _later(segments.join(known.select("digest", "whole", "first", "kept"), ["digest", "whole"])).unionAll(later.drop("n").withColumn("kept", F.array("kept")))
+
+
+def _units(rows: DataFrame, min_words: int) -> DataFrame:
+    """Extents of runs of repeated units, from blocks of units that may repeat.
+
+    A block that stands at an earlier place goes as a whole. The first of each kind
+    is opened: the first of every unit lies in one, since an earlier block of the
+    same kind would hold it earlier.
+    """
+    place = F.struct(F.col("doc_id").isNull().alias("none"), *(F.col(c).alias(c) for c in ("doc_id", "key", "start")))
+    kinds = stored(rows.groupBy("digest").agg(F.min(F.struct(place.alias("place"), "doc_id", "key", "n", "m")).alias("first"), F.count("*").alias("size")))
+    spots = kinds.select(_spot(F.col("first.key"), F.col("first.n")).alias("hash"))
+    opened = _listed(rows.select("doc_id", "key", "n", "units"), "key", "n", hashes=spots)
+    opened = opened.select("doc_id", "key", "n", F.posexplode("units").alias("at", "unit")).select("doc_id", "key", "n", "at", "unit.*")
+    first = opened.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("size")).where("size > 1").drop("size")
+    later = opened.join(first, "digest").where(place != F.col("first")).withColumn("kept", F.col("first.doc_id"))
+    later = stored(later.select("doc_id", "key", "n", "at", "start", "end", "before", "after", "kept"))
+    known = _known(kinds, later, "at").select("digest", "first", "kept")
+    extent = ["doc_id", "key", "start", "end", "before", "after"]
+    whole = rows.drop("units").join(known, "digest").where(place != F.col("first.place"))
+    whole = whole.select(*extent, "n", (F.col("n") + F.col("m") - 1).alias("last"), "kept")
+    number = F.col("n") + F.col("at")
+    gone = whole.unionAll(later.select(*extent, number.alias("n"), number.alias("last"), F.array("kept").alias("kept")))
+    order = Window.partitionBy("doc_id", "key").orderBy("n", "last")
+    reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = gone.withColumn("new", (F.coalesce(reach, F.lit(-2)) + 1 < F.col("n")).cast("long"))
+    runs = runs.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    found = runs.groupBy("doc_id", "key", "run").agg(
+        *(F.min(c).alias(c) if c in ("start", "before") else F.max(c).alias(c) for c in extent[2:]), F.flatten(F.collect_set("kept")).alias("kept")
+    )
+    return found.where(F.col("after") - F.col("before") >= min_words).drop("run")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -351,24 +441,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     few = pick(docs, id_col, text_col).toDF("doc_id", "text")
     few = few.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
-    fields = [("key", T.LongType()), ("n", T.IntegerType()), ("start", T.IntegerType()), ("end", T.IntegerType()), ("before", T.IntegerType()), ("after", T.IntegerType()), ("digest", T.BinaryType()), ("whole", T.BinaryType())]
-    schema = T.StructType([T.StructField("doc_id", few.schema["doc_id"].dataType)] + [T.StructField(n, t) for n, t in fields])
+    numbers = [T.StructField(c, T.IntegerType()) for c in ("n", "start", "end", "before", "after", "m")]
+    rest = [T.StructField("digest", T.BinaryType()), T.StructField("whole", T.BinaryType()), T.StructField("units", T.ArrayType(_UNIT))]
+    schema = T.StructType([*few.schema.fields[:2], *numbers, *rest])
     counts = few.select("text").mapInArrow(_hashes_of, "hash long").groupBy("hash").agg(F.count("*").alias("n"))
     bits = few.sparkSession.sparkContext.broadcast(_bits(counts.where("n > 1").select("hash")))
     rows = stored(few.mapInArrow(lambda batches: _explode(batches, bits.value), schema))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"), F.col("start").alias("start"))
-    single = rows.where(F.col("whole").isNull()).drop("whole")
-    first = single.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("size")).where("size > 1").select("digest", "first")
-    gone = single.join(first, "digest").where(place != F.col("first"))
-    unit = F.struct("n", "start", "end", "before", "after", F.col("first.doc_id").alias("kept"))
-    gone = gone.groupBy("doc_id", "key").agg(F.collect_set(unit).alias("units")).select("doc_id", "key", F.inline("units"))
-    order = Window.partitionBy("doc_id", "key").orderBy("n")
-    runs = gone.withColumn("run", F.col("n") - F.row_number().over(order))
-    found = runs.groupBy("doc_id", "key", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.min("before").alias("before"), F.max("after").alias("after"), F.sum(F.col("after") - F.col("before")).alias("words"), F.collect_set("kept").alias("kept")
-    )
-    found = found.where(F.col("words") >= min_words).drop("run", "words")
-    found = found.unionAll(_stretches(few, rows.where(F.col("whole").isNotNull())))
+    found = _units(rows.where(F.col("whole").isNull()).drop("whole"), min_words)
+    found = found.unionByName(_stretches(few, rows.where(F.col("whole").isNotNull()).drop("units")))
     return _united(found)
 
 
