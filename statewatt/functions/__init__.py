@@ -10,6 +10,7 @@ from statewatt.functions.exprs import (
     since,
     token_sorted,
     value_map,
+    year_column,
 )
 from statewatt.functions.scores import access_gap_flag, composite_score, composite_total, constraint_points, signal_tier
 
@@ -30,4 +31,5 @@ __all__ = [
     "since",
     "token_sorted",
     "value_map",
+    "year_column",
 ]

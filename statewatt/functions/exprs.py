@@ -30,20 +30,38 @@ def clean_non_finite(df: DataFrame, cols: Iterable[str] | None = None) -> DataFr
     return df.withColumns(fixes) if fixes else df
 
 
-def since(ts: Column | str, first_day: dt.date | str) -> Column:
-    """Inclusive lower time bound, in a form that reaches the parquet scan."""
+#: Days by which the year of a partition may differ from a reader's: sessions in
+#: other zones see an instant up to 26 hours apart.
+_ZONES = dt.timedelta(days=2)
+
+
+def since(ts: Column | str, first_day: dt.date | str, year: Column | str | None = None) -> Column:
+    """Inclusive lower time bound, in a form that reaches the parquet scan.
+
+    ``year`` is the column by whose values a table of ``write_table(year_of=ts)`` is
+    partitioned; with it, folders of earlier years are not listed for reading.
+    """
     day = dt.date.fromisoformat(first_day) if isinstance(first_day, str) else first_day
-    return _col(ts) >= F.lit(day)
+    bound = _col(ts) >= F.lit(day)
+    return bound if year is None else bound & (_col(year) >= F.lit((day - _ZONES).year))
 
 
-def in_years(ts: Column | str, first: int, last: int | None = None) -> Column:
+def in_years(ts: Column | str, first: int, last: int | None = None, year: Column | str | None = None) -> Column:
     """``year(ts) BETWEEN first AND last`` as a half-open range.
 
     ``year()`` hides the column from the scan; a plain range is pushed down.
+    ``year`` is as in ``since``.
     """
     last = first if last is None else last
-    c = _col(ts)
-    return (c >= F.lit(dt.date(first, 1, 1))) & (c < F.lit(dt.date(last + 1, 1, 1)))
+    end = dt.date(last + 1, 1, 1)
+    bound = since(ts, dt.date(first, 1, 1), year) & (_col(ts) < F.lit(end))
+    return bound if year is None else bound & (_col(year) <= F.lit((end + _ZONES).year))
+
+
+def year_column(df: DataFrame, ts: str) -> str | None:
+    """The partition column that ``load_table(year_of=ts)`` kept, if ``df`` has it."""
+    name = f"{ts}_year"
+    return name if name in df.columns else None
 
 
 def month_period(ts: Column | str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -51,11 +52,14 @@ def ramp_metrics(
     tie: Sequence[str] = (),
     chunk: str = "month",
     drop_first: bool = True,
+    max_gap: dt.timedelta | None = None,
 ) -> DataFrame:
     """Mean, maximum and deviation of |x(t) - x(t-1)| per key, in time order.
 
     "Previous" is the previous row, so a missing hour is bridged and a NULL
-    value breaks the two pairs it takes part in. ``drop_first=True`` keeps
+    value breaks the two pairs it takes part in. With ``max_gap`` a row more than
+    that after the previous one has no previous value, and so has a row next to
+    one without a time. ``drop_first=True`` keeps
     keys (the NULL key too) with at least one row whose previous value is
     known; ``False`` keeps every non-NULL key.
 
@@ -69,11 +73,15 @@ def ramp_metrics(
     w = Window.partitionBy(key, "_chunk").orderBy(*order)
     steps = df.select(key, ts, *tie, *dict.fromkeys(r.value for r in ramps))
     steps = steps.withColumn("_chunk", _chunk(df, ts, chunk))
-    seen: dict[str, Column] = {f"_p{i}": F.lag(r.value).over(w) for i, r in enumerate(ramps)}
+
+    def near(end: Column, start: Column | str, value: Column) -> Column:
+        return value if max_gap is None else F.when(F.col(start) - end <= F.lit(max_gap), value)
+
+    seen: dict[str, Column] = {f"_p{i}": near(F.lag(ts).over(w), ts, F.lag(r.value).over(w)) for i, r in enumerate(ramps)}
     seen |= {"_first": F.row_number().over(w) == 1, "_last": F.lead(F.lit(True)).over(w).isNull()}
     steps = steps.withColumns(seen)
 
-    aggs: list[Column] = []
+    aggs: list[Column] = [] if max_gap is None else [F.min(ts).alias("_from"), F.max(ts).alias("_to")]
     for i, r in enumerate(ramps):
         prev, d = F.col(f"_p{i}"), F.abs(F.col(r.value) - F.col(f"_p{i}"))
         aggs += [
@@ -89,7 +97,7 @@ def ramp_metrics(
 
     in_order = Window.partitionBy(key).orderBy("_chunk")
     whole = Window.partitionBy(key)
-    joins = {f"_j{i}": F.lag(f"_l{i}").over(in_order) for i in range(len(ramps))}
+    joins = {f"_j{i}": near(F.lag("_to").over(in_order), "_from", F.lag(f"_l{i}").over(in_order)) for i in range(len(ramps))}
     chunks = chunks.withColumns(joins)
     chunks = chunks.withColumns({f"_b{i}": F.abs(F.col(f"_f{i}") - F.col(f"_j{i}")) for i in range(len(ramps))})
     zero = F.lit(0.0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statewatt.functions import indicator_count, since
+from statewatt.functions import indicator_count, since, year_column
 from statewatt.operators import Profile, Ramp, category_shares, distinct_mapping, monthly_rollup, ramp_metrics, series_profile, weighted_rollup
 from statewatt.plans import config as c
 
@@ -54,7 +54,7 @@ def monthly_metrics(base: DataFrame, generators: DataFrame) -> DataFrame:
     volumes = series_profile(base, ["state", FUEL], [stats])
     shares = category_shares(volumes, "state", FUEL, "total_gen_mwh", groups, "fuel_share")
     capacity = (
-        generators.filter(since("report_date", c.FIRST_DAY) & F.col("state").isNotNull())
+        generators.filter(since("report_date", c.FIRST_DAY, year_column(generators, "report_date")) & F.col("state").isNotNull())
         .groupBy("state", FUEL)
         .agg(F.avg("capacity_factor").alias("avg_capacity_factor"))
     )
@@ -66,7 +66,7 @@ def area_states(generators: DataFrame) -> DataFrame:
 
 
 def _recent(hourly: DataFrame) -> DataFrame:
-    return hourly.filter(since("datetime_utc", c.FIRST_DAY))
+    return hourly.filter(since("datetime_utc", c.FIRST_DAY, year_column(hourly, "datetime_utc")))
 
 
 def generation_ramps(hourly: DataFrame) -> DataFrame:

@@ -63,7 +63,19 @@ _FRAME = (
 )
 
 
-def read_geojson(spark: SparkSession, path: str, properties: StructType, layout: str = "lines") -> DataFrame:
+#: Names of the two coordinate systems, as converters write them.
+_SRIDS = {4326: r"(?:CRS84|EPSG:+4326)$", 3857: r"EPSG:+(?:3857|900913)$"}
+
+
+def _agrees(crs: Column, srid: int) -> Column:
+    """Whether a ``crs`` member (text; NULL if there is none) names ``srid``; fails if another."""
+    name = F.get_json_object(crs, "$.properties.name")
+    none = crs.isNull() | (F.btrim(crs) == "null")
+    failure = F.raise_error(F.concat(F.lit(f"the file's crs is not {srid}: "), F.substring(crs, 1, 200)))
+    return F.when(none | F.coalesce(name.rlike("(?i)" + _SRIDS[srid]), F.lit(False)), F.lit(True)).otherwise(failure.cast("boolean"))
+
+
+def read_geojson(spark: SparkSession, path: str, properties: StructType, layout: str = "lines", srid: int | None = None) -> DataFrame:
     """Rows (ordinal, properties, geometry_type, coordinates, polygons, feature).
 
     ``layout='lines'`` reads one feature per line, as newline-delimited
@@ -73,16 +85,30 @@ def read_geojson(spark: SparkSession, path: str, properties: StructType, layout:
     feature's place in the input: files by path, features as they stand in them.
     ``feature`` is its text, with the members and properties that are not
     declared. A line or element that is no feature fails the read.
+
+    With ``srid`` (4326 or 3857) the read also fails if a collection's ``crs`` member
+    names another system; one without the member is taken to be as declared.
+    With ``'lines'`` the member has to stand on one line, as converters write it.
     """
+    if srid is not None and srid not in _SRIDS:
+        raise ValueError(f"srid must be 4326 or 3857, not {srid!r}")
     if layout == "document":
         schema = StructType().add("features", ArrayType(StringType()))
+        if srid is not None:
+            schema = schema.add("crs", StringType())
         docs = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+        if srid is not None:
+            docs = docs.filter(_agrees(F.col("crs"), srid))
         placed = docs.select(F.col("_metadata.file_path").alias("_file"), F.posexplode("features").alias("_at", "_text"))
         rows = with_position(placed, ["_file", "_at"], "_pos")
     elif layout == "lines":
         text = F.regexp_replace(F.btrim("value", F.lit(" \t\r\ufeff")), r",$", "")
         rows = with_file_position(spark.read.text(path), "_pos").select("_pos", text.alias("_text"))
-        rows = rows.filter(~F.col("_text").rlike(_FRAME))
+        feature = ~F.col("_text").rlike(_FRAME)
+        if srid is not None:
+            crs = F.regexp_extract("_text", r'^\{?(?:\s*"(?:type|name)"\s*:\s*"[^"]*"\s*,)*\s*"crs"\s*:\s*(null|\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\})', 1)
+            feature = F.when(feature, F.lit(True)).otherwise((crs != "") & ~_agrees(crs, srid))
+        rows = rows.filter(feature)
     else:
         raise ValueError(f"layout must be 'document' or 'lines', not {layout!r}")
     return features_from_text(rows, "_text", "_pos", properties)

@@ -44,14 +44,25 @@ def load_table(
     path: str,
     schema: StructType | None = None,
     codes: Mapping[str, str] | None = None,
+    year_of: str | None = None,
 ) -> DataFrame:
     """Parquet table with the declared columns, non-finite numbers as NULL.
 
     Comparisons are case-sensitive, so ``codes`` (column -> 'upper' or 'lower')
     trims and normalises code columns whose spelling varies. Leave it out for
     clean data: a normalised column cannot be filtered in the scan.
+
+    A table that ``write_table(year_of=ts)`` wrote keeps its partition column, as
+    ``<ts>_year``, when ``year_of`` names ts; ``since`` and ``in_years`` take it, so that
+    a time filter prunes folders.
     """
     df = spark.read.parquet(path)
+    if year_of is not None:
+        if "year" not in df.columns:
+            raise ValueError(f"{path} is not partitioned by year")
+        df = df.withColumnRenamed("year", f"{year_of}_year")
+        if schema is not None:
+            schema = StructType([*schema.fields, df.schema[f"{year_of}_year"]])
     if schema is not None:
         df = _conform(df, schema, path)
     for col, case in (codes or {}).items():
@@ -61,9 +72,13 @@ def load_table(
     return clean_non_finite(df)
 
 
-def load_inputs(spark: SparkSession, folder: str, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    """The model inputs stored as ``<folder>/<name>.parquet``."""
-    return {n: load_table(spark, f"{folder}/{n}.parquet", SCHEMAS[n]) for n in (names or SCHEMAS)}
+def load_inputs(
+    spark: SparkSession, folder: str, names: Sequence[str] | None = None, year_of: Mapping[str, str] | None = None
+) -> dict[str, DataFrame]:
+    """The model inputs stored as ``<folder>/<name>.parquet``; ``year_of`` gives the
+    time column of each one that is partitioned by its year."""
+    yearly = year_of or {}
+    return {n: load_table(spark, f"{folder}/{n}.parquet", SCHEMAS[n], year_of=yearly.get(n)) for n in (names or SCHEMAS)}
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), year_of: str | None = None) -> None:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import random
 import statistics
 
 import pytest
@@ -103,3 +104,34 @@ def test_hourly_history_leaves_few_rows_for_the_second_level(spark):
     chunks = df.groupBy("k", ramps._chunk(df, "ts", "month").alias("c")).count().count()
     assert chunks <= 20_000 / 500
     assert op.ramp_metrics(df, "k", "ts", [op.Ramp("v", "a", "m", "s")]).first()["m"] == 6.0
+
+
+@pytest.mark.parametrize("chunk", ["hour", "day", "month"])
+def test_a_gap_breaks_the_pair(gaps, chunk):
+    hour = dt.timedelta(hours=1)
+    got = {r.k: r for r in op.ramp_metrics(gaps, "k", "ts", [op.Ramp("v", "a", "m", "s", 0)], chunk=chunk, max_gap=hour).collect()}
+    # of the pairs of "holes" only the last has both values an hour apart
+    assert set(got) == {"full", "holes", "ends_null", None}
+    assert (got["holes"].a, got["holes"].m, got["holes"].s) == (1.0, 1.0, 0.0)
+    assert math.isclose(got["full"].a, 5 / 3)
+    wide = {tuple(r) for r in op.ramp_metrics(gaps, "k", "ts", [op.Ramp("v", "a", "m", "s", 0)], chunk=chunk, max_gap=3 * hour).collect()}
+    assert wide == {tuple(r) for r in op.ramp_metrics(gaps, "k", "ts", [op.Ramp("v", "a", "m", "s", 0)], chunk=chunk).collect()}
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_gaps_are_those_of_lag(spark, kind):
+    rng = random.Random(3)
+    rows = [(f"k{i % 5}", dt.datetime(2020, 1, 29) + dt.timedelta(minutes=rng.randrange(9000)), rng.choice([None, rng.uniform(0, 9)])) for i in range(600)]
+    df = spark.createDataFrame(rows + [("k1", None, 3.0)], f"k string, ts {kind}, v double").dropDuplicates(["k", "ts"])
+    df.createOrReplaceTempView("gap_rows")
+    want = spark.sql(
+        """
+        SELECT k, avg(d) AS a, max(d) AS m, stddev_samp(d) AS s FROM (
+          SELECT k, abs(v - CASE WHEN ts - lag(ts) OVER w <= INTERVAL 90 MINUTES THEN lag(v) OVER w END) AS d FROM gap_rows WINDOW w AS (PARTITION BY k ORDER BY ts)
+        ) GROUP BY k
+        """
+    )
+    got = op.ramp_metrics(df, "k", "ts", [op.Ramp("v", "a", "m", "s", 1)], chunk="month", max_gap=dt.timedelta(minutes=90))
+    for x, y in zip(sorted(got.collect()), sorted(want.collect())):
+        assert x.k == y.k and all(math.isclose(p, q) for p, q in zip(x[1:], y[1:]))
+    assert got.count() == 5

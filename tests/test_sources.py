@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from statewatt import sources as src
+from statewatt.functions import in_years, since, year_column
+from statewatt.plans import grid
 from statewatt.sources.schemas import GEO_PROPERTIES, SCHEMAS
 
 
@@ -63,6 +66,33 @@ def test_yearly_partitions_replace_the_table(spark, tmp_path):
     assert [r.year for r in spark.read.parquet(path).collect()] == [2020]
 
 
+def test_a_time_filter_prunes_yearly_folders(spark, tmp_path):
+    path = str(tmp_path / "hourly")
+    name = "out_eia930__hourly_operations"
+    days = [None] + [dt.datetime(y, m, 1) + dt.timedelta(hours=h) for y in range(2016, 2023) for m in (1, 12) for h in (-1, 0, 1)]
+    rows = [("A", d, float(i), 1.0, 2.0) for i, d in enumerate(days)]
+    raw = spark.createDataFrame(rows, SCHEMAS[name])
+    src.write_table(raw, path, year_of="datetime_utc")
+    df = src.load_table(spark, path, SCHEMAS[name], year_of="datetime_utc")
+    year = year_column(df, "datetime_utc")
+    assert year == "datetime_utc_year" and year_column(raw, "datetime_utc") is None
+    for with_year, without in [
+        (since("datetime_utc", "2019-01-01", year), since("datetime_utc", "2019-01-01")),
+        (in_years("datetime_utc", 2018, 2019, year), in_years("datetime_utc", 2018, 2019)),
+    ]:
+        pruned, plain = df.filter(with_year), raw.filter(without)
+        plan = pruned._jdf.queryExecution().executedPlan().toString()
+        parts = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan).group(1)
+        assert "year" in parts and ">=" in parts and "GreaterThanOrEqual(datetime_utc" in plan
+        assert sorted(pruned.drop(year).collect()) == sorted(plain.collect())
+    recent = grid._recent(df)
+    assert "year" in re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", recent._jdf.queryExecution().executedPlan().toString()).group(1)
+    assert sorted(grid.generation_ramps(df).collect()) == sorted(grid.generation_ramps(raw).collect())
+    with pytest.raises(ValueError, match="not partitioned"):
+        src.write_table(raw, str(tmp_path / "flat"))
+        src.load_table(spark, str(tmp_path / "flat"), SCHEMAS[name], year_of="datetime_utc")
+
+
 def test_csv_round_trip(spark, tmp_path):
     path = str(tmp_path / "csv")
     schema = SCHEMAS["cooperative_utilities"]
@@ -179,3 +209,34 @@ def test_places_follow_files_and_lines(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert split == read
+
+
+def crs(name):
+    return {"crs": {"type": "name", "properties": {"name": name}}}
+
+
+MERCATOR, DEGREES, OTHER = crs("urn:ogc:def:crs:EPSG::3857"), crs("urn:ogc:def:crs:OGC:1.3:CRS84"), crs("EPSG:5070")
+
+
+@pytest.mark.parametrize("layout", ["document", "lines", "one_head"])
+@pytest.mark.parametrize("member,fits", [(MERCATOR, {3857}), (DEGREES, {4326}), (crs("EPSG:4326"), {4326}), (OTHER, set()), ({}, {3857, 4326}), ({"crs": None}, {3857, 4326})])
+def test_the_declared_system_is_the_files(spark, tmp_path, layout, member, fits):
+    path = tmp_path / "some.geojson"
+    head = {"type": "FeatureCollection", "name": "x", **member}
+    if layout == "document":
+        path.write_text(json.dumps({**head, "features": FEATURES}))
+    else:
+        parts = [json.dumps({k: v})[1:-1] for k, v in head.items()] + ['"features": [']
+        joint = ", " if layout == "one_head" else ",\n"
+        path.write_text("{ " + joint.join(parts) + "\n" + ",\n".join(json.dumps(f) for f in FEATURES) + "\n]}\n")
+    how = "document" if layout == "document" else "lines"
+    assert src.read_geojson(spark, str(path), GEO_PROPERTIES, how).count() == 4
+    for srid in (3857, 4326):
+        if srid in fits:
+            df = src.read_geojson(spark, str(path), GEO_PROPERTIES, how, srid)
+            assert [r.properties.NAME for r in df.orderBy("ordinal").collect()] == ["a", "b", "c", "d"]
+        else:
+            with pytest.raises(Exception, match=f"crs is not {srid}"):
+                src.read_geojson(spark, str(path), GEO_PROPERTIES, how, srid).collect()
+    with pytest.raises(ValueError, match="srid"):
+        src.read_geojson(spark, str(path), GEO_PROPERTIES, how, 5070)
