@@ -239,3 +239,27 @@ def test_short_units_are_told_by_what_stands_before(spark):
     rows = lists + [(50, " ".join([tale[0], "Yes.", tale[1], "So.", "Ja!", tale[2]])), (51, " ".join(["Own.", tale[0], "Yes.", tale[1], "So.", "Ja!", tale[2]])), (52, " ".join([tale[0], "Yes.", tale[1], "So.", "No!", tale[2]]))]
     found = {(r["doc_id"], r["start"], r["end"], r["words"]) for r in substring.repeated_passages(spark.createDataFrame(rows, DOCS)).collect()}
     assert found == {(51, 5, len(rows[-2][1]), 39), (52, 0, rows[-1][1].index(" No!"), 26)}
+
+
+def test_blocks_do_not_decide_what_goes(spark):
+    """Long runs that texts share in part, also within one text: as the plain rule has it."""
+    rng = random.Random(51)
+    tale = [" ".join(f"u{k}v{j}" for j in range(rng.randrange(3, 7))) + rng.choice([".", "!"]) for k in range(300)]
+    same = "All of it again."
+    rows = []
+    for i in range(60):
+        parts = []
+        for _ in range(rng.randrange(1, 4)):
+            at = rng.randrange(300)
+            parts += tale[at : at + rng.randrange(2, 150)] + [" ".join(f"o{i}x{len(parts)}y{j}" for j in range(4)) + "."] * rng.randrange(2)
+        rows.append((i, rng.choice([" ", "\n"]).join(parts)))
+    rows += [(60, " ".join([same] * 200)), (61, " ".join([same] * 70)), (62, rows[7][1]), (62, rows[7][1]), (None, rows[8][1]), (63, " ".join(tale + tale))]
+    found = plain(substring.repeated_passages(spark.createDataFrame(rows, DOCS).repartition(5)).collect())
+    want = brute(rows)
+    assert {f[:5] for f in found} == {w[:5] for w in want} and len(want) > 60
+    kept = {f[:3]: set(f[5]) for f in found}
+    assert all(set(w[5]) - {None} <= kept[w[:3]] for w in want)
+    cut = substring._Texts([" ".join(tale), " ".join([same] * 200)])
+    a, b = cut.blocks(np.arange(500))
+    assert 20 < len(a) < 100 and int((b - a).max()) <= substring.BLOCK and 300 in a.tolist()
+    assert a.tolist()[1:] == b.tolist()[:-1] and b[-1] == 500
