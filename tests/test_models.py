@@ -234,6 +234,9 @@ def test_facilities_from_files_to_files(spark, tmp_path, rows):
         out["territory_matches"],
     )
     assert dict(rows(counts)) == {"inside_rows": 10, "inside_facilities": 6, "outside_rows": 1, "territories": 3, "unmatched_territories": 1}
+    assert dict(rows(out["run_counts"])) == {k: v for k, v in dict(rows(counts)).items() if k != "outside_rows"}
+    assert rows(out["unmatched_territories"]) == [("Zzzzzz", "OK", 1, 7)]
+    assert [r.NAME for r in out["top_territories"].collect()] == ["Alpha Electric Coop", "Beta Power Assn", "Zzzzzz"]
     raw = rows(out["dc_in_coop_territory"], "utility_name_eia", "dc_facility_count")
     assert raw == [("ALPHA ELECTRIC COOPERATIVE", 3), ("Alpha Cooperative Electric", 0), ("Beta Power Association", 1), ("Gamma", 0), ("Nobody", 0)]
     deduped = rows(out["dc_in_coop_territory_deduped"])
@@ -259,6 +262,15 @@ def test_the_first_row_of_a_facility_counts(spark):
     assert got == [("P1", "TX", 1, 20)]
 
 
+def test_a_run_without_facilities_counts_none(spark):
+    shape = "ordinal long, properties struct<TYPE: string, NAME: string, STATE: string>, polygons array<array<array<struct<x: double, y: double>>>>"
+    atlas = spark.createDataFrame([("a", 1.0, 1.0, 20.0, 0)], "id string, lat double, lon double, sqft double, position long")
+    utilities = spark.createDataFrame([(1, "A", "TX", 0)], "utility_id_eia int, utility_name_eia string, state string, position long")
+    out = facilities_in_territory(spark.createDataFrame([], shape), atlas, utilities)
+    assert {r.metric: r.value for r in out["run_counts"].collect()} == {"inside_rows": 0, "inside_facilities": 0, "territories": 0, "unmatched_territories": 0}
+    assert out["unmatched_territories"].count() == out["top_territories"].count() == 0
+
+
 def test_published_values():
     assert (config.RENEWABLE, config.VARIABLE_RENEWABLE, config.FOSSIL) == (["solar", "wind", "hydro"], ["solar", "wind"], ["gas", "coal", "oil"])
     assert config.NON_CONTIGUOUS == ["AK", "HI", "PR"]
