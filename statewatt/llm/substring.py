@@ -16,6 +16,9 @@ its ``ANCHOR``-word runs; adjacent windows of one least hash are a segment, and
 equal windows have equal ones. Only segments whose hash repeats are compared:
 first as wholes, then, where segments of one hash differ, window by window.
 
+Adjacent units that may repeat move as one block. A block that stands at an
+earlier place goes as a whole; only the first of each kind is opened into units.
+
 Texts never move. They are read once to count 64 bits of each digest; what may
 repeat is noted in a table of bits of fixed size, so that the second time little
 more than the repeated units and segments move. Which segments have to be opened
